@@ -14,6 +14,9 @@ class RunConfig:
     """``root`` is a folder all executors reach; it holds state, cache and outputs.
 
     One key, ``key_cols``, serves deduplication, comparison and state.
+    ``order_cols`` say which row of a key is the newest. Rows need a
+    ``description_col`` and a ``code_col``; ``lookup_key`` is what the lookup
+    is asked for. ``until_run_date`` ignores partitions after the run date.
     """
 
     root: str
@@ -22,6 +25,9 @@ class RunConfig:
     order_cols: tuple[str, ...] = ("created_at",)
     fingerprint_cols: tuple[str, ...] = ("code", "id", "group_id")
     null_token: str | None = None
+    description_col: str = "description"
+    code_col: str = "code"
+    lookup_key: str = "id"
     days_back: int = DAYS_BACK
     until_run_date: bool = False
     page_size: int = PAGE_SIZE

@@ -26,12 +26,15 @@ def latest_answers(cache: DataFrame) -> DataFrame:
     return dedup_latest(placed, ["id"], ["_run", "_page"]).select("uuid", "id", "partition_ref")
 
 
-def enrich_tagged(batch: DataFrame, cache: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Add ``uuid`` and ``partition_ref``, and ``state``: save or skipped.
+def _answers(cache: DataFrame, key: str) -> DataFrame:
+    return latest_answers(cache).withColumnRenamed("id", key)
 
-    The cache has one row per id, see :func:`latest_answers`.
-    """
-    return lookup_join(batch, cache, "id", "left", hot_rows).select(
+
+def enrich_tagged(
+    batch: DataFrame, cache: DataFrame, key: str = "id", hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Add ``uuid`` and ``partition_ref`` of the latest answer, and ``state``: save or skipped."""
+    return lookup_join(batch, _answers(cache, key), key, "left", hot_rows).select(
         *batch.columns,
         "uuid",
         "partition_ref",
@@ -39,31 +42,40 @@ def enrich_tagged(batch: DataFrame, cache: DataFrame, hot_rows: int = HOT_ROWS)
     )
 
 
-def enrich_matched(batch: DataFrame, cache: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def enrich_matched(
+    batch: DataFrame, cache: DataFrame, key: str = "id", hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """The rows with an answer."""
-    return lookup_join(batch, cache, "id", "inner", hot_rows).select(
+    return lookup_join(batch, _answers(cache, key), key, "inner", hot_rows).select(
         *batch.columns, "uuid", "partition_ref"
     )
 
 
-def enrich_unmatched(batch: DataFrame, cache: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def enrich_unmatched(
+    batch: DataFrame, cache: DataFrame, key: str = "id", hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """The rows without an answer."""
-    return lookup_join(batch, cache.select("id"), "id", "left_anti", hot_rows).select(*batch.columns)
+    answered = cache.where(F.col("uuid").isNotNull()).select(F.col("id").alias(key)).distinct()
+    return lookup_join(batch, answered, key, "left_anti", hot_rows).select(*batch.columns)
 
 
-def enrich_full_outer(batch: DataFrame, cache: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def enrich_full_outer(
+    batch: DataFrame, cache: DataFrame, key: str = "id", hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Batch rows and, with null batch columns, cached ids the batch lacks.
 
     A full outer join as its left join plus the cache's own rows: neither
     part has to bring a hot id's rows together in one task.
     """
-    tagged = enrich_tagged(batch, cache, hot_rows)
-    cache_only = cache.join(batch.select("id").distinct(), "id", "left_anti").withColumn(
-        "state", F.lit("save")
+    tagged = enrich_tagged(batch, cache, key, hot_rows)
+    cache_only = (
+        _answers(cache, key)
+        .join(batch.select(key).distinct(), key, "left_anti")
+        .withColumn("state", F.lit("save"))
     )
     return tagged.unionByName(cache_only, allowMissingColumns=True)
 
 
-def unmatched_sample(unmatched: DataFrame, size: int = 20) -> DataFrame:
-    """The first ``size`` unmatched rows by id and code, for a log line."""
-    return unmatched.orderBy("id", "code").limit(size)
+def unmatched_sample(unmatched: DataFrame, size: int = 20, key: str = "id") -> DataFrame:
+    """The first ``size`` unmatched ids, one per row, for a log line."""
+    return unmatched.select(key).orderBy(key).limit(size)

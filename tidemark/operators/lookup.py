@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,7 +21,8 @@ def unseen_keys(batch: DataFrame, cache: DataFrame, key: str = "id") -> DataFram
 
     Both sides are made distinct first, so that the join moves each key once.
     """
-    return batch.select(key).distinct().join(cache.select(key).distinct(), key, "left_anti")
+    cached = cache.select(F.col("id").alias(key)).distinct()
+    return batch.select(key).distinct().join(cached, key, "left_anti")
 
 
 def assign_pages(
@@ -34,9 +35,9 @@ def assign_pages(
     parallel; a bucket starts where the buckets before it end. Pages depend
     on the keys alone, so a recomputed task finds the same ones.
     """
-    bucketed = keys.where(F.col(key).isNotNull()).select(
+    bucketed = keys.select(
         key, F.substring(F.md5(F.col(key)), 1, bucket_digits).alias("_bucket")
-    )
+    ).where(F.col("_bucket").isNotNull())
     # At most 16**bucket_digits rows: one task and a broadcast are enough.
     starts = (
         bucketed.groupBy("_bucket")
@@ -47,10 +48,7 @@ def assign_pages(
     return (
         bucketed.withColumn("_rank", rank)
         .join(F.broadcast(starts), "_bucket")
-        .select(
-            (F.floor((F.col("_start") + F.col("_rank") - 1) / page_size) + 1).cast("long").alias("page"),
-            key,
-        )
+        .select(F.expr(f"(_start + _rank - 1) div {page_size} + 1").alias("page"), key)
     )
 
 
@@ -66,16 +64,18 @@ def ask_function(fetch: Callable[[int, list[str]], tuple[int, str | None]], requ
     A retried task calls again for its pages. ``fetch`` returns the status of
     a failed request; if it raises, Spark retries the task.
     """
-    columns = schemas.RESPONSE.names
 
-    def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def call(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("page", pa.int64()), ("status", pa.int32()), ("body", pa.string())])
         for batch in batches:
-            answers = [(page, *fetch(page, list(ids))) for page, ids in zip(batch["page"], batch["ids"])]
-            yield pd.DataFrame(answers, columns=columns)
+            for page, ids in zip(batch.column("page"), batch.column("ids")):
+                status, body = fetch(page.as_py(), ids.as_py())
+                answer = {"page": page.as_py(), "status": status, "body": body}
+                yield pa.RecordBatch.from_pylist([answer], schema)
 
     def ask(pages: DataFrame) -> DataFrame:
         # A stated number: a page is small, adaptive execution would merge all.
-        return pages.repartition(requests_at_once, "page").mapInPandas(call, schemas.RESPONSE)
+        return pages.repartition(requests_at_once, "page").mapInArrow(call, schemas.RESPONSE)
 
     return ask
 

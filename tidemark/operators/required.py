@@ -11,9 +11,9 @@ def require(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNotNull())
 
 
-def require_description(df: DataFrame) -> DataFrame:
-    return require(df, "description")
+def require_description(df: DataFrame, column: str = "description") -> DataFrame:
+    return require(df, column)
 
 
-def require_code(df: DataFrame) -> DataFrame:
-    return require(df, "code")
+def require_code(df: DataFrame, column: str = "code") -> DataFrame:
+    return require(df, column)

@@ -1,6 +1,6 @@
 from tidemark.plans.cleanup import cleanup, cleanup_report
-from tidemark.plans.incremental import RunResult, lookup_enrich, run_incremental
-from tidemark.plans.process import process_report, transform
+from tidemark.plans.incremental import RunResult, run_incremental
+from tidemark.plans.process import lookup_enrich, process_report, transform
 from tidemark.plans.report import RunReport
 
 __all__ = [

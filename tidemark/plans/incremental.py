@@ -6,7 +6,7 @@ import datetime as dt
 import logging
 import re
 import time
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -15,22 +15,10 @@ from tidemark import schemas
 from tidemark.config import RunConfig
 from tidemark.operators.changes import REPEATED, change_detect
 from tidemark.operators.dedup import dedup_latest
-from tidemark.operators.enrich import (
-    enrich_tagged,
-    enrich_unmatched,
-    latest_answers,
-    unmatched_sample,
-)
-from tidemark.operators.lookup import (
-    PAGE_SIZE,
-    Ask,
-    assign_pages,
-    lookup_pages,
-    parse_responses,
-    unseen_keys,
-)
-from tidemark.plans.cleanup import is_valid, latest_row_counters
-from tidemark.plans.process import transform
+from tidemark.operators.enrich import enrich_tagged, enrich_unmatched, unmatched_sample
+from tidemark.operators.lookup import Ask
+from tidemark.plans.cleanup import cleanup, is_valid, latest_row_counters
+from tidemark.plans.process import lookup_enrich, transform
 from tidemark.plans.report import RunReport
 from tidemark.sources.cache_table import CacheTable
 from tidemark.sources.partitions import latest_partition_scan
@@ -44,36 +32,10 @@ logger = logging.getLogger(__name__)
 class RunResult:
     """The report and, after a successful run, the delivered rows."""
 
-    report: RunReport
+    report: RunReport = field(default_factory=RunReport)
     output: DataFrame | None = None
 
 
-def lookup_enrich(
-    batch: DataFrame,
-    cache: CacheTable,
-    ask: Ask,
-    run_id: str,
-    responses_path: str,
-    page_size: int = PAGE_SIZE,
-) -> None:
-    """Ask for the batch's unseen ids and add the answers to the cache.
-
-    The responses are written before they are parsed: a failure after that
-    does not ask again, and each page is asked once per write. Pages that
-    failed or came back empty leave their ids unseen.
-    """
-    spark = batch.sparkSession
-    paged = assign_pages(unseen_keys(batch, cache.read(before=run_id)), page_size=page_size)
-    ask(lookup_pages(paged)).write.mode("overwrite").parquet(responses_path)
-    responses = spark.read.schema(schemas.RESPONSE).parquet(responses_path)
-    by_status = {r.status: r["count"] for r in responses.groupBy("status").count().collect()}
-    unanswered = {status: n for status, n in sorted(by_status.items()) if status != 200}
-    if unanswered:
-        logger.warning("Pages without answer in run %s, by status: %s", run_id, unanswered)
-    if by_status.get(200):
-        cache.append(parse_responses(responses, run_id), run_id)
-
-
 def run_incremental(
     spark: SparkSession,
     config: RunConfig,
@@ -81,19 +43,28 @@ def run_incremental(
     ask: Ask,
     run_date: dt.date,
     run_id: str | None = None,
+    partitions: DataFrame | None = None,
     raise_errors: bool = True,
 ) -> RunResult:
     """Run over the newest recent day of ``table``, partitioned by year/month/day.
 
     ``run_id`` (the run date unless given) names one run: a run that failed is
     repeated under its id and replaces what it wrote; one that is committed
-    to the state is not run again. With ``raise_errors`` off, an error ends up
-    in the report, beside the sections finished before it.
+    to the state is not run again. ``partitions`` may list the partitions, as
+    a catalog does, to spare looking at files. With ``raise_errors`` off, an
+    error ends up in the report, beside the sections finished before it.
     """
     started = time.monotonic()
-    result = RunResult(RunReport())
+    result = RunResult()
     try:
-        _run(spark, config, table, ask, run_date, run_id or run_date.isoformat(), result)
+        run = _Run(spark, config, run_id or run_date.isoformat(), result.report)
+        raw = run.load(table, partitions, run_date)
+        staged = run.stage(raw)
+        output = run.deliver(staged, ask)
+        run.persist(output)
+        result.output = output
+        if config.publish_views:
+            run.publish_views(raw, output)
         result.report.status = "success"
     except Exception as error:
         result.report.status = "error"
@@ -105,102 +76,122 @@ def run_incremental(
     return result
 
 
-def _run(
-    spark: SparkSession,
-    config: RunConfig,
-    table: DataFrame,
-    ask: Ask,
-    run_date: dt.date,
-    run_id: str,
-    result: RunResult,
-) -> None:
-    if not re.fullmatch(r"[0-9A-Za-z.-]+", run_id):
-        raise ValueError(f"run id {run_id!r} must be letters, digits, dots and dashes")
-    report = result.report
-    state = StateTable(spark, f"{config.root}/state", config.key_cols, config.state_buckets)
-    cache = CacheTable(spark, f"{config.root}/cache")
-    if state.is_committed(run_id):
-        raise ValueError(f"run {run_id!r} is already committed to the state")
-    staged_path, responses_path, output_path = (
-        f"{config.root}/{part}/run={run_id}" for part in ("staged", "responses", "output")
-    )
-
-    # Load. Counting reads no column: the file footers know the row numbers.
-    raw, date_ref, predicate = latest_partition_scan(
-        table, run_date, config.days_back, run_date if config.until_run_date else None
-    )
-    raw = schemas.keys_as_text(raw, config.key_cols)
-    raw_count = raw.count()
-    report.fill("load", date_ref=str(date_ref), predicate=predicate, row_count=raw_count)
-
-    # Cleanup and change filter, written by one job. Rows the cleanup drops
-    # stay in up to the last stage, to be counted there: counters of a stage
-    # that writes count a retried task once, those of earlier stages may not.
-    latest = dedup_latest(raw, config.key_cols, config.order_cols)
-    tagged = change_detect(
-        latest, state.read(), config.key_cols, config.fingerprint_cols, config.null_token
-    )
-    repeated = F.col("change") == REPEATED
-    staging = Observation()
-    tagged.observe(
-        staging,
-        *latest_row_counters(),
-        F.count_if(is_valid() & ~repeated).alias("new_count"),
-        F.count_if(is_valid() & repeated).alias("repeated_count"),
-    ).where(is_valid() & ~repeated).drop("change").write.mode("overwrite").parquet(staged_path)
-    counted = dict(staging.get)
-    new_count, repeated_count = counted.pop("new_count"), counted.pop("repeated_count")
-    report.fill(
-        "cleanup",
-        raw_count=raw_count,
-        duplicated_count=raw_count - counted["de_duplicated_count"],
-        **counted,
-    )
-
-    # Enrichment and transform.
-    staged_schema = tagged.drop("change").schema
-    staged = spark.read.schema(staged_schema).parquet(staged_path)
-    lookup_enrich(staged, cache, ask, run_id, responses_path, config.page_size)
-    answers = latest_answers(cache.read())
-    enriching = Observation()
-    answered = F.col("state") == "save"
-    enriched = (
-        enrich_tagged(staged, answers, config.hot_rows)
-        .observe(
-            enriching,
-            F.count_if(answered).alias("matched_count"),
-            F.count_if(~answered).alias("not_matched_count"),
+class _Run:
+    """One run's tables and steps.
+
+    Each step ends in a write, and the next one reads what was written. The
+    counters are observed in the stage that writes: there a retried task
+    counts once, in the stages before it may count again.
+    """
+
+    def __init__(self, spark: SparkSession, config: RunConfig, run_id: str, report: RunReport) -> None:
+        if not re.fullmatch(r"[0-9A-Za-z.-]+", run_id):
+            raise ValueError(f"run id {run_id!r} must be letters, digits, dots and dashes")
+        self.spark = spark
+        self.config = config
+        self.run_id = run_id
+        self.report = report
+        self.state = StateTable(spark, f"{config.root}/state", config.key_cols, config.state_buckets)
+        self.cache = CacheTable(spark, f"{config.root}/cache")
+        if self.state.is_committed(run_id):
+            raise ValueError(f"run {run_id!r} is already committed to the state")
+
+    def path(self, part: str) -> str:
+        return f"{self.config.root}/{part}/run={self.run_id}"
+
+    def load(self, table: DataFrame, partitions: DataFrame | None, run_date: dt.date) -> DataFrame:
+        config = self.config
+        until = run_date if config.until_run_date else None
+        raw, date_ref, predicate = latest_partition_scan(
+            table, run_date, config.days_back, until, partitions
+        )
+        # Counting reads no column: the file footers know the row numbers.
+        self.report.fill("load", date_ref=str(date_ref), predicate=predicate, row_count=raw.count())
+        return schemas.keys_as_text(raw, {*config.key_cols, config.lookup_key})
+
+    def stage(self, raw: DataFrame) -> DataFrame:
+        """Clean and compare with the state; write the new and changed rows.
+
+        One shuffle of the raw rows by key serves both. Rows without
+        description or code stay in up to the last stage, to be counted.
+        """
+        config = self.config
+        described = (config.description_col, config.code_col)
+        tagged = change_detect(
+            dedup_latest(raw, config.key_cols, config.order_cols),
+            self.state.read(),
+            config.key_cols,
+            config.fingerprint_cols,
+            config.null_token,
+        )
+        repeated = F.col("change") == REPEATED
+        staging = Observation()
+        tagged.observe(
+            staging,
+            *latest_row_counters(*described),
+            F.count_if(is_valid(*described) & ~repeated).alias("new_count"),
+            F.count_if(is_valid(*described) & repeated).alias("repeated_count"),
+        ).where(is_valid(*described) & ~repeated).drop("change").write.mode("overwrite").parquet(
+            self.path("staged")
+        )
+        counted = dict(staging.get)
+        changes = {name: counted.pop(name) for name in ("new_count", "repeated_count")}
+        raw_count = self.report.sections["load"]["row_count"]
+        self.report.fill(
+            "cleanup",
+            raw_count=raw_count,
+            duplicated_count=raw_count - counted["de_duplicated_count"],
+            **counted,
+        )
+        self.report.note("process", raw_count=counted["valid_rows"], **changes)
+        return self.spark.read.schema(tagged.drop("change").schema).parquet(self.path("staged"))
+
+    def deliver(self, staged: DataFrame, ask: Ask) -> DataFrame:
+        """Look up, join, derive the entity ids; write the rows with an answer."""
+        config = self.config
+        answers = lookup_enrich(
+            staged, self.cache, ask, self.run_id, self.path("lookup"), config.lookup_key, config.page_size
+        )
+        enriching = Observation()
+        answered = F.col("state") == "save"
+        matched = (
+            enrich_tagged(staged, answers, config.lookup_key, config.hot_rows)
+            .observe(
+                enriching,
+                F.count_if(answered).alias("matched_count"),
+                F.count_if(~answered).alias("not_matched_count"),
+            )
+            .where(answered)
+            .drop("state")
+        )
+        delivered = transform(matched, config.secret, config.code_col)
+        delivered.write.mode("overwrite").parquet(self.path("output"))
+        counted = enriching.get
+        if counted["not_matched_count"] and config.sample_size:
+            unmatched = enrich_unmatched(staged, answers, config.lookup_key, config.hot_rows)
+            sample = unmatched_sample(unmatched, config.sample_size, config.lookup_key).collect()
+            logger.warning("Not matched: [%s]", ",".join(str(row[0]) for row in sample))
+        self.report.fill(
+            "process",
+            **counted,
+            transformed_count=counted["matched_count"],
+            valid_rows=counted["matched_count"],
+        )
+        return self.spark.read.schema(delivered.schema).parquet(self.path("output"))
+
+    def persist(self, output: DataFrame) -> None:
+        """Merge the delivered rows into the state.
+
+        Rows without an answer stay out of it and so remain new.
+        """
+        delivered = self.report.sections["process"]["valid_rows"]
+        self.state.upsert(output, self.run_id)
+        self.report.fill("persist", raw_count=delivered, valid_rows=delivered)
+
+    def publish_views(self, raw: DataFrame, output: DataFrame) -> None:
+        config = self.config
+        cleaned = cleanup(
+            raw, config.key_cols, config.order_cols, config.description_col, config.code_col
         )
-        .where(answered)
-        .drop("state")
-    )
-    transform(enriched, config.secret).write.mode("overwrite").parquet(output_path)
-    matched_count = enriching.get["matched_count"]
-    not_matched_count = enriching.get["not_matched_count"]
-    if not_matched_count and config.sample_size:
-        unmatched = enrich_unmatched(staged, answers, config.hot_rows)
-        sample = unmatched_sample(unmatched, config.sample_size).collect()
-        logger.warning("Not matched: [%s]", ",".join(str(row.id) for row in sample))
-    report.fill(
-        "process",
-        raw_count=counted["valid_rows"],
-        new_count=new_count,
-        repeated_count=repeated_count,
-        matched_count=matched_count,
-        not_matched_count=not_matched_count,
-        transformed_count=matched_count,
-        valid_rows=matched_count,
-    )
-
-    # Persist, from the written rows: the state they were compared with is
-    # not read again. Rows without an answer stay out and so remain new.
-    output = spark.read.schema(enriched.schema).parquet(output_path)
-    state.upsert(output, run_id)
-    report.fill("persist", raw_count=matched_count, valid_rows=matched_count)
-    result.output = output
-
-    if config.publish_views:
-        publish_view(raw, "raw")
-        publish_view(latest.where(is_valid()), "cleanup")
-        publish_view(output, "processed")
-        publish_view(output, "persisted")
+        for name, df in {"raw": raw, "cleanup": cleaned, "process": output, "persisted": output}.items():
+            publish_view(df, name)

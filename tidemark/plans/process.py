@@ -2,20 +2,69 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark import schemas
 from tidemark.functions.keyed_uuid import derive_entity_id
 from tidemark.operators.changes import REPEATED, change_detect
-from tidemark.operators.enrich import enrich_tagged
+from tidemark.operators.enrich import enrich_tagged, latest_answers
+from tidemark.operators.lookup import (
+    PAGE_SIZE,
+    Ask,
+    assign_pages,
+    lookup_pages,
+    parse_responses,
+    unseen_keys,
+)
 from tidemark.operators.skew import HOT_ROWS
+from tidemark.sources.cache_table import CacheTable
 
+logger = logging.getLogger(__name__)
 
-def transform(matched: DataFrame, secret: bytes) -> DataFrame:
+
+def lookup_enrich(
+    batch: DataFrame,
+    cache: CacheTable,
+    ask: Ask,
+    run_id: str,
+    folder: str,
+    key: str = "id",
+    page_size: int = PAGE_SIZE,
+) -> DataFrame:
+    """The answers for the batch's ids, after asking for those not in the cache.
+
+    The cache is read once, for the batch's ids only; what it knows of them
+    is written to ``folder``, and so are the responses, before they are
+    parsed and added to the cache: no page is asked twice because a later
+    step fails. Pages that failed or came back empty leave their ids unseen.
+    """
+    spark = batch.sparkSession
+    ids = batch.select(F.col(key).alias("id")).where(F.col("id").isNotNull()).distinct()
+    wanted = cache.read(before=run_id).join(ids, "id", "left_semi")
+    latest_answers(wanted).write.mode("overwrite").parquet(f"{folder}/known")
+    known = spark.read.schema(schemas.CACHE).parquet(f"{folder}/known")
+
+    paged = assign_pages(unseen_keys(ids, known), page_size=page_size)
+    ask(lookup_pages(paged)).write.mode("overwrite").parquet(f"{folder}/responses")
+    responses = spark.read.schema(schemas.RESPONSE).parquet(f"{folder}/responses")
+    pages_by_status = {row.status: row.n for row in responses.groupBy("status").agg(F.count("*").alias("n")).collect()}
+    answered = pages_by_status.pop(200, 0)
+    if pages_by_status:
+        logger.warning("Pages without answer in run %s, by status: %s", run_id, pages_by_status)
+    if not answered:
+        return known
+    new = parse_responses(responses, run_id)
+    cache.append(new, run_id)
+    return known.unionByName(new)
+
+
+def transform(matched: DataFrame, secret: bytes, code: str = "code") -> DataFrame:
     """Replace the answered ``uuid`` by the entity's own."""
-    return matched.withColumn("uuid", derive_entity_id("uuid", "code", secret))
+    return matched.withColumn("uuid", derive_entity_id("uuid", code, secret))
 
 
 def process_report(
@@ -24,13 +73,14 @@ def process_report(
     cache: DataFrame,
     key_cols: Sequence[str],
     fingerprint_cols: Sequence[str],
+    key: str = "id",
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """All process counters in one row, by one query."""
-    tagged = change_detect(cleaned, state, key_cols, fingerprint_cols).select("id", "change")
+    tagged = change_detect(cleaned, state, key_cols, fingerprint_cols).select(key, "change")
     saved = F.col("change") != REPEATED
     matched = F.count_if(saved & (F.col("state") == "save"))
-    return enrich_tagged(tagged, cache, hot_rows).agg(
+    return enrich_tagged(tagged, cache, key, hot_rows).agg(
         F.count("*").alias("raw_count"),
         F.count_if(saved).alias("new_count"),
         F.count_if(~saved).alias("repeated_count"),

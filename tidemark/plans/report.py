@@ -46,12 +46,17 @@ class RunReport:
     additional_info: str | None = None
     sections: dict[str, dict] = field(default_factory=_blank_sections)
 
-    def fill(self, section: str, **counters) -> None:
-        """Record a finished section."""
+    def note(self, section: str, **counters) -> None:
+        """Record counters of a section."""
         unknown = counters.keys() - set(SECTIONS[section])
         if unknown:
             raise KeyError(f"no such counters in {section}: {sorted(unknown)}")
-        self.sections[section].update(counters, status="success")
+        self.sections[section].update(counters)
+
+    def fill(self, section: str, **counters) -> None:
+        """Record the last counters of a section and its success."""
+        self.note(section, **counters)
+        self.sections[section]["status"] = "success"
 
     def as_dict(self) -> dict:
         return {

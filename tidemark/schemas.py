@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,7 +34,7 @@ def state_schema(key_cols: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), False) for c in (*key_cols, "sha2")])
 
 
-def keys_as_text(df: DataFrame, key_cols: Sequence[str]) -> DataFrame:
+def keys_as_text(df: DataFrame, key_cols: Iterable[str]) -> DataFrame:
     """Cast the keys to string, the type they have in the state and the cache.
 
     Doing it once at load keeps non-numeric ids legal: under ANSI mode a

@@ -6,7 +6,7 @@ from tidemark.sources.partitions import (
     recent_partitions,
     scan_partition,
 )
-from tidemark.sources.shared import new_folder, read_or_empty, shared_dir
+from tidemark.sources.shared import new_folder, open_table, shared_dir
 from tidemark.sources.state_table import StateTable
 from tidemark.sources.views import publish_output, publish_view, scan_view
 
@@ -17,9 +17,9 @@ __all__ = [
     "latest_partition_scan",
     "list_partitions",
     "new_folder",
+    "open_table",
     "publish_output",
     "publish_view",
-    "read_or_empty",
     "recent_partitions",
     "scan_partition",
     "scan_view",

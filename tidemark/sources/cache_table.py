@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas
-from tidemark.sources.shared import read_or_empty
+from tidemark.sources.shared import open_table
 
 
 @dataclass(frozen=True)
@@ -30,7 +30,7 @@ class CacheTable:
         since :meth:`append` replaces its partition.
         """
         schema = T.StructType([*schemas.CACHE.fields, T.StructField("run", T.StringType())])
-        cache = read_or_empty(self.spark, self.path, schema)
+        cache = open_table(self.spark, self.path, schema, ["run"])
         if before is not None:
             cache = cache.where(F.col("run") != before)
         return cache.select(*schemas.CACHE.names)

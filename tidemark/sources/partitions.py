@@ -52,9 +52,17 @@ def scan_partition(table: DataFrame, date: dt.date) -> DataFrame:
 
 
 def latest_partition_scan(
-    table: DataFrame, run_date: dt.date, days_back: int = DAYS_BACK, until: dt.date | None = None
+    table: DataFrame,
+    run_date: dt.date,
+    days_back: int = DAYS_BACK,
+    until: dt.date | None = None,
+    partitions: DataFrame | None = None,
 ) -> tuple[DataFrame, dt.date, str]:
-    """Scan of the newest recent day, with that day and the predicate text."""
-    recent = recent_partitions(table, run_date, days_back, until)
+    """Scan of the newest recent day, with that day and the predicate text.
+
+    Without a listing in ``partitions``, the table's recent files are asked
+    for their partition values.
+    """
+    recent = recent_partitions(table if partitions is None else partitions, run_date, days_back, until)
     newest = latest_partition(recent, run_date).first()
     return scan_partition(table, newest.date_ref), newest.date_ref, newest.predicate

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.operators.state import state_upsert
-from tidemark.sources.shared import read_or_empty
+from tidemark.sources.shared import open_table
 
 _COMMITS = T.StructType(
     [
@@ -29,7 +29,8 @@ class StateTable:
 
     A snapshot is never written over the one being read: version N goes to
     folder N modulo ``keep``, and counts once its row is in ``commits``. What
-    a lost run left half-written is never read. Joins on the keys read a
+    a lost run left half-written is never read. One run at a time may write.
+    Joins on the keys read a
     snapshot without shuffling it; with ``buckets`` equal to the session's
     shuffle partitions, the batch is shuffled once for all of them.
     """
@@ -40,8 +41,12 @@ class StateTable:
     buckets: int | None = None
     keep: int = 3
 
+    def __post_init__(self) -> None:
+        if self.keep < 2:
+            raise ValueError("keep two snapshots at least: the one read and the one written")
+
     def commits(self) -> DataFrame:
-        return read_or_empty(self.spark, f"{self.path}/commits", _COMMITS)
+        return open_table(self.spark, f"{self.path}/commits", _COMMITS)
 
     def latest(self) -> Row | None:
         return self.commits().orderBy(F.desc("version")).first()
@@ -73,7 +78,11 @@ class StateTable:
             # Otherwise the rows already lie by bucket, one file a task.
             rows = rows.repartition(buckets, *self.key_cols)
         rows.write.insertInto(self._declare(version, buckets), overwrite=True)
-        commit = self.spark.createDataFrame([(version, run_id, buckets)], _COMMITS)
+        commit = self.spark.range(1).select(
+            F.lit(version).cast("long").alias("version"),
+            F.lit(run_id).alias("run_id"),
+            F.lit(buckets).alias("buckets"),
+        )
         commit.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
         for old in self.commits().where(F.col("version") == version - self.keep).collect():
             # Its folder holds the new snapshot now; files stay, being external.

@@ -216,7 +216,7 @@ ORACLE = {
         from documents d left join (select doc_id, {uuid("concat_ws('||', doc_id, quality, toxic)")} as uuid
         from labels) using (doc_id)""",
     "unmatched_sample": sql(
-        """select id, code from batch where id not in (select id from cache ) order by id, code limit 20"""
+        """select id from batch where id not in (select id from cache ) order by id limit 20"""
     ),
     "process_report": sql(
         """select count(*) as raw_count, count(*) filter (change <> 'repeated') as new_count,

@@ -266,8 +266,8 @@ def lookup_enrich(spark, sf_dir):
     cache.append(t.small_cache(spark, sf_dir), "1999-12-31")
     batch = t.batch(spark, sf_dir)
     ask = op.ask_table(t.service(spark, sf_dir))
-    plans.lookup_enrich(batch, cache, ask, "2000-01-01", f"{folder}/responses")
-    return op.enrich_tagged(batch, op.latest_answers(cache.read()))
+    answers = plans.lookup_enrich(batch, cache, ask, "2000-01-01", folder)
+    return op.enrich_tagged(batch, answers)
 
 
 @query
@@ -304,7 +304,7 @@ def enrich_documents(spark, sf_dir):
 @query
 def unmatched_sample(spark, sf_dir):
     unmatched = op.enrich_unmatched(t.batch(spark, sf_dir), t.cache(spark, sf_dir))
-    return op.unmatched_sample(unmatched).select("id", "code")
+    return op.unmatched_sample(unmatched)
 
 
 @query
