@@ -14,7 +14,7 @@ TESTDATA = pathlib.Path("/root/testdata")
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     builder = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master("local[8, 3]")  # three attempts per task
         .appName("tests")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

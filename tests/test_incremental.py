@@ -3,6 +3,8 @@ from __future__ import annotations
 import datetime as dt
 import json
 import logging
+import os
+import tempfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -166,6 +168,35 @@ def test_interrupted_run_is_repeated_under_its_id(spark, golden, monkeypatch):
     assert CacheTable(spark, f"{conf.root}/cache").read().count() == 2
 
 
+def test_failing_tasks_are_retried_and_counted_once(spark, golden):
+    folder = tempfile.mkdtemp()
+
+    def first_time(name):
+        try:
+            open(f"{folder}/{name}", "x").close()
+        except FileExistsError:
+            return False
+        return True
+
+    @F.udf("string")
+    def flaky(text):
+        if text and first_time("read"):
+            raise OSError("lost while reading")
+        return text
+
+    def fetch(page, ids):
+        if first_time("fetch"):
+            raise OSError("lost while asking")
+        return 200, json.dumps([{"id": i, "uuid": "u" + i} for i in ids])
+
+    table = golden.withColumn("description", flaky("description"))
+    result = run_incremental(spark, config(spark), table, ask_function(fetch, 2), FRIDAY)
+    assert sorted(os.listdir(folder)) == ["fetch", "read"]
+    cleaned, process = (result.report.sections[s] for s in ("cleanup", "process"))
+    assert (cleaned["de_duplicated_count"], cleaned["no_description"], cleaned["valid_rows"]) == (4, 1, 2)
+    assert (process["new_count"], process["matched_count"], result.output.count()) == (2, 2, 2)
+
+
 def test_reports_do_not_leak_between_runs(spark, golden):
     ask = ask_table(service(spark, [123456789]))
     bad = run_incremental(spark, config(spark), golden, ask, FRIDAY, "not/allowed", raise_errors=False)
@@ -190,6 +221,7 @@ def test_other_columns(spark):
     result = run_incremental(spark, conf, table, ask_table(service(spark, ["x", "abc"])), FRIDAY)
     assert rows(result.output.select("doc", "lang", "text")) == [("abc", "de", "t"), ("x", "en", "new")]
     assert result.report.sections["cleanup"]["no_description"] == 1
+    assert result.report.sections["process"]["matched_count"] == 2
 
 
 def test_newest_row_without_description_drops_the_key(spark):

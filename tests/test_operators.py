@@ -49,13 +49,11 @@ def test_dedup_parts_make_the_whole(spark, chunk):
     dropped = [tuple(r) for r in op.dedup_discarded(df, KEYS, ["at", "tie"], chunk).collect()]
     assert Counter(kept) + Counter(dropped) == Counter(data)
     assert len({r[:2] for r in kept}) == len(kept) == len({r[:2] for r in data})
-    low = -1
-
     def rank(r):
         return [(v is not None, v) for v in (r[2], r[3], r[4])]
 
     for r in kept:
-        assert all(rank(r) >= rank(o) for o in data if o[:2] == r[:2]), low
+        assert all(rank(r) >= rank(o) for o in data if o[:2] == r[:2])
 
 
 def test_dedup_discarded_of_one_hot_key(spark):
@@ -184,6 +182,13 @@ def test_latest_answers(spark):
     assert rows(op.latest_answers(df).select("uuid")) == [("ten",), ("x",)]
 
 
+@pytest.mark.parametrize("few_ids", [0, 10])
+def test_known_answers(spark, few_ids):
+    ids = spark.createDataFrame([("1",), ("3",)], "id string")
+    df = cache(spark, [("a", "1", "r1_1"), ("b", "1", "r2_1"), ("c", "2", "r1_1")])
+    assert rows(op.known_answers(ids, df, few_ids)) == [("b", "1", "r2_1")]
+
+
 @pytest.mark.parametrize("hot_rows", [1, 1_000_000])
 def test_enrich(spark, hot_rows):
     batch = spark.createDataFrame([("1", "a"), ("1", "b"), ("2", "a"), (None, "a")], "id string, code string")

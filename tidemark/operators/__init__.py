@@ -5,6 +5,7 @@ from tidemark.operators.enrich import (
     enrich_matched,
     enrich_tagged,
     enrich_unmatched,
+    known_answers,
     latest_answers,
     unmatched_sample,
 )
@@ -33,6 +34,7 @@ __all__ = [
     "enrich_tagged",
     "enrich_unmatched",
     "hot_keys",
+    "known_answers",
     "latest_answers",
     "lookup_join",
     "lookup_pages",

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tidemark.operators.dedup import dedup_latest
 from tidemark.operators.skew import HOT_ROWS, lookup_join
 
+FEW_IDS = 500_000
+
 
 def latest_answers(cache: DataFrame) -> DataFrame:
     """One answer per id: the newest run's, within a run the highest page.
@@ -26,6 +28,19 @@ def latest_answers(cache: DataFrame) -> DataFrame:
     return dedup_latest(placed, ["id"], ["_run", "_page"]).select("uuid", "id", "partition_ref")
 
 
+def known_answers(ids: DataFrame, cache: DataFrame, few_ids: int = FEW_IDS) -> DataFrame:
+    """The latest answers the cache has for some distinct ids.
+
+    Few ids (they are counted) are broadcast and filter the cache as it is
+    scanned, before any shuffle. More of them meet the cache after it is
+    reduced to one row per id, on the partitioning that made it so; an inner
+    join, for a semi join would be moved below the reduction.
+    """
+    if ids.count() <= few_ids:
+        return latest_answers(cache.join(F.broadcast(ids), "id", "left_semi"))
+    return latest_answers(cache).join(ids, "id").select("uuid", "id", "partition_ref")
+
+
 def _answers(cache: DataFrame, key: str) -> DataFrame:
     return latest_answers(cache).withColumnRenamed("id", key)
 

@@ -5,13 +5,13 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions.keyed_uuid import derive_entity_id
 from tidemark.operators.changes import REPEATED, change_detect
-from tidemark.operators.enrich import enrich_tagged, latest_answers
+from tidemark.operators.enrich import known_answers, latest_answers
 from tidemark.operators.lookup import (
     PAGE_SIZE,
     Ask,
@@ -20,7 +20,6 @@ from tidemark.operators.lookup import (
     parse_responses,
     unseen_keys,
 )
-from tidemark.operators.skew import HOT_ROWS
 from tidemark.sources.cache_table import CacheTable
 
 logger = logging.getLogger(__name__)
@@ -44,14 +43,14 @@ def lookup_enrich(
     """
     spark = batch.sparkSession
     ids = batch.select(F.col(key).alias("id")).where(F.col("id").isNotNull()).distinct()
-    wanted = cache.read(before=run_id).join(ids, "id", "left_semi")
-    latest_answers(wanted).write.mode("overwrite").parquet(f"{folder}/known")
+    known_answers(ids, cache.read(before=run_id)).write.mode("overwrite").parquet(f"{folder}/known")
     known = spark.read.schema(schemas.CACHE).parquet(f"{folder}/known")
 
     paged = assign_pages(unseen_keys(ids, known), page_size=page_size)
     ask(lookup_pages(paged)).write.mode("overwrite").parquet(f"{folder}/responses")
     responses = spark.read.schema(schemas.RESPONSE).parquet(f"{folder}/responses")
-    pages_by_status = {row.status: row.n for row in responses.groupBy("status").agg(F.count("*").alias("n")).collect()}
+    by_status = responses.groupBy("status").agg(F.count("*").alias("pages"))
+    pages_by_status = {row.status: row.pages for row in by_status.collect()}
     answered = pages_by_status.pop(200, 0)
     if pages_by_status:
         logger.warning("Pages without answer in run %s, by status: %s", run_id, pages_by_status)
@@ -74,18 +73,29 @@ def process_report(
     key_cols: Sequence[str],
     fingerprint_cols: Sequence[str],
     key: str = "id",
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """All process counters in one row, by one query."""
-    tagged = change_detect(cleaned, state, key_cols, fingerprint_cols).select(key, "change")
-    saved = F.col("change") != REPEATED
-    matched = F.count_if(saved & (F.col("state") == "save"))
-    return enrich_tagged(tagged, cache, key, hot_rows).agg(
-        F.count("*").alias("raw_count"),
-        F.count_if(saved).alias("new_count"),
-        F.count_if(~saved).alias("repeated_count"),
+    """All process counters in one row, by one query.
+
+    The rows are counted by lookup key before the cache is joined, so a key
+    meets its answer once however many rows it has.
+    """
+    tagged = change_detect(cleaned, state, key_cols, fingerprint_cols)
+    per_key = tagged.groupBy(key).agg(
+        F.count("*").alias("_rows"), F.count_if(F.col("change") != REPEATED).alias("_new")
+    )
+    answers = latest_answers(cache).select(F.col("id").alias(key), "uuid")
+    answered = F.col("uuid").isNotNull()
+
+    def total(rows: Column) -> Column:
+        return F.coalesce(F.sum(rows), F.lit(0))
+
+    matched = total(F.when(answered, F.col("_new")))
+    return per_key.join(answers, key, "left").agg(
+        total(F.col("_rows")).alias("raw_count"),
+        total(F.col("_new")).alias("new_count"),
+        total(F.col("_rows") - F.col("_new")).alias("repeated_count"),
         matched.alias("matched_count"),
-        F.count_if(saved & (F.col("state") == "skipped")).alias("not_matched_count"),
+        total(F.when(~answered, F.col("_new"))).alias("not_matched_count"),
         matched.alias("transformed_count"),
         matched.alias("valid_rows"),
     )

@@ -165,7 +165,7 @@ def change_detect_by_code(spark, sf_dir):
     batch = t.by_part(t.batch(spark, sf_dir))
     earlier = t.by_part(plans.cleanup(t.earlier_raw(spark, sf_dir), t.KEYS, t.ORDER))
     state = earlier.select(*t.KEYS, fn.row_fingerprint(*t.FINGERPRINT).alias("sha2"))
-    return op.change_detect_by_code(batch, state, t.FINGERPRINT)
+    return op.change_detect_by_code(t.staged(spark, batch), t.staged(spark, state), t.FINGERPRINT)
 
 
 def _fingerprinted(spark, sf_dir):
@@ -179,7 +179,8 @@ def state_upsert(spark, sf_dir):
 
 @query
 def state_upsert_by_id(spark, sf_dir):
-    return op.state_upsert_by_id(t.state(spark, sf_dir), _fingerprinted(spark, sf_dir))
+    state = t.staged(spark, t.state(spark, sf_dir))
+    return op.state_upsert_by_id(state, t.staged(spark, _fingerprinted(spark, sf_dir)))
 
 
 @query
@@ -264,7 +265,7 @@ def lookup_enrich(spark, sf_dir):
     folder = sources.new_folder(spark, "lookup")
     cache = sources.CacheTable(spark, f"{folder}/cache")
     cache.append(t.small_cache(spark, sf_dir), "1999-12-31")
-    batch = t.batch(spark, sf_dir)
+    batch = t.staged_batch(spark, sf_dir)
     ask = op.ask_table(t.service(spark, sf_dir))
     answers = plans.lookup_enrich(batch, cache, ask, "2000-01-01", folder)
     return op.enrich_tagged(batch, answers)
@@ -272,22 +273,22 @@ def lookup_enrich(spark, sf_dir):
 
 @query
 def enrich_tagged(spark, sf_dir):
-    return op.enrich_tagged(t.batch(spark, sf_dir), t.cache(spark, sf_dir))
+    return op.enrich_tagged(t.staged_batch(spark, sf_dir), t.cache(spark, sf_dir))
 
 
 @query
 def enrich_matched(spark, sf_dir):
-    return op.enrich_matched(t.batch(spark, sf_dir), t.cache(spark, sf_dir))
+    return op.enrich_matched(t.staged_batch(spark, sf_dir), t.cache(spark, sf_dir))
 
 
 @query
 def enrich_unmatched(spark, sf_dir):
-    return op.enrich_unmatched(t.batch(spark, sf_dir), t.cache(spark, sf_dir))
+    return op.enrich_unmatched(t.staged_batch(spark, sf_dir), t.cache(spark, sf_dir))
 
 
 @query
 def enrich_full_outer(spark, sf_dir):
-    return op.enrich_full_outer(t.batch(spark, sf_dir), t.cache(spark, sf_dir))
+    return op.enrich_full_outer(t.staged_batch(spark, sf_dir), t.cache(spark, sf_dir))
 
 
 @query
@@ -303,7 +304,7 @@ def enrich_documents(spark, sf_dir):
 
 @query
 def unmatched_sample(spark, sf_dir):
-    unmatched = op.enrich_unmatched(t.batch(spark, sf_dir), t.cache(spark, sf_dir))
+    unmatched = op.enrich_unmatched(t.staged_batch(spark, sf_dir), t.cache(spark, sf_dir))
     return op.unmatched_sample(unmatched)
 
 
@@ -316,7 +317,7 @@ def process_report(spark, sf_dir):
 
 @query
 def publish_output(spark, sf_dir):
-    matched = op.enrich_matched(t.batch(spark, sf_dir), t.cache(spark, sf_dir))
+    matched = op.enrich_matched(t.staged_batch(spark, sf_dir), t.cache(spark, sf_dir))
     path = sources.new_folder(spark, "output")
     columns = ["uuid", "id", "code", "group_id"]
     sources.publish_output(plans.transform(matched, t.SECRET), path, columns, ["group_id"])

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import keyed_uuid, row_fingerprint
 from tidemark.plans import cleanup
+from tidemark.sources import new_folder
 
 SECRET = b"my-unique-secret"  # fixed value: the secret the expected UUIDs were made with
 KEYS = ("id", "code")
@@ -54,6 +55,17 @@ def batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleanup(batch_raw(spark, sf_dir), KEYS, ORDER)
 
 
+def staged(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """The rows written and read back, as a run does before using them more than once."""
+    path = new_folder(spark, "staged")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def staged_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return staged(spark, batch(spark, sf_dir))
+
+
 def state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fingerprints of the earlier run."""
     return cleanup(earlier_raw(spark, sf_dir), KEYS, ORDER).select(
