@@ -76,7 +76,7 @@ def test_state_versions(spark):
 def test_uncommitted_snapshot_is_not_read(spark):
     table = StateTable(spark, new_folder(spark, "state"), buckets=2)
     table.upsert(batch(spark, 3, "good"), "run0")
-    batch(spark, 9, "lost").write.parquet(f"{table.path}/version=1")
+    batch(spark, 9, "lost").write.parquet(f"{table.path}/snapshot=1")
     assert {r.sha2 for r in table.read().collect()} == {"good"}
     table.upsert(batch(spark, 1, "next"), "run1")
     assert sorted(r.sha2 for r in table.read().collect()) == ["good", "good", "next"]
@@ -95,11 +95,37 @@ def test_changed_bucket_count(spark):
     StateTable(spark, path, buckets=2).upsert(batch(spark, 5, "x"), "run0")
     wider = StateTable(spark, path, buckets=3)
     wider.upsert(batch(spark, 7, "y"), "run1")
-    assert wider.read().count() == 7 and wider.latest().buckets == 3
+    assert wider.read().count() == 7 and wider.commits()[-1].buckets == 3
     files = [f for f in wider.read().inputFiles()]
     assert len(files) == 3
 
 
+def test_empty_batch_keeps_the_snapshot(spark):
+    table = StateTable(spark, new_folder(spark, "state"), buckets=2)
+    table.upsert(batch(spark, 5, "x"), "run0")
+    files = sorted(table.read().inputFiles())
+    assert table.upsert(batch(spark, 0, "y"), "run1") == 1
+    assert sorted(table.read().inputFiles()) == files and table.is_committed("run1")
+    assert table.upsert(batch(spark, 6, "z"), "run2") == 2
+    assert table.read().count() == 6
+
+
+def test_sorted_files_spare_the_sort(spark):
+    from tidemark.operators import state_upsert
+
+    table = StateTable(spark, new_folder(spark, "state"), buckets=4)
+    table.upsert(batch(spark, 100, "x"), "run0")
+    table.upsert(batch(spark, 50, "y"), "run1")
+    spark.conf.set("spark.sql.legacy.bucketedTableScan.outputOrdering", True)
+    try:
+        merged = state_upsert(table.read(), batch(spark, 10, "z"), ["id", "code"])
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Sort [") == 1, plan
+        assert merged.count() == 100
+    finally:
+        spark.conf.unset("spark.sql.legacy.bucketedTableScan.outputOrdering")
+
+
 def test_joins_do_not_shuffle_the_state(spark):
     from tidemark.operators import change_detect, dedup_latest, state_upsert
 

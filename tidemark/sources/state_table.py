@@ -18,6 +18,7 @@ _COMMITS = T.StructType(
     [
         T.StructField("version", T.LongType()),
         T.StructField("run_id", T.StringType()),
+        T.StructField("snapshot", T.LongType()),
         T.StructField("buckets", T.IntegerType()),
     ]
 )
@@ -27,12 +28,12 @@ _COMMITS = T.StructType(
 class StateTable:
     """Snapshots below ``path``, bucketed by the keys into ``buckets`` files.
 
-    A snapshot is never written over the one being read: version N goes to
-    folder N modulo ``keep``, and counts once its row is in ``commits``. What
-    a lost run left half-written is never read. One run at a time may write.
-    Joins on the keys read a
-    snapshot without shuffling it; with ``buckets`` equal to the session's
-    shuffle partitions, the batch is shuffled once for all of them.
+    A snapshot is never written over the one being read: number N goes to
+    folder N modulo ``keep``, and counts once a row in ``commits`` names it.
+    What a lost run left half-written is never read. One run at a time may
+    write. Joins on the keys read a snapshot without shuffling it; with
+    ``buckets`` equal to the session's shuffle partitions, the batch is
+    shuffled once for all of them.
     """
 
     spark: SparkSession
@@ -45,61 +46,71 @@ class StateTable:
         if self.keep < 2:
             raise ValueError("keep two snapshots at least: the one read and the one written")
 
-    def commits(self) -> DataFrame:
-        return open_table(self.spark, f"{self.path}/commits", _COMMITS)
-
-    def latest(self) -> Row | None:
-        return self.commits().orderBy(F.desc("version")).first()
+    def commits(self) -> list[Row]:
+        """The commit log, one short row per run, oldest first."""
+        log = open_table(self.spark, f"{self.path}/commits", _COMMITS)
+        return log.orderBy("version").collect()
 
     def is_committed(self, run_id: str) -> bool:
-        return not self.commits().where(F.col("run_id") == run_id).isEmpty()
+        return any(commit.run_id == run_id for commit in self.commits())
 
     def read(self) -> DataFrame:
         """The newest committed snapshot, or no rows before the first."""
-        latest = self.latest()
-        if latest is None:
+        commits = self.commits()
+        if not commits:
             return self.spark.createDataFrame([], schemas.state_schema(self.key_cols))
-        return self.spark.table(self._declare(latest.version, latest.buckets))
+        return self.spark.table(self._declare(commits[-1].snapshot, commits[-1].buckets))
 
     def upsert(self, batch: DataFrame, run_id: str) -> int:
         """Merge the batch's fingerprints into a new snapshot, commit it, return its version.
 
-        The batch must not be a plan over this table's older snapshots that
-        are no longer kept; a written table is safest.
+        An empty batch commits the present snapshot once more. The batch must
+        not be a plan over snapshots of this table that are no longer kept; a
+        written table is safest.
         """
-        latest = self.latest()
+        commits = self.commits()
+        if commits and batch.isEmpty():
+            latest = commits[-1]
+            return self._commit(latest.version + 1, run_id, latest.snapshot, latest.buckets)
         buckets = self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        version = 0 if latest is None else latest.version + 1
-        if latest is None:
-            rows = batch.select(*self.key_cols, "sha2")
-        else:
+        if commits:
+            latest = commits[-1]
+            version, snapshot = latest.version + 1, latest.snapshot + 1
             rows = state_upsert(self.read(), batch, self.key_cols)
-        if latest is None or latest.buckets != buckets:
+            aligned = latest.buckets == buckets
+        else:
+            version, snapshot = 0, 0
+            rows = batch.select(*self.key_cols, "sha2")
+            aligned = False
+        if not aligned:
             # Otherwise the rows already lie by bucket, one file a task.
             rows = rows.repartition(buckets, *self.key_cols)
-        rows.write.insertInto(self._declare(version, buckets), overwrite=True)
-        commit = self.spark.range(1).select(
-            F.lit(version).cast("long").alias("version"),
-            F.lit(run_id).alias("run_id"),
-            F.lit(buckets).alias("buckets"),
-        )
-        commit.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
-        for old in self.commits().where(F.col("version") == version - self.keep).collect():
+        rows.write.insertInto(self._declare(snapshot, buckets), overwrite=True)
+        self._commit(version, run_id, snapshot, buckets)
+        for old in {(c.snapshot, c.buckets) for c in commits if c.snapshot == snapshot - self.keep}:
             # Its folder holds the new snapshot now; files stay, being external.
-            self.spark.sql(f"DROP TABLE IF EXISTS {self._name(old.version, old.buckets)}")
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._name(*old)}")
+        return version
+
+    def _commit(self, version: int, run_id: str, snapshot: int, buckets: int) -> int:
+        values = (version, run_id, snapshot, buckets)
+        row = self.spark.range(1).select(
+            *(F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, _COMMITS))
+        )
+        row.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
         return version
 
-    def _name(self, version: int, buckets: int) -> str:
-        return f"tidemark_{md5(self.path.encode()).hexdigest()[:16]}_{version}_{buckets}"
+    def _name(self, snapshot: int, buckets: int) -> str:
+        return f"tidemark_{md5(self.path.encode()).hexdigest()[:16]}_{snapshot}_{buckets}"
 
-    def _declare(self, version: int, buckets: int) -> str:
+    def _declare(self, snapshot: int, buckets: int) -> str:
         """Name of the catalog entry over a snapshot's folder, made if missing."""
-        name = self._name(version, buckets)
+        name = self._name(snapshot, buckets)
         keys = ", ".join(f"`{c}`" for c in self.key_cols)
         columns = ", ".join(f"`{c}` STRING" for c in (*self.key_cols, "sha2"))
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet"
             f" CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {buckets} BUCKETS"
-            f" LOCATION '{self.path}/version={version % self.keep}'"
+            f" LOCATION '{self.path}/snapshot={snapshot % self.keep}'"
         )
         return name
