@@ -90,6 +90,18 @@ def test_another_session_reads_the_state(spark):
     assert table.read().count() == 5
 
 
+def test_buckets_fit_the_rows(spark, monkeypatch):
+    from tidemark.sources import state_table
+
+    monkeypatch.setattr(state_table, "ROWS_PER_BUCKET", 10)
+    table = StateTable(spark, new_folder(spark, "state"))
+    sizes = {}
+    for number, n in enumerate([5, 12, 3, 100]):
+        table.upsert(batch(spark, n, f"v{number}"), f"run{number}")
+        sizes[table.read().count()] = table.commits()[-1].buckets
+    assert sizes == {5: 1, 12: 2, 100: 4}  # four shuffle partitions in the tests
+
+
 def test_changed_bucket_count(spark):
     path = new_folder(spark, "state")
     StateTable(spark, path, buckets=2).upsert(batch(spark, 5, "x"), "run0")

@@ -14,6 +14,8 @@ from tidemark import schemas
 from tidemark.operators.state import state_upsert
 from tidemark.sources.shared import open_table
 
+ROWS_PER_BUCKET = 100_000
+
 _COMMITS = T.StructType(
     [
         T.StructField("version", T.LongType()),
@@ -31,9 +33,10 @@ class StateTable:
     A snapshot is never written over the one being read: number N goes to
     folder N modulo ``keep``, and counts once a row in ``commits`` names it.
     What a lost run left half-written is never read. One run at a time may
-    write. Joins on the keys read a snapshot without shuffling it; with
-    ``buckets`` equal to the session's shuffle partitions, the batch is
-    shuffled once for all of them.
+    write. Joins on the keys read a snapshot without shuffling it; with as
+    many buckets as the session has shuffle partitions, a batch is shuffled
+    once for all of them. That is the number a large state gets unless
+    ``buckets`` sets it; a small one gets fewer, to spare files.
     """
 
     spark: SparkSession
@@ -69,20 +72,20 @@ class StateTable:
         written table is safest.
         """
         commits = self.commits()
-        if commits and batch.isEmpty():
-            latest = commits[-1]
+        latest = commits[-1] if commits else None
+        new_rows = batch.count()
+        if latest and not new_rows:
             return self._commit(latest.version + 1, run_id, latest.snapshot, latest.buckets)
-        buckets = self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        if commits:
-            latest = commits[-1]
+        if latest:
             version, snapshot = latest.version + 1, latest.snapshot + 1
-            rows = state_upsert(self.read(), batch, self.key_cols)
-            aligned = latest.buckets == buckets
+            current = self.read()
+            rows = state_upsert(current, batch, self.key_cols)
+            buckets = self.buckets or max(latest.buckets, self._fitting_buckets(current.count() + new_rows))
         else:
             version, snapshot = 0, 0
             rows = batch.select(*self.key_cols, "sha2")
-            aligned = False
-        if not aligned:
+            buckets = self.buckets or self._fitting_buckets(new_rows)
+        if not latest or latest.buckets != buckets:
             # Otherwise the rows already lie by bucket, one file a task.
             rows = rows.repartition(buckets, *self.key_cols)
         rows.write.insertInto(self._declare(snapshot, buckets), overwrite=True)
@@ -92,6 +95,12 @@ class StateTable:
             self.spark.sql(f"DROP TABLE IF EXISTS {self._name(*old)}")
         return version
 
+    def _fitting_buckets(self, rows: int) -> int:
+        """A power of two with at most ``ROWS_PER_BUCKET`` rows each, or the shuffle partitions."""
+        wanted = max(1, -(-rows // ROWS_PER_BUCKET))
+        partitions = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return min(partitions, 1 << (wanted - 1).bit_length())
+
     def _commit(self, version: int, run_id: str, snapshot: int, buckets: int) -> int:
         values = (version, run_id, snapshot, buckets)
         row = self.spark.range(1).select(
