@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +19,20 @@ WHITE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def ready(spark: SparkSession) -> None:
+    """Lets Python workers import this package also where only the driver's path has it.
+
+    That is for a session on one machine; on a cluster the package is installed or
+    sent along with ``--py-files``.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, root]))
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ready(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, quality_rules, token_counts
+from . import bpe, jaccard, langid, mixing, quality_rank, quality_rules, token_counts, toxicity, vafile
 from .common import read
 from .sql import ORACLE
 
@@ -17,6 +17,19 @@ __all__ = ["ORACLE", "QUERIES"]
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join_classes(read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vafile.top_k(read(spark, sf_dir, "embeddings"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    return toxicity.with_toxicity(docs, labels).withColumnRenamed("id", "doc_id")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     got = quality_rules.with_verdicts(docs)
@@ -33,10 +46,30 @@ def op7_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.with_digests(read(spark, sf_dir, "documents"), VOCABULARY).withColumnRenamed("id", "doc_id")
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    return quality_rank.with_quality(docs, labels).withColumnRenamed("id", "doc_id")
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.with_language(read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"), VOCABULARY).withColumnRenamed("id", "doc_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_quality_rules, op6_mix_sources, op7_bpe_roundtrip, op10_token_counts)
+    f.__name__: f
+    for f in (
+        op1_jaccard_join,
+        op2_exact_top_k,
+        op3_toxicity,
+        op5_quality_rules,
+        op6_mix_sources,
+        op7_bpe_roundtrip,
+        op8_quality_classifier,
+        op9_language,
+        op10_token_counts,
+    )
 }

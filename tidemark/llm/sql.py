@@ -43,4 +43,44 @@ union all
 select doc_id, size::bigint, source_size, target, (size * whole)::bigint from k where not (f > 0 and size > 0)
 """
 
-ORACLE: dict[str, str] = {"op6_mix_sources": OP6}
+#: All pairs of documents that share a shingle, and all documents that links lead to.
+OP1 = """
+with recursive w as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as w
+  from documents
+), s as (
+  select doc_id, case when len(w) = 0 then []::varchar[] when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_distinct(list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i + 4], ' '))) end as s
+  from w
+), n as (
+  select doc_id, len(s)::bigint as n, md5(array_to_string(list_sort(s), chr(10))) as same from s
+), u as (
+  select doc_id, unnest(s) as g from s
+), x as (
+  select a.doc_id as a, b.doc_id as b, count(*) as k from u a join u b on a.g = b.g and a.doc_id <> b.doc_id group by all
+), l as (
+  select x.a, x.b from x join n p on p.doc_id = x.a join n q on q.doc_id = x.b where 100 * k >= 75 * (p.n + q.n - k)
+), r as (
+  select doc_id as d, doc_id as c from n union select l.b, r.c from r join l on l.a = r.d
+)
+select n.doc_id, n.n as n_shingles, min(r.c) as component_id,
+  any_value(case when n.n = 0 then 0 else (select count(*) from n m where m.same = n.same) end)::bigint as n_equal
+from n join r on r.d = n.doc_id group by n.doc_id, n.n
+"""
+
+OP2 = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as v from embeddings
+  where embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), s as (
+  select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint as score
+  from v q join v c on q.vec_id % 100 = 0 and c.vec_id <> q.vec_id and len(q.v) = len(c.v)
+), r as (
+  select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s
+)
+select query_id, rank::int as rank, vec_id, score from r where rank <= 10
+"""
+
+ORACLE: dict[str, str] = {"op1_jaccard_join": OP1, "op2_exact_top_k": OP2, "op6_mix_sources": OP6}
