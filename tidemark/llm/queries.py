@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, langid, mixing, quality_rank, quality_rules, token_counts, toxicity, vafile
+from . import bpe, jaccard, langid, lm_score, mixing, quality_rank, quality_rules, token_counts, toxicity, vafile
 from .common import read
 from .sql import ORACLE
 
@@ -30,6 +30,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.with_toxicity(docs, labels).withColumnRenamed("id", "doc_id")
 
 
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.with_scores(read(spark, sf_dir, "documents"), VOCABULARY).withColumnRenamed("id", "doc_id")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     got = quality_rules.with_verdicts(docs)
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_jaccard_join,
         op2_exact_top_k,
         op3_toxicity,
+        op4_lm_score,
         op5_quality_rules,
         op6_mix_sources,
         op7_bpe_roundtrip,
