@@ -65,6 +65,27 @@ def is_fold(id_col: Column, n: int, value: int) -> Column:
     return F.coalesce(fold(id_col, n) == value, F.lit(True))
 
 
+def share(id_col: Column) -> Column:
+    """A number from 0 to 1 in the order of md5 of the id as text."""
+    return F.conv(F.substring(F.md5(id_col.cast("string")), 1, 8), 16, 10).cast("double") / float(2**32)
+
+
+def most_common(counts: DataFrame, most: int) -> pa.Table:
+    """The rows (h, c) of a written table with the highest ``c``, at most ``most`` of them, for the driver.
+
+    All from some count on: a histogram by powers of 2 ** (1 / 8) tells which, so no
+    task sends rows that are not among them.
+    """
+    step = F.floor(F.log2("c") * 8)
+    total, least = 0, None
+    for r in sorted(counts.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect(), key=lambda r: -r["step"]):
+        total += r["n"]
+        if total > most:
+            break
+        least = r["step"]
+    return counts.where(F.lit(False) if least is None else step >= least).select("h", "c").toArrow()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again: later steps survive lost executors."""
     spark = df.sparkSession
@@ -98,6 +119,25 @@ def join_few(rows: DataFrame, few: DataFrame, on: list[str], how: str = "inner",
     return rows.withColumn(salt, own).join(dealt, [*on, salt], how).drop(salt)
 
 
+class Recent(dict):
+    """What ``make`` gives for a key, remembered for short keys: the last ``most`` ones and up to as many before."""
+
+    def __init__(self, make: Callable, most: int, longest: int = 64):
+        super().__init__()
+        self.make, self.most, self.longest, self.before = make, most, longest, {}
+
+    def __missing__(self, key):
+        value = self.before.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= self.longest:
+            if len(self) >= self.most:
+                self.before = dict(self)
+                self.clear()
+            self[key] = value
+        return value
+
+
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all texts, one after the other, and where each begins and ends; null is empty."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")

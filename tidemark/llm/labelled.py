@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import is_fold
+from .common import is_fold, share
 
 
 def sample(
@@ -29,7 +29,11 @@ def sample(
         ~is_fold(F.col("_id"), folds, held_out) & F.col("_label").isin(0, 1)
     )
     first = F.md5(F.col("_id").cast("string")), F.col("_id")
-    picked = [known.where(F.col("_label") == y).orderBy(*first).limit(2 * per_class) for y in (0, 1)]
+    seen = {r["_label"]: r["count"] for r in known.groupBy("_label").count().collect()}
+    picked = [  # of each label three times as many as asked for go on, and 2 x per_class of these
+        known.where((F.col("_label") == y) & (share(F.col("_id")) < 3 * per_class / seen.get(y, 1))).orderBy(*first).limit(2 * per_class)
+        for y in (0, 1)
+    ]
     few = F.broadcast(picked[0].unionByName(picked[1]))  # at most 4 x per_class rows
     rows = (
         docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import is_fold
+from .common import is_fold, join_few, share, written
 from .ngrams import grams
 
 LENGTHS = (1, 2, 3)
@@ -145,6 +145,8 @@ def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_langu
         F.col("_lang").isNotNull() & (F.octet_length("_text") <= most_bytes) & ~is_fold(F.col("_id"), 3, 1)
     )
     first = F.md5(F.col("_id").cast("string")), F.col("_id"), F.col("_text")
+    seen = written(rows.groupBy("_lang").agg(F.count("*").alias("_n")), "languages")
+    rows = join_few(rows, seen, ["_lang"]).where(share(F.col("_id")) < 3 * per_language / F.col("_n"))
     ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy("_lang").orderBy(*first)))
     few = ranked.where(F.col("_rank") <= per_language).orderBy("_rank", "_lang").limit(50 * per_language)
     return [(r["_text"], r["_lang"]) for r in few.select("_text", "_lang").collect()]
