@@ -9,15 +9,17 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tokens_base import Vocabulary, pieces, vocabulary
+from .common import Recent
+from .tokens_base import Vocabulary, chunks, of_chunk, pieces, vocabulary
 
-#: Pieces and fragments whose ids a Python worker remembers at a time.
+#: Chunks and fragments whose ids a Python worker remembers at a time.
 REMEMBERED = 400_000
 
 
@@ -36,20 +38,45 @@ def fragments(piece: bytes, inner: list[bytes]) -> list[bytes]:
     return [piece[a:b] for a, b in zip([0, *cuts], [*cuts, len(piece)])]
 
 
+#: What stands for the rank of a pair that is never joined.
+_NONE = 1 << 60
+#: Bytes from which on a fragment is merged in rounds.
+LONG = 128
+
+
 def merge(fragment: bytes, words: Vocabulary) -> list[int]:
-    """The ids of one fragment: in each round the lowest-rank pair is joined wherever it stands, from the left."""
-    ids = [words.byte_ids[b] for b in fragment]
-    merges = words.merges
+    """The ids of one fragment: again and again the lowest-rank pair is joined, the leftmost of equal ones first."""
+    byte_ids = words.byte_ids
+    ids = [byte_ids[b] for b in fragment]
+    if len(ids) >= LONG:
+        return _in_rounds(ids, words)
+    get = words.merges.get
+    ranks = [get(a * 65537 + b, _NONE) for a, b in zip(ids, ids[1:])]
+    while ranks:
+        best = min(ranks)
+        if best == _NONE:
+            break
+        i = ranks.index(best)
+        merged = ids[i] = best & 0xFFFF
+        del ids[i + 1], ranks[i]
+        if i:
+            ranks[i - 1] = get(ids[i - 1] * 65537 + merged, _NONE)
+        if i < len(ranks):
+            ranks[i] = get(merged * 65537 + ids[i + 1], _NONE)
+    return ids
+
+
+def _in_rounds(ids: list[int], words: Vocabulary) -> list[int]:
+    """The same for long fragments: in each round the lowest-rank pair is joined wherever it stands, from the left."""
+    get = words.merges.get
     while len(ids) > 1:
-        found = [merges[p] for p in zip(ids, ids[1:]) if p in merges]
-        if not found:
+        best = min(get(a * 65537 + b, _NONE) for a, b in zip(ids, ids[1:]))
+        if best == _NONE:
             break
-        rank, merged = min(found)
-        joined, i = [], 0
-        while i < len(ids):
-            pair = merges.get((ids[i], ids[i + 1])) if i + 1 < len(ids) else None
-            if pair is not None and pair[0] == rank:
-                joined.append(merged)
+        joined, i, last = [], 0, len(ids) - 1
+        while i <= last:
+            if i < last and get(ids[i] * 65537 + ids[i + 1]) == best:
+                joined.append(best & 0xFFFF)
                 i += 2
             else:
                 joined.append(ids[i])
@@ -58,44 +85,30 @@ def merge(fragment: bytes, words: Vocabulary) -> list[int]:
     return ids
 
 
-class _Memory(dict):
-    """Ids by piece, kept for short ones and forgotten when too many."""
+class Encoder:
+    """Encodes texts, remembering the ids of fragments and of chunks."""
 
     def __init__(self, words: Vocabulary):
-        super().__init__()
         self.words, self.inner = words, inner_pairs(words)
-        self.known: dict[bytes, list[int]] = {}
-
-    def _fragment(self, fragment: bytes) -> list[int]:
-        ids = self.known.get(fragment)
-        if ids is None:
-            ids = merge(fragment, self.words)
-            if len(fragment) <= 64:
-                if len(self.known) >= REMEMBERED:
-                    self.known.clear()
-                self.known[fragment] = ids
-        return ids
-
-    def __missing__(self, piece: str) -> list[int]:
-        ids = [i for f in fragments(piece.encode(), self.inner) for i in self._fragment(f)]
-        if len(piece) <= 64:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[piece] = ids
+        self.fragments = Recent(lambda fragment: merge(fragment, words), REMEMBERED)
+        self.chunks = Recent(lambda chunk: self.whole(of_chunk(chunk)), REMEMBERED)
+
+    def whole(self, text: str) -> list[int]:
+        known, inner = self.fragments, self.inner
+        return [i for piece in pieces(text) for f in fragments(piece.encode(), inner) for i in known[f]]
+
+    def encode(self, text: str) -> list[int]:
+        ids: list[int] = []
+        for part, special in self.words.parts(text):
+            if special is not None:
+                ids.append(special)
+            else:
+                first, *rest = chunks(part)
+                ids += self.whole(first)
+                ids += chain.from_iterable(map(self.chunks.__getitem__, rest))
         return ids
 
 
-def encode_text(text: str, words: Vocabulary, memory: _Memory) -> list[int]:
-    ids: list[int] = []
-    for part, special in words.parts(text):
-        if special is not None:
-            ids.append(special)
-        else:
-            for piece in map(memory.__getitem__, pieces(part)):
-                ids += piece
-    return ids
-
-
 def decode_ids(ids: list[int], words: Vocabulary) -> str:
     """The text of ``ids``; bytes that are no UTF-8 become the replacement character."""
     return b"".join(map(words.decoded.__getitem__, ids)).decode("utf-8", "replace")
@@ -107,9 +120,9 @@ def encode(text: Column, path: str) -> Column:
     @F.arrow_udf("array<int>")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         words = vocabulary(path)
-        memory = _Memory(words)
+        encoder = Encoder(words)
         for batch in batches:
-            yield pa.array([encode_text(t, words, memory) if t else [] for t in batch.to_pylist()], pa.list_(pa.int32()))
+            yield pa.array([encoder.encode(t) if t else [] for t in batch.to_pylist()], pa.list_(pa.int32()))
 
     return ids(text)
 
@@ -126,36 +139,39 @@ def decode(ids: Column, path: str) -> Column:
     return text(ids)
 
 
-def digests(text: Column, path: str) -> Column:
-    """A struct (n_tokens, ids_sha256, decoded_sha256) of each text's ids, and of the text decoded from them.
+def digests(text: Column, path: str, keep_ids: bool = False) -> Column:
+    """A struct (n_tokens, ids_sha256, decoded_sha256) of each text's ids and of the text decoded from them.
 
-    Encodes and decodes in one pass, so that the ids need not leave the worker.
+    Encodes and decodes in one pass; ``keep_ids`` adds the ids (array<int>).
     """
+    fields = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids
 
-    @F.arrow_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
+    @F.arrow_udf(fields)
     def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         words = vocabulary(path)
-        memory = _Memory(words)
+        encoder = Encoder(words)
         for batch in batches:
-            out: tuple[list, list, list] = [], [], []
+            counts, coded, decoded, kept = [], [], [], []
             for t in batch.to_pylist():
-                ids = encode_text(t or "", words, memory)
-                out[0].append(len(ids))
-                out[1].append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
-                out[2].append(hashlib.sha256(decode_ids(ids, words).encode()).hexdigest())
-            yield pa.StructArray.from_arrays(
-                [pa.array(out[0], pa.int64()), pa.array(out[1], pa.string()), pa.array(out[2], pa.string())],
-                ["n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+                ids = encoder.encode(t or "")
+                counts.append(len(ids))
+                coded.append(hashlib.sha256(",".join(map(words.names.__getitem__, ids)).encode()).hexdigest())
+                decoded.append(hashlib.sha256(decode_ids(ids, words).encode()).hexdigest())
+                if keep_ids:
+                    kept.append(np.array(ids, np.int32))
+            cols = [pa.array(counts, pa.int64()), pa.array(coded, pa.string()), pa.array(decoded, pa.string())]
+            if keep_ids:
+                cols.append(pa.array(kept, pa.list_(pa.int32())))
+            yield pa.StructArray.from_arrays(cols, ["n_tokens", "ids_sha256", "decoded_sha256", "ids"][: len(cols)])
 
     return both(text)
 
 
-def with_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_tokens, ids_sha256, decoded_sha256) for each row of ``docs``; null texts count as empty.
+def with_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False) -> DataFrame:
+    """(id, n_tokens, ids_sha256, decoded_sha256) for each row of ``docs``, and its ids if asked; null texts count as empty.
 
     Equal rows give equal rows, an empty table an empty result; other columns are not
     looked at. A text goes through one Python worker as a whole.
     """
-    got = docs.select(F.col(id_col).alias("id"), digests(F.col(text_col), path).alias("d"))
-    return got.select("id", "d.n_tokens", "d.ids_sha256", "d.decoded_sha256")
+    got = docs.select(F.col(id_col).alias("id"), digests(F.col(text_col), path, keep_ids).alias("d"))
+    return got.select("id", "d.*")

@@ -9,10 +9,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import Recent
 from .tokens_base import Vocabulary, pieces, vocabulary
 
 #: Pieces whose counts a Python worker remembers at a time.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 
 
 def count_merged(piece: bytes, words: Vocabulary) -> int:
@@ -27,48 +28,38 @@ def count_merged(piece: bytes, words: Vocabulary) -> int:
     merges = words.merges
     heap = []
     for i in range(n - 1):
-        if found := merges.get((symbols[i], symbols[i + 1])):
-            heap.append((found[0], i, found[1], symbols[i], symbols[i + 1]))
+        if (found := merges.get(symbols[i] * 65537 + symbols[i + 1])) is not None:
+            heap.append((found, i, symbols[i], symbols[i + 1]))
     heapify(heap)
     left = n
     while heap:
-        _, i, merged, a, b = heappop(heap)
+        found, i, a, b = heappop(heap)
         j = after[i]
         if symbols[i] != a or j >= n or symbols[j] != b:
             continue
-        symbols[i], symbols[j] = merged, -1
+        merged = symbols[i] = found & 0xFFFF
+        symbols[j] = -1
         after[i] = k = after[j]
         left -= 1
         if k < n:
             before[k] = i
-            if found := merges.get((merged, symbols[k])):
-                heappush(heap, (found[0], i, found[1], merged, symbols[k]))
-        if (h := before[i]) >= 0 and (found := merges.get((symbols[h], merged))):
-            heappush(heap, (found[0], h, found[1], symbols[h], merged))
+            if (found := merges.get(merged * 65537 + symbols[k])) is not None:
+                heappush(heap, (found, i, merged, symbols[k]))
+        if (h := before[i]) >= 0 and (found := merges.get(symbols[h] * 65537 + merged)) is not None:
+            heappush(heap, (found, h, symbols[h], merged))
     return left
 
 
-class _Counts(dict):
-    """Count by piece; a missing one is merged, and all are forgotten when too many."""
+class Counter:
+    """Counts texts' tokens, remembering the counts of pieces."""
 
     def __init__(self, words: Vocabulary):
-        super().__init__()
         self.words = words
+        self.pieces = Recent(lambda piece: count_merged(piece.encode(), words), REMEMBERED)
 
-    def __missing__(self, piece: str) -> int:
-        n = count_merged(piece.encode(), self.words)
-        if len(piece) <= 64:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[piece] = n
-        return n
-
-
-def count_text(text: str, words: Vocabulary, counts: _Counts) -> int:
-    total = 0
-    for part, special in words.parts(text):
-        total += 1 if special is not None else sum(map(counts.__getitem__, pieces(part)))
-    return total
+    def count(self, text: str) -> int:
+        known = self.pieces.__getitem__
+        return sum(1 if special is not None else sum(map(known, pieces(part))) for part, special in self.words.parts(text))
 
 
 def n_tokens(text: Column, path: str) -> Column:
@@ -76,10 +67,9 @@ def n_tokens(text: Column, path: str) -> Column:
 
     @F.arrow_udf("long")
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        words = vocabulary(path)
-        counts = _Counts(words)
+        counter = Counter(vocabulary(path))
         for batch in batches:
-            yield pa.array([count_text(t, words, counts) if t else 0 for t in batch.to_pylist()], pa.int64())
+            yield pa.array([counter.count(t) if t else 0 for t in batch.to_pylist()], pa.int64())
 
     return count(text)
 

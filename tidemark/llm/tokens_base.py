@@ -47,6 +47,25 @@ def pieces(text: str) -> list[str]:
     return (_PIECE if plain else _PIECE_LATER).findall(text)
 
 
+_BESIDE = regex.compile(rf"[{_SPACE}]{{2}}")
+
+
+def chunks(text: str) -> list[str]:
+    """``text`` cut at spaces, these left out, and before line ends, where a piece surely begins.
+
+    That is where each of them stands between two signs that are not white; a text
+    in which one does not is one chunk.
+    """
+    if text[:1] in (" ", "\n") or text[-1:] in (" ", "\n") or _BESIDE.search(text):
+        return [text]
+    return text.replace("\n", " \n").split(" ")
+
+
+def of_chunk(chunk: str) -> str:
+    """The text of a chunk that is not the first."""
+    return chunk if chunk[:1] == "\n" else f" {chunk}"
+
+
 def _byte_letters() -> dict[str, int]:
     """The letter that stands for each byte in the vocabulary file: itself where printable, else from U+0100 on."""
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -55,7 +74,11 @@ def _byte_letters() -> dict[str, int]:
 
 
 class Vocabulary:
-    """Tokens as bytes, the rank of each mergeable pair of ids, and the special strings."""
+    """Tokens as bytes, mergeable pairs, and the special strings.
+
+    A pair of ids is one number, ``left * 65537 + right``; ``merges`` has for it the
+    rank and the merged id as ``rank << 16 | id``, so the least is merged first.
+    """
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
@@ -65,12 +88,14 @@ class Vocabulary:
         ids = {raw(text): number for text, number in spec["model"]["vocab"].items()}
         self.tokens = {number: text for text, number in ids.items()}
         self.byte_ids = [ids[bytes([b])] for b in range(256)]
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        self.merges: dict[int, int] = {}
         for rank, pair in enumerate(spec["model"]["merges"]):
             left, right = (raw(x) for x in (pair.split(" ") if isinstance(pair, str) else pair))
-            self.merges.setdefault((ids[left], ids[right]), (rank, ids[left + right]))
+            self.merges.setdefault(ids[left] * 65537 + ids[right], rank << 16 | ids[left + right])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.decoded = self.tokens | {number: text.encode() for text, number in self.special.items()}
+        decoded = self.tokens | {number: text.encode() for text, number in self.special.items()}
+        self.decoded = [decoded.get(i) for i in range(max(decoded) + 1)]
+        self.names = [str(i) for i in range(len(self.decoded))]
         self._special = regex.compile("|".join(sorted(map(regex.escape, self.special), key=len, reverse=True)) or r"(?!)")
 
     def parts(self, text: str) -> Iterator[tuple[str, int | None]]:
