@@ -22,6 +22,7 @@ RUN_DATE = dt.date(2024, 5, 13)
 SCHEMA = "id long, code string, group_id long, created_at timestamp, description string"
 CODE = "abcde12345"
 
+# The rows of the example job and, below, the report they give.
 GOLDEN = [
     (123456789, CODE, 2, dt.datetime(2024, 5, 8), "The Description"),
     (123456789, CODE, 2, dt.datetime(2024, 5, 9), "The Description"),
@@ -110,9 +111,99 @@ def test_golden_run(spark, golden):
 def test_committed_run_is_not_repeated(spark, golden):
     conf = config(spark)
     ask = ask_table(service(spark, [123456789]))
-    run_incremental(spark, conf, golden, ask, FRIDAY)
+    run_incremental(spark, conf, golden, ask, FRIDAY, "r1")
     with pytest.raises(ValueError, match="already committed"):
-        run_incremental(spark, conf, golden, ask, FRIDAY)
+        run_incremental(spark, conf, golden, ask, FRIDAY, "r1")
+
+
+def test_second_run_of_a_day(spark, golden):
+    conf = config(spark)
+    first = run_incremental(spark, conf, golden, ask_table(service(spark, [123456789])), FRIDAY)
+    second = run_incremental(spark, conf, golden, ask_table(service(spark, [123456789, 987654321])), FRIDAY)
+    third = run_incremental(spark, conf, golden, ask_table(service(spark, [])), FRIDAY)
+    counts = [[r.report.sections["process"][c] for c in ("new_count", "matched_count")] for r in (first, second, third)]
+    assert counts == [[2, 1], [1, 1], [0, 0]]
+    ids = [c.run_id for c in StateTable(spark, f"{conf.root}/state").commits()]
+    assert ids == ["2024-05-10", "2024-05-10-2", "2024-05-10-3"]
+
+
+def rows_to_ask(spark):
+    return day_table(spark, [(i, "a", 1, dt.datetime(2024, 5, 9), "d") for i in range(30)], FRIDAY)
+
+
+def all_answered(page, ids):
+    return 200, json.dumps([{"id": i, "uuid": "u" + i} for i in ids])
+
+
+@pytest.mark.parametrize("lost_in", ["upsert", "append"])
+def test_a_repeated_run_keeps_its_answers_and_asks_for_none_again(spark, monkeypatch, lost_in):
+    table, conf = rows_to_ask(spark), config(spark, page_size=10)
+
+    def lost(self, *args):
+        raise RuntimeError("executors lost")
+
+    def down(page, ids):
+        return 503, None
+
+    with monkeypatch.context() as patch:
+        patch.setattr(StateTable if lost_in == "upsert" else CacheTable, lost_in, lost)
+        assert run_incremental(spark, conf, table, ask_function(all_answered, 2), FRIDAY, "r1", raise_errors=False).report.status == "error"
+    redone = run_incremental(spark, conf, table, ask_function(down, 2), FRIDAY, "r1")
+    assert redone.report.sections["process"]["matched_count"] == 30
+    cache = CacheTable(spark, f"{conf.root}/cache").read()
+    assert cache.count() == cache.select("id").distinct().count() == 30
+    requests = spark.read.parquet(f"{conf.root}/lookup/run=r1/responses")
+    assert requests.count() == 3 and requests.where("status <> 200").isEmpty()
+
+
+def test_ids_known_to_have_no_answer_are_not_asked_again(spark):
+    table, conf, asked = rows_to_ask(spark), config(spark, page_size=10), []
+
+    def no_uuids(page, ids):
+        return 200, json.dumps([{"id": i, "uuid": None} for i in ids])
+
+    for run in ("r1", "r2"):
+        result = run_incremental(spark, conf, table, ask_function(no_uuids, 2), FRIDAY, run)
+        assert result.report.sections["process"]["not_matched_count"] == 30
+        asked.append(spark.read.parquet(f"{conf.root}/lookup/run={run}/responses").count())
+    assert asked == [3, 0] and CacheTable(spark, f"{conf.root}/cache").read().count() == 30
+
+
+def test_failing_pages_are_named(spark, caplog):
+    def fails(page, ids):
+        return (500, "why") if page == 2 else all_answered(page, ids)
+
+    with caplog.at_level(logging.WARNING, logger="tidemark"):
+        run_incremental(spark, config(spark, page_size=10), rows_to_ask(spark), ask_function(fails, 2), FRIDAY)
+    assert "{500: 1}" in caplog.text and "first ones: [2]" in caplog.text and "responses/attempt=" in caplog.text
+
+
+def test_published_columns(spark, golden):
+    conf = config(spark, output_cols=("uuid", "id", "code"), output_partition_cols=("code",))
+    result = run_incremental(spark, conf, golden, ask_table(service(spark, [123456789])), FRIDAY, "r1")
+    assert sorted(result.published.columns) == ["code", "id", "uuid"] and result.published.count() == 1
+    assert os.path.isdir(f"{conf.root}/published/run=r1/code={CODE}")
+
+
+def test_views_come_as_each_step_ends(spark, golden, monkeypatch):
+    for name in ("raw", "cleanup", "process", "persisted"):
+        spark.catalog.dropTempView(name)
+
+    def lost(self, batch, run_id):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(StateTable, "upsert", lost)
+    run_incremental(spark, config(spark, publish_views=True), golden, ask_table(service(spark, [1])), FRIDAY, raise_errors=False)
+    assert [spark.catalog.tableExists(n) for n in ("raw", "cleanup", "process", "persisted")] == [True, True, True, False]
+
+
+def test_days_come_from_the_catalog(spark, golden):
+    path = golden.inputFiles()[0].split("/year=")[0]
+    spark.sql(f"CREATE TABLE golden_days (id LONG, code STRING, group_id LONG, created_at TIMESTAMP, description STRING, year INT, month INT, day INT) USING parquet PARTITIONED BY (year, month, day) LOCATION '{path}'")
+    spark.sql("MSCK REPAIR TABLE golden_days")
+    result = run_incremental(spark, config(spark), "golden_days", ask_table(service(spark, [123456789])), FRIDAY)
+    assert result.report.sections["load"] == {"date_ref": "2024-05-10", "predicate": "year=2024 and month=05 and day=10", "row_count": 5, "status": "success"}
+    spark.sql("DROP TABLE golden_days")
 
 
 def test_unmatched_rows_stay_new(spark, golden, caplog):

@@ -158,6 +158,37 @@ def test_lookup_join_equals_join(spark, how, hot_rows):
     assert rows(op.lookup_join(left, right, "id", how, hot_rows)) == rows(left.join(right, "id", how))
 
 
+@pytest.mark.parametrize("hot", [[None], ["a"], ["a", None], []])
+def test_routing(spark, hot):
+    df = spark.createDataFrame([("a",)] * 5 + [("b",)] * 3 + [(None,)] * 4, "id string")
+    routed = df.select("id", op.is_hot("id", hot).alias("hot")).distinct().collect()
+    assert {r.id: r.hot for r in routed} == {k: k in hot for k in ("a", "b", None)}
+
+
+def test_null_alone_can_be_hot(spark):
+    left = spark.range(1000).select(F.when(F.col("id") < 100, F.col("id").cast("string")).alias("id"))
+    right = spark.createDataFrame([("5", "x"), (None, "never")], "id string, v string")
+    assert op.hot_keys(left, "id", 500) == [None]
+    joined = op.lookup_join(left, right, "id", "left", 500)
+    assert joined.count() == 1000 and joined.where("v is not null").count() == 1
+    assert left.where(op.is_hot("id", [None])).count() == 900
+    assert "Union" in joined._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_any_number_of_hot_keys(spark):
+    left = spark.range(6000).select((F.col("id") % 1500).cast("string").alias("id"))
+    assert len(op.hot_keys(left, "id", 4)) == 1500
+
+
+def test_hot_is_relative_to_the_table(spark, monkeypatch):
+    from tidemark.operators import skew
+
+    monkeypatch.setattr(skew, "FEWEST_HOT_ROWS", 10)
+    half_a_partition = 4000 // (2 * 4)  # four shuffle partitions
+    left = spark.createDataFrame([("a",)] * half_a_partition + [("b",)] * (half_a_partition - 1) + [(str(i),) for i in range(4000 - 2 * half_a_partition + 1)], "id string")
+    assert op.hot_keys(left, "id") == ["a"]
+
+
 def test_hot_keys(spark):
     df = spark.createDataFrame([("a",)] * 5 + [("b",)] * 3 + [(None,)] * 4 + [("c",)], "id string")
     assert op.hot_keys(df, "id", 3) == ["a", None, "b"]
@@ -169,41 +200,48 @@ def cache(spark, data):
 
 
 def test_latest_answers(spark):
-    df = cache(
-        spark,
-        [
-            ("old", "1", "2024-05-01_9"),
-            ("two", "1", "2024-05-02_2"),
-            ("ten", "1", "2024-05-02_10"),
-            (None, "2", "2024-05-02_1"),
-            ("x", "3", "2024-05-02b_1"),
-        ],
-    )
-    assert rows(op.latest_answers(df).select("uuid")) == [("ten",), ("x",)]
+    schema = "uuid string, id string, partition_ref string, version long, page long"
+    data = [
+        ("old", "1", "run9_9", 9, 9),
+        ("two", "1", "run10_2", 10, 2),
+        ("ten", "1", "run10_10", 10, 10),
+        ("x", "2", "run1_1", 1, 1),
+        (None, "2", "run2_1", 2, 1),
+    ]
+    got = op.latest_answers(spark.createDataFrame(data, schema))
+    assert rows(got) == [(None, "2", "run2_1"), ("ten", "1", "run10_10")]
+    assert rows(op.latest_answers(cache(spark, [("a", "1", "r_1"), ("b", "1", "r_2")]))) == [("b", "1", "r_2")]
 
 
-@pytest.mark.parametrize("few_ids", [0, 10])
-def test_known_answers(spark, few_ids):
-    ids = spark.createDataFrame([("1",), ("3",)], "id string")
-    df = cache(spark, [("a", "1", "r1_1"), ("b", "1", "r2_1"), ("c", "2", "r1_1")])
-    assert rows(op.known_answers(ids, df, few_ids)) == [("b", "1", "r2_1")]
+def test_known_answers(spark):
+    ids = spark.createDataFrame([("1",), ("3",), ("4",)], "id string")
+    df = cache(spark, [("a", "1", "r1_1"), ("b", "1", "r2_1"), ("c", "2", "r1_1"), (None, "4", "r1_1")])
+    assert rows(op.known_answers(ids, df)) == [(None, "3", None), (None, "4", "r1_1"), ("b", "1", "r2_1")]
 
 
 @pytest.mark.parametrize("hot_rows", [1, 1_000_000])
 def test_enrich(spark, hot_rows):
-    batch = spark.createDataFrame([("1", "a"), ("1", "b"), ("2", "a"), (None, "a")], "id string, code string")
-    known = cache(spark, [("u1", "1", "r_1"), ("u1b", "1", "r_2"), ("u9", "9", "r_1")])
+    batch = spark.createDataFrame([("1", "a"), ("1", "b"), ("2", "a"), (None, "a"), ("3", "a")], "id string, code string")
+    known = cache(spark, [("u1", "1", "r_1"), ("u1b", "1", "r_2"), ("u9", "9", "r_1"), (None, "3", "r_1")])
     tagged = op.enrich_tagged(batch, known, hot_rows=hot_rows)
     assert rows(tagged.select("id", "code", "uuid", "state")) == [
         (None, "a", None, "skipped"),
         ("1", "a", "u1b", "save"),
         ("1", "b", "u1b", "save"),
         ("2", "a", None, "skipped"),
+        ("3", "a", None, "skipped"),
     ]
     assert rows(op.enrich_matched(batch, known, hot_rows=hot_rows).select("id", "code")) == [("1", "a"), ("1", "b")]
-    assert rows(op.enrich_unmatched(batch, known, hot_rows=hot_rows)) == [(None, "a"), ("2", "a")]
-    outer = op.enrich_full_outer(batch, known, hot_rows=hot_rows)
-    assert ("9", None, "u9", "r_1", "save") in rows(outer) and outer.count() == 5
+    assert rows(op.enrich_unmatched(batch, known, hot_rows=hot_rows)) == [(None, "a"), ("2", "a"), ("3", "a")]
+
+
+def test_enrich_full_outer_is_a_full_join(spark):
+    batch = spark.createDataFrame([("1", "a"), ("1", "b"), ("2", "a"), (None, "a")], "id string, code string")
+    known = cache(spark, [("u1", "1", "r_1"), ("u1", "1", "r_1"), ("u2", "1", "r_2"), (None, "2", "r_1"), (None, "9", "r_1"), ("u8", "8", "r_1"), ("u0", None, "r_1")])
+    got = op.enrich_full_outer(batch, known)
+    pairs = batch.join(known, "id", "full_outer").withColumn("state", F.when(F.col("uuid").isNull(), "skipped").otherwise("save"))
+    assert rows(got.where("copies > 0").select("*", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).drop("copies", "col")) == rows(pairs)
+    assert got.columns == ["id", "code", "uuid", "partition_ref", "state", "copies"]
 
 
 def test_other_key_name(spark):
@@ -258,6 +296,18 @@ def test_ask_function_and_statuses(spark):
     assert rows(parsed) == sorted((f"u{i}", i, "2024-05-13_1") for i in asked)
 
 
+def test_answers_without_uuid_are_kept_and_without_id_counted(spark):
+    body = '[{"id": 1, "uuid": "u1"}, {"id": 2}, {"uuid": "u3"}, {"id": 2, "uuid": null}]'
+    responses = spark.createDataFrame([(1, 200, body), (2, 204, None)], "page long, status int, body string")
+    assert rows(op.parse_responses(responses, "r")) == [(None, "2", "r_1"), ("u1", "1", "r_1")]
+    assert [r[0] for r in responses.orderBy("page").select(op.items_without_id()).collect()] == [1, 0]
+
+
+def test_bucket_digits_are_bounded(spark):
+    with pytest.raises(ValueError, match="digits"):
+        op.assign_pages(spark.createDataFrame([("1",)], "id string"), bucket_digits=7)
+
+
 def test_malformed_body_is_an_error(spark):
     responses = spark.createDataFrame([(1, 200, "[{")], "page long, status int, body string")
     with pytest.raises(Exception, match="MALFORMED"):

@@ -9,6 +9,7 @@ import pytest
 
 import __spark_entry__ as driver
 from tests.conftest import TESTDATA
+from workload.queries import QUERIES
 
 SF_DIR = TESTDATA / "sf0.001"
 
@@ -22,10 +23,10 @@ def tables():
 
 
 def test_each_query_has_its_sql():
-    assert driver.queries().keys() == driver.oracle_sql().keys()
+    assert QUERIES.keys() <= driver.oracle_sql().keys() <= driver.queries().keys()
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, tables, name):
     got = driver.queries()[name](spark, str(SF_DIR)).toArrow()
     expected = tables.sql(driver.oracle_sql()[name]).to_arrow_table()

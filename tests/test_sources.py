@@ -1,13 +1,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tidemark import schemas, sources
-from tidemark.sources import CacheTable, StateTable, new_folder
+from tidemark.sources import CacheTable, StateTable, VersionedTable, new_folder
 
 FRIDAY = dt.date(2024, 5, 10)
 
@@ -73,53 +74,84 @@ def test_state_versions(spark):
     assert table.is_committed("run3") and not table.is_committed("run9")
 
 
-def test_uncommitted_snapshot_is_not_read(spark):
-    table = StateTable(spark, new_folder(spark, "state"), buckets=2)
-    table.upsert(batch(spark, 3, "good"), "run0")
-    batch(spark, 9, "lost").write.parquet(f"{table.path}/snapshot=1")
-    assert {r.sha2 for r in table.read().collect()} == {"good"}
-    table.upsert(batch(spark, 1, "next"), "run1")
-    assert sorted(r.sha2 for r in table.read().collect()) == ["good", "good", "next"]
+def test_uncommitted_rows_are_not_read(spark):
+    state = StateTable(spark, new_folder(spark, "state"), buckets=2)
+    state.upsert(batch(spark, 3, "good"), "run0")
+    last = state.table.latest_commit()
+    state.table._write(batch(spark, 9, "lost").withColumn("version", F.lit(1).cast("long")), last.generation, 2, "lost")
+    assert {r.sha2 for r in state.read().collect()} == {"good"}
+    state.upsert(batch(spark, 1, "next"), "run1")
+    assert sorted(r.sha2 for r in state.read().collect()) == ["good", "good", "next"]
+
+
+def test_of_two_writers_the_second_fails(spark):
+    path = new_folder(spark, "state")
+    StateTable(spark, path, buckets=2).upsert(batch(spark, 3, "x"), "run0")
+    slow = StateTable(spark, path, buckets=2)
+    write, others = VersionedTable._write, ["fast"]
+
+    def overtaken(self, *args):
+        written = write(self, *args)
+        if others:
+            StateTable(spark, path, buckets=2).upsert(batch(spark, 4, "fast"), others.pop())
+        return written
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(VersionedTable, "_write", overtaken)
+        with pytest.raises(ValueError, match="another run has committed"):
+            slow.upsert(batch(spark, 9, "slow"), "slow")
+    assert {r.sha2 for r in slow.read().collect()} == {"fast"} and not slow.is_committed("slow")
+
+
+def test_reading_writes_nothing(spark):
+    path = new_folder(spark, "state")
+    assert StateTable(spark, path).read().isEmpty() and CacheTable(spark, path).read().isEmpty()
+    assert not StateTable(spark, path).is_committed("run0")
+    assert not os.path.exists(path)
 
 
 def test_another_session_reads_the_state(spark):
-    table = StateTable(spark, new_folder(spark, "state"), buckets=2)
-    table.upsert(batch(spark, 5, "x"), "run0")
-    name = table._name(0, 2)
-    spark.sql(f"DROP TABLE {name}")  # as if this catalog had never seen it
-    assert table.read().count() == 5
+    state = StateTable(spark, new_folder(spark, "state's"), buckets=2)
+    state.upsert(batch(spark, 5, "x"), "run0")
+    state.table.forget()  # as if this catalog had never seen it
+    assert state.read().count() == 5
 
 
-def test_buckets_fit_the_rows(spark, monkeypatch):
-    from tidemark.sources import state_table
+def test_buckets_fit_the_rows_and_not_the_session(spark, monkeypatch):
+    from tidemark.sources import versioned_table
 
-    monkeypatch.setattr(state_table, "ROWS_PER_BUCKET", 10)
-    table = StateTable(spark, new_folder(spark, "state"))
-    sizes = {}
-    for number, n in enumerate([5, 12, 3, 100]):
-        table.upsert(batch(spark, n, f"v{number}"), f"run{number}")
-        sizes[table.read().count()] = table.commits()[-1].buckets
-    assert sizes == {5: 1, 12: 2, 100: 4}  # four shuffle partitions in the tests
+    monkeypatch.setattr(versioned_table, "ROWS_PER_BUCKET", 10)
+    state = StateTable(spark, new_folder(spark, "state"))
+    buckets = []
+    for number, n in enumerate([5, 100, 3, 3, 400, 1]):
+        state.upsert(batch(spark, n, f"v{number}"), f"run{number}")
+        buckets.append(state.commits()[-1].buckets)
+    assert buckets == [4, 4, 16, 16, 16, 64]  # four shuffle partitions in the tests
+    assert state.read().count() == 400
 
 
-def test_changed_bucket_count(spark):
-    path = new_folder(spark, "state")
-    StateTable(spark, path, buckets=2).upsert(batch(spark, 5, "x"), "run0")
-    wider = StateTable(spark, path, buckets=3)
-    wider.upsert(batch(spark, 7, "y"), "run1")
-    assert wider.read().count() == 7 and wider.commits()[-1].buckets == 3
-    files = [f for f in wider.read().inputFiles()]
-    assert len(files) == 3
+def test_a_run_writes_its_own_rows_only(spark, monkeypatch):
+    from tidemark.sources import versioned_table
 
+    monkeypatch.setattr(versioned_table, "MOST_WRITES", 4)
+    written = []
+    write = VersionedTable._write
+    monkeypatch.setattr(VersionedTable, "_write", lambda self, *args: written.append(write(self, *args)) or written[-1])
+    state = StateTable(spark, new_folder(spark, "state"), buckets=2)
+    for number in range(6):
+        state.upsert(batch(spark, 100 if number == 0 else 2, f"v{number}"), f"run{number}")
+    assert written == [100, 2, 2, 2, 100, 2, 2]  # after four commits all is rewritten once, without replaced rows
+    assert state.read().count() == 100
 
-def test_empty_batch_keeps_the_snapshot(spark):
-    table = StateTable(spark, new_folder(spark, "state"), buckets=2)
-    table.upsert(batch(spark, 5, "x"), "run0")
-    files = sorted(table.read().inputFiles())
-    assert table.upsert(batch(spark, 0, "y"), "run1") == 1
-    assert sorted(table.read().inputFiles()) == files and table.is_committed("run1")
-    assert table.upsert(batch(spark, 6, "z"), "run2") == 2
-    assert table.read().count() == 6
+
+def test_empty_batch_adds_nothing(spark):
+    state = StateTable(spark, new_folder(spark, "state"), buckets=2)
+    state.upsert(batch(spark, 5, "x"), "run0")
+    assert state.upsert(batch(spark, 0, "y"), "run1") == 1
+    first, second = state.commits()
+    assert (second.writes, second.rows) == (first.writes, 5) and state.is_committed("run1")
+    assert state.upsert(batch(spark, 6, "z"), "run2") == 2
+    assert state.read().count() == 6
 
 
 def test_sorted_files_spare_the_sort(spark):
@@ -127,7 +159,6 @@ def test_sorted_files_spare_the_sort(spark):
 
     table = StateTable(spark, new_folder(spark, "state"), buckets=4)
     table.upsert(batch(spark, 100, "x"), "run0")
-    table.upsert(batch(spark, 50, "y"), "run1")
     spark.conf.set("spark.sql.legacy.bucketedTableScan.outputOrdering", True)
     try:
         merged = state_upsert(table.read(), batch(spark, 10, "z"), ["id", "code"])
@@ -138,11 +169,13 @@ def test_sorted_files_spare_the_sort(spark):
         spark.conf.unset("spark.sql.legacy.bucketedTableScan.outputOrdering")
 
 
-def test_joins_do_not_shuffle_the_state(spark):
+@pytest.mark.parametrize("runs", [1, 3])
+def test_joins_do_not_shuffle_the_state(spark, runs):
     from tidemark.operators import change_detect, dedup_latest, state_upsert
 
     table = StateTable(spark, new_folder(spark, "state"), buckets=4)
-    table.upsert(batch(spark, 100, "x"), "run0")
+    for number in range(runs):
+        table.upsert(batch(spark, 100 if number == 0 else 9, "x"), f"run{number}")
     new = batch(spark, 50, "y").withColumn("group_id", F.lit(1)).drop("sha2")
     latest = dedup_latest(new, ["id", "code"], ["group_id"])
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
@@ -158,15 +191,41 @@ def test_joins_do_not_shuffle_the_state(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_cache_runs(spark):
-    table = CacheTable(spark, new_folder(spark, "cache"))
-    answers = spark.createDataFrame([("u1", "1", "r1_1")], schemas.CACHE)
-    assert table.read().isEmpty()
-    table.append(answers, "2024-05-13")
-    table.append(answers, "2024-05-13")
-    table.append(answers.withColumn("id", F.lit("2")), "2024-05-14")
-    assert rows(table.read()) == [("u1", "1", "r1_1"), ("u1", "2", "r1_1")]
-    assert rows(table.read(before="2024-05-14")) == [("u1", "1", "r1_1")]
+def answers(spark, *data):
+    return spark.createDataFrame(data, schemas.CACHE)
+
+
+def test_cache_keeps_all_answers(spark):
+    table = CacheTable(spark, new_folder(spark, "cache"), buckets=2)
+    table.append(answers(spark, ("u1", "1", "r1_1"), (None, "3", "r1_2")), "r1")
+    table.append(answers(spark, ("u2", "1", "r2_10"), ("u3", "2", "r2_x")), "r2")
+    assert rows(table.read()) == [(None, "3", "r1_2", 2, 0), ("u1", "1", "r1_1", 1, 0), ("u2", "1", "r2_10", 10, 1), ("u3", "2", "r2_x", None, 1)]
+    assert table.is_committed("r1") and not table.is_committed("r3")
+
+
+def test_newest_answer_is_told_by_numbers(spark):
+    from tidemark.operators import latest_answers
+
+    table = CacheTable(spark, new_folder(spark, "cache"), buckets=2)
+    table.append(answers(spark, ("nine", "1", "run9_1"), ("p2", "2", "run9_2"), ("p10", "2", "run9_10")), "run9")
+    table.append(answers(spark, ("ten", "1", "run10_1")), "run10")
+    assert rows(latest_answers(table.read()).select("id", "uuid")) == [("1", "ten"), ("2", "p10")]
+
+
+@pytest.mark.parametrize("ids", [3, 50_000])
+def test_the_cache_is_not_shuffled(spark, ids):
+    from tidemark.operators import known_answers
+
+    table = CacheTable(spark, new_folder(spark, "cache"), buckets=4)
+    for run in ("r1", "r2"):
+        table.append(spark.range(100).select(F.lit("u").alias("uuid"), F.col("id").cast("string").alias("id"), F.lit(f"{run}_1").alias("partition_ref")), run)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        wanted = spark.range(ids).select(F.col("id").cast("string").alias("id"))
+        plan = known_answers(wanted, table.read())._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange") == 1 and "Exchange" not in plan[plan.index("Window") :], plan
 
 
 def test_shared_dir_is_the_configured_one(spark):

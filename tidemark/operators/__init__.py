@@ -13,12 +13,13 @@ from tidemark.operators.lookup import (
     ask_function,
     ask_table,
     assign_pages,
+    items_without_id,
     lookup_pages,
     parse_responses,
     unseen_keys,
 )
 from tidemark.operators.required import require, require_code, require_description
-from tidemark.operators.skew import hot_keys, lookup_join
+from tidemark.operators.skew import hot_keys, is_hot, lookup_join
 from tidemark.operators.state import state_upsert, state_upsert_by_id
 
 __all__ = [
@@ -34,6 +35,8 @@ __all__ = [
     "enrich_tagged",
     "enrich_unmatched",
     "hot_keys",
+    "is_hot",
+    "items_without_id",
     "known_answers",
     "latest_answers",
     "lookup_join",

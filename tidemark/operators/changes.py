@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.fingerprint import row_fingerprint
-from tidemark.operators.skew import HOT_ROWS, lookup_join
+from tidemark.operators.skew import hot_keys, is_hot, lookup_join
 
+#: The tags of a comparison.
 NEW, CHANGED, REPEATED = "new", "changed", "repeated"
 
 
@@ -49,7 +50,7 @@ def change_detect_by_code(
     state: DataFrame,
     fingerprint_cols: Sequence[str],
     code: str = "code",
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """The comparison on ``code`` alone, several ids sharing a code.
 
@@ -59,10 +60,14 @@ def change_detect_by_code(
     the row occurs with that ``state``.
     """
     per_code = state.groupBy(code).agg(F.count("*").alias("_of_code"))
-    per_fingerprint = state.groupBy(code, "sha2").agg(F.count("*").alias("_equal"))
-    counted = lookup_join(
-        batch.withColumn("sha2", row_fingerprint(*fingerprint_cols)), per_code, code, "left", hot_rows
-    ).join(per_fingerprint, [code, "sha2"], "left")
+    both = F.concat("sha2", code)  # a fingerprint is 64 signs, so this tells both apart
+    per_fingerprint = state.groupBy(both.alias("_both")).agg(F.count("*").alias("_equal"))
+    new = batch.withColumn("sha2", row_fingerprint(*fingerprint_cols)).withColumn("_both", both)
+    hot = hot_keys(batch, code, hot_rows)
+    # without a hot code there is no hot pair of code and fingerprint
+    hot_both = hot_keys(new.where(is_hot(code, hot)), "_both", hot_rows) if hot else []
+    counted = lookup_join(new, per_code, code, "left", hot=hot)
+    counted = lookup_join(counted, per_fingerprint, "_both", "left", hot=hot_both)
     equal = F.coalesce("_equal", F.lit(0))
     saved = F.when(F.col("_of_code").isNull(), 1).otherwise(F.col("_of_code") - equal)
     outcomes = F.array(

@@ -6,39 +6,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.dedup import dedup_latest
-from tidemark.operators.skew import HOT_ROWS, lookup_join
+from tidemark.operators.skew import lookup_join
 
-FEW_IDS = 500_000
+#: The tags of rows with and without an answer.
+SAVE, SKIPPED = "save", "skipped"
 
 
 def latest_answers(cache: DataFrame) -> DataFrame:
-    """One answer per id: the newest run's, within a run the highest page.
+    """One answer per id: that of the highest ``version``, within it the highest ``page``, both numbers.
 
-    ``partition_ref`` is ``<run>_<page>``; the page counts as a number, since
-    as text page 10 sorts before page 2.
+    A table without these columns has one answer per id or says the version
+    and page of none; then the greatest ``partition_ref`` counts. An answer
+    may have a null uuid.
     """
-    parts = r"^(.*)_([0-9]+)$"
-    placed = cache.select(
-        "uuid",
-        "id",
-        "partition_ref",
-        F.regexp_extract("partition_ref", parts, 1).alias("_run"),
-        F.regexp_extract("partition_ref", parts, 2).try_cast("long").alias("_page"),
-    ).where(F.col("uuid").isNotNull())
-    return dedup_latest(placed, ["id"], ["_run", "_page"]).select("uuid", "id", "partition_ref")
+    order = [c for c in ("version", "page") if c in cache.columns]
+    rows = cache.select("uuid", "id", "partition_ref", *order)
+    return dedup_latest(rows, ["id"], order or ["partition_ref"]).select("uuid", "id", "partition_ref")
 
 
-def known_answers(ids: DataFrame, cache: DataFrame, few_ids: int = FEW_IDS) -> DataFrame:
-    """The latest answers the cache has for some distinct ids.
+def known_answers(ids: DataFrame, cache: DataFrame) -> DataFrame:
+    """Distinct ids with the cache's latest answer to each; where it has none, both columns are null.
 
-    Few ids (they are counted) are broadcast and filter the cache as it is
-    scanned, before any shuffle. More of them meet the cache after it is
-    reduced to one row per id, on the partitioning that made it so; an inner
-    join, for a semi join would be moved below the reduction.
+    The cache is bucketed by id: it stays where it is, whatever the number of
+    ids, and only these are shuffled.
     """
-    if ids.count() <= few_ids:
-        return latest_answers(cache.join(F.broadcast(ids), "id", "left_semi"))
-    return latest_answers(cache).join(ids, "id").select("uuid", "id", "partition_ref")
+    return ids.select("id").join(latest_answers(cache), "id", "left").select("uuid", "id", "partition_ref")
 
 
 def _answers(cache: DataFrame, key: str) -> DataFrame:
@@ -46,49 +38,51 @@ def _answers(cache: DataFrame, key: str) -> DataFrame:
 
 
 def enrich_tagged(
-    batch: DataFrame, cache: DataFrame, key: str = "id", hot_rows: int = HOT_ROWS
+    batch: DataFrame, cache: DataFrame, key: str = "id", hot_rows: int | None = None, hot: list | None = None
 ) -> DataFrame:
     """Add ``uuid`` and ``partition_ref`` of the latest answer, and ``state``: save or skipped."""
-    return lookup_join(batch, _answers(cache, key), key, "left", hot_rows).select(
+    return lookup_join(batch, _answers(cache, key), key, "left", hot_rows, hot).select(
         *batch.columns,
         "uuid",
         "partition_ref",
-        F.when(F.col("uuid").isNull(), "skipped").otherwise("save").alias("state"),
+        F.when(F.col("uuid").isNull(), SKIPPED).otherwise(SAVE).alias("state"),
     )
 
 
 def enrich_matched(
-    batch: DataFrame, cache: DataFrame, key: str = "id", hot_rows: int = HOT_ROWS
+    batch: DataFrame, cache: DataFrame, key: str = "id", hot_rows: int | None = None
 ) -> DataFrame:
-    """The rows with an answer."""
-    return lookup_join(batch, _answers(cache, key), key, "inner", hot_rows).select(
-        *batch.columns, "uuid", "partition_ref"
-    )
+    """The rows with an answer that has a uuid."""
+    answered = _answers(cache, key).where(F.col("uuid").isNotNull())
+    return lookup_join(batch, answered, key, "inner", hot_rows).select(*batch.columns, "uuid", "partition_ref")
 
 
 def enrich_unmatched(
-    batch: DataFrame, cache: DataFrame, key: str = "id", hot_rows: int = HOT_ROWS
+    batch: DataFrame, cache: DataFrame, key: str = "id", hot_rows: int | None = None
 ) -> DataFrame:
-    """The rows without an answer."""
-    answered = cache.where(F.col("uuid").isNotNull()).select(F.col("id").alias(key)).distinct()
+    """The rows without one."""
+    answered = _answers(cache, key).where(F.col("uuid").isNotNull()).select(key)
     return lookup_join(batch, answered, key, "left_anti", hot_rows).select(*batch.columns)
 
 
-def enrich_full_outer(
-    batch: DataFrame, cache: DataFrame, key: str = "id", hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Batch rows and, with null batch columns, cached ids the batch lacks.
+def enrich_full_outer(batch: DataFrame, cache: DataFrame, key: str = "id") -> DataFrame:
+    """Each batch row with each answer to its id, and cached answers to ids the batch lacks.
 
-    A full outer join as its left join plus the cache's own rows: neither
-    part has to bring a hot id's rows together in one task.
+    A row without an answer, and an answer without a uuid, is ``skipped``, all
+    else ``save``. Answers that are equal are one row that says in ``copies``
+    how many they are. A full outer join as its left join plus the cache's own
+    rows: Spark can split both where an id has very many rows.
     """
-    tagged = enrich_tagged(batch, cache, key, hot_rows)
-    cache_only = (
-        _answers(cache, key)
-        .join(batch.select(key).distinct(), key, "left_anti")
-        .withColumn("state", F.lit("save"))
+    answers = cache.groupBy(F.col("id").alias(key), "uuid", "partition_ref").agg(F.count("*").alias("copies"))
+    met = batch.join(answers, key, "left")
+    cache_only = answers.join(batch.select(key).distinct(), key, "left_anti")
+    return met.unionByName(cache_only, allowMissingColumns=True).select(
+        *batch.columns,
+        "uuid",
+        "partition_ref",
+        F.when(F.col("uuid").isNull(), SKIPPED).otherwise(SAVE).alias("state"),
+        F.coalesce("copies", F.lit(1)).cast("long").alias("copies"),
     )
-    return tagged.unionByName(cache_only, allowMissingColumns=True)
 
 
 def unmatched_sample(unmatched: DataFrame, size: int = 20, key: str = "id") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import schemas
@@ -30,11 +30,14 @@ def assign_pages(
 ) -> DataFrame:
     """Number the non-null keys into pages of exactly ``page_size``, from 1 on.
 
-    The order is that of (first hex digits of the md5, key). The digits cut
+    At most five digits, which a million starts go with. The order is that of
+    (first hex digits of the md5, key). The digits cut
     the keys into 16**``bucket_digits`` even buckets that are ranked in
     parallel; a bucket starts where the buckets before it end. Pages depend
     on the keys alone, so a recomputed task finds the same ones.
     """
+    if not 1 <= bucket_digits <= 5:
+        raise ValueError("1 to 5 digits: each start of a bucket is broadcast")
     bucketed = keys.select(
         key, F.substring(F.md5(F.col(key)), 1, bucket_digits).alias("_bucket")
     ).where(F.col("_bucket").isNotNull())
@@ -107,12 +110,19 @@ def parse_responses(responses: DataFrame, run_id: str) -> DataFrame:
     """Cache rows of the answered pages; a malformed body is an error.
 
     Items repeated within a page count once, which needs no shuffle as a
-    page is one row.
+    page is one row. An item without a uuid is an answer, too; one without an
+    id answers nothing and is left out (:func:`items_without_id` counts them).
     """
     items = F.from_json("body", schemas.ANSWER_DDL, {"mode": "FAILFAST"})
     return (
         responses.where(F.col("status") == 200)
         .select("page", F.inline(F.array_distinct(items)))
-        .where(F.col("id").isNotNull() & F.col("uuid").isNotNull())
+        .where(F.col("id").isNotNull())
         .select("uuid", "id", F.concat_ws("_", F.lit(run_id), "page").alias("partition_ref"))
     )
+
+
+def items_without_id() -> Column:
+    """How many items of a response's ``body`` have no id."""
+    items = F.from_json("body", schemas.ANSWER_DDL)
+    return F.coalesce(F.size(F.filter(items, lambda x: x["id"].isNull())), F.lit(0))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.skew import HOT_ROWS, lookup_join
+from tidemark.operators.skew import lookup_join
 
 
 def state_upsert(state: DataFrame, batch: DataFrame, key_cols: Sequence[str]) -> DataFrame:
@@ -24,7 +24,7 @@ def state_upsert(state: DataFrame, batch: DataFrame, key_cols: Sequence[str]) ->
 
 
 def state_upsert_by_id(
-    state: DataFrame, batch: DataFrame, key: str = "id", hot_rows: int = HOT_ROWS
+    state: DataFrame, batch: DataFrame, hot_rows: int | None = None
 ) -> DataFrame:
     """The merge on ``id`` alone, several codes sharing an id.
 
@@ -32,7 +32,7 @@ def state_upsert_by_id(
     occurs once per state row; ``copies`` says how often instead of making
     the pairs. The batch must have passed the cleanup: no null code.
     """
-    columns = ["id", "code", "sha2"]
+    key, columns = "id", ["id", "code", "sha2"]
     per_id = state.groupBy(key).agg(F.count("*").alias("_of_id"))
     from_batch = lookup_join(batch.select(*columns), per_id, key, "left", hot_rows).select(
         *columns, F.coalesce("_of_id", F.lit(1)).cast("long").alias("copies")

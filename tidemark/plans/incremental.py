@@ -15,31 +15,32 @@ from tidemark import schemas
 from tidemark.config import RunConfig
 from tidemark.operators.changes import REPEATED, change_detect
 from tidemark.operators.dedup import dedup_latest
-from tidemark.operators.enrich import enrich_tagged, enrich_unmatched, unmatched_sample
+from tidemark.operators.enrich import SAVE, enrich_tagged, unmatched_sample
 from tidemark.operators.lookup import Ask
 from tidemark.plans.cleanup import cleanup, is_valid, latest_row_counters
 from tidemark.plans.process import lookup_enrich, transform
 from tidemark.plans.report import RunReport
 from tidemark.sources.cache_table import CacheTable
-from tidemark.sources.partitions import latest_partition_scan
+from tidemark.sources.partitions import latest_partition_scan, list_partitions
 from tidemark.sources.state_table import StateTable
-from tidemark.sources.views import publish_view
+from tidemark.sources.views import publish_output, publish_view
 
 logger = logging.getLogger(__name__)
 
 
 @dataclass
 class RunResult:
-    """The report and, after a successful run, the delivered rows."""
+    """The report and, after a successful run, the delivered rows, and those published if asked for."""
 
     report: RunReport = field(default_factory=RunReport)
     output: DataFrame | None = None
+    published: DataFrame | None = None
 
 
 def run_incremental(
     spark: SparkSession,
     config: RunConfig,
-    table: DataFrame,
+    table: DataFrame | str,
     ask: Ask,
     run_date: dt.date,
     run_id: str | None = None,
@@ -48,23 +49,25 @@ def run_incremental(
 ) -> RunResult:
     """Run over the newest recent day of ``table``, partitioned by year/month/day.
 
-    ``run_id`` (the run date unless given) names one run: a run that failed is
-    repeated under its id and replaces what it wrote; one that is committed
-    to the state is not run again. ``partitions`` may list the partitions, as
-    a catalog does, to spare looking at files. With ``raise_errors`` off, an
-    error ends up in the report, beside the sections finished before it.
+    ``table`` is best a catalog table's name: then the days are read from the
+    catalog. Of a DataFrame the days must be listed in ``partitions``, or the
+    recent days' rows are read for them. ``run_id`` names one run: a run that
+    failed is repeated under its id and keeps the answers it got; one that is
+    committed to the state is not run again. Without an id it is the run date,
+    with a number where that run is already committed. With ``raise_errors``
+    off, an error ends up in the report, beside the sections finished before it.
     """
     started = time.monotonic()
     result = RunResult()
     try:
-        run = _Run(spark, config, run_id or run_date.isoformat(), result.report)
+        run = _Run(spark, config, run_date, run_id, result.report)
         raw = run.load(table, partitions, run_date)
         staged = run.stage(raw)
         output = run.deliver(staged, ask)
         run.persist(output)
         result.output = output
-        if config.publish_views:
-            run.publish_views(raw, output)
+        if config.output_cols:
+            result.published = run.publish(output)
         result.report.status = "success"
     except Exception as error:
         result.report.status = "error"
@@ -84,29 +87,41 @@ class _Run:
     counts once, in the stages before it may count again.
     """
 
-    def __init__(self, spark: SparkSession, config: RunConfig, run_id: str, report: RunReport) -> None:
-        if not re.fullmatch(r"[0-9A-Za-z.-]+", run_id):
+    def __init__(
+        self, spark: SparkSession, config: RunConfig, run_date: dt.date, run_id: str | None, report: RunReport
+    ) -> None:
+        if run_id is not None and not re.fullmatch(r"[0-9A-Za-z.-]+", run_id):
             raise ValueError(f"run id {run_id!r} must be letters, digits, dots and dashes")
         self.spark = spark
         self.config = config
-        self.run_id = run_id
         self.report = report
         self.state = StateTable(spark, f"{config.root}/state", config.key_cols, config.state_buckets)
-        self.cache = CacheTable(spark, f"{config.root}/cache")
-        if self.state.is_committed(run_id):
+        self.cache = CacheTable(spark, f"{config.root}/cache", config.state_buckets)
+        committed = {commit.run_id for commit in self.state.commits()}
+        if run_id in committed:
             raise ValueError(f"run {run_id!r} is already committed to the state")
+        names = (run_date.isoformat() + suffix for suffix in ("", *(f"-{n}" for n in range(2, len(committed) + 3))))
+        self.run_id = run_id or next(name for name in names if name not in committed)
 
     def path(self, part: str) -> str:
         return f"{self.config.root}/{part}/run={self.run_id}"
 
-    def load(self, table: DataFrame, partitions: DataFrame | None, run_date: dt.date) -> DataFrame:
+    def publish_view(self, step: int, df: DataFrame) -> None:
+        if self.config.publish_views:
+            publish_view(df, self.config.view_names[step])
+
+    def load(self, table: DataFrame | str, partitions: DataFrame | None, run_date: dt.date) -> DataFrame:
         config = self.config
+        if isinstance(table, str):
+            partitions = list_partitions(self.spark, table) if partitions is None else partitions
+            table = self.spark.table(table)
         until = run_date if config.until_run_date else None
         raw, date_ref, predicate = latest_partition_scan(
             table, run_date, config.days_back, until, partitions
         )
         # Counting reads no column: the file footers know the row numbers.
         self.report.fill("load", date_ref=str(date_ref), predicate=predicate, row_count=raw.count())
+        self.publish_view(0, raw)
         return schemas.keys_as_text(raw, {*config.key_cols, config.lookup_key})
 
     def stage(self, raw: DataFrame) -> DataFrame:
@@ -144,31 +159,34 @@ class _Run:
             **counted,
         )
         self.report.note("process", raw_count=counted["valid_rows"], **changes)
+        if config.publish_views:
+            self.publish_view(1, cleanup(raw, config.key_cols, config.order_cols, *described))
         return self.spark.read.schema(tagged.drop("change").schema).parquet(self.path("staged"))
 
     def deliver(self, staged: DataFrame, ask: Ask) -> DataFrame:
-        """Look up, join, derive the entity ids; write the rows with an answer."""
+        """Look up, join, derive the entity ids.
+
+        All rows are written in one job, those without an answer beside the
+        others: the sample of their ids is read from there.
+        """
         config = self.config
         answers = lookup_enrich(
             staged, self.cache, ask, self.run_id, self.path("lookup"), config.lookup_key, config.page_size
         )
         enriching = Observation()
-        answered = F.col("state") == "save"
-        matched = (
-            enrich_tagged(staged, answers, config.lookup_key, config.hot_rows)
-            .observe(
-                enriching,
-                F.count_if(answered).alias("matched_count"),
-                F.count_if(~answered).alias("not_matched_count"),
-            )
-            .where(answered)
-            .drop("state")
+        answered = F.col("state") == SAVE
+        tagged = enrich_tagged(staged, answers, config.lookup_key, config.hot_rows).observe(
+            enriching,
+            F.count_if(answered).alias("matched_count"),
+            F.count_if(~answered).alias("not_matched_count"),
         )
-        delivered = transform(matched, config.secret, config.code_col)
-        delivered.write.mode("overwrite").parquet(self.path("output"))
+        derived = transform(tagged, config.secret, config.code_col)
+        derived = derived.withColumn("uuid", F.when(answered, F.col("uuid")))
+        derived.write.mode("overwrite").partitionBy("state").parquet(self.path("output"))
         counted = enriching.get
+        written = self.spark.read.schema(derived.schema).parquet(self.path("output"))
         if counted["not_matched_count"] and config.sample_size:
-            unmatched = enrich_unmatched(staged, answers, config.lookup_key, config.hot_rows)
+            unmatched = written.where(~answered)
             sample = unmatched_sample(unmatched, config.sample_size, config.lookup_key).collect()
             logger.warning("Not matched: [%s]", ",".join(str(row[0]) for row in sample))
         self.report.fill(
@@ -177,7 +195,9 @@ class _Run:
             transformed_count=counted["matched_count"],
             valid_rows=counted["matched_count"],
         )
-        return self.spark.read.schema(delivered.schema).parquet(self.path("output"))
+        output = written.where(answered).drop("state")
+        self.publish_view(2, output)
+        return output
 
     def persist(self, output: DataFrame) -> None:
         """Merge the delivered rows into the state.
@@ -187,11 +207,10 @@ class _Run:
         delivered = self.report.sections["process"]["valid_rows"]
         self.state.upsert(output, self.run_id)
         self.report.fill("persist", raw_count=delivered, valid_rows=delivered)
+        self.publish_view(3, output)
 
-    def publish_views(self, raw: DataFrame, output: DataFrame) -> None:
+    def publish(self, output: DataFrame) -> DataFrame:
+        """The chosen columns, written where other programs read them."""
         config = self.config
-        cleaned = cleanup(
-            raw, config.key_cols, config.order_cols, config.description_col, config.code_col
-        )
-        for name, df in {"raw": raw, "cleanup": cleaned, "process": output, "persisted": output}.items():
-            publish_view(df, name)
+        publish_output(output, self.path("published"), config.output_cols, config.output_partition_cols)
+        return self.spark.read.parquet(self.path("published"))

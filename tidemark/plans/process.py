@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.functions.keyed_uuid import derive_entity_id
@@ -16,11 +18,12 @@ from tidemark.operators.lookup import (
     PAGE_SIZE,
     Ask,
     assign_pages,
+    items_without_id,
     lookup_pages,
     parse_responses,
-    unseen_keys,
 )
 from tidemark.sources.cache_table import CacheTable
+from tidemark.sources.shared import read_if_there
 
 logger = logging.getLogger(__name__)
 
@@ -36,29 +39,61 @@ def lookup_enrich(
 ) -> DataFrame:
     """The answers for the batch's ids, after asking for those not in the cache.
 
-    The cache is read once, for the batch's ids only; what it knows of them
-    is written to ``folder``, and so are the responses, before they are
-    parsed and added to the cache: no page is asked twice because a later
-    step fails. Pages that failed or came back empty leave their ids unseen.
+    Each attempt of a run has a folder of its own below ``folder``. It begins
+    by adding to the cache what earlier attempts were answered and could not
+    add any more, then reads the cache once, for the batch's ids only, and
+    writes what it knows and what it does not. Responses are written before
+    they are parsed and added to the cache. So no answer is lost or asked for
+    twice, whichever step fails. Pages that failed or came back empty leave
+    their ids unseen.
     """
     spark = batch.sparkSession
+    for attempt in _attempts(spark, folder):
+        if not cache.is_committed(f"{run_id}/{attempt}"):
+            responses = spark.read.schema(schemas.RESPONSE).parquet(f"{folder}/responses/attempt={attempt}")
+            cache.append(parse_responses(responses, run_id), f"{run_id}/{attempt}")
+    attempt = uuid.uuid4().hex
     ids = batch.select(F.col(key).alias("id")).where(F.col("id").isNotNull()).distinct()
-    known_answers(ids, cache.read(before=run_id)).write.mode("overwrite").parquet(f"{folder}/known")
-    known = spark.read.schema(schemas.CACHE).parquet(f"{folder}/known")
-
-    paged = assign_pages(unseen_keys(ids, known), page_size=page_size)
-    ask(lookup_pages(paged)).write.mode("overwrite").parquet(f"{folder}/responses")
-    responses = spark.read.schema(schemas.RESPONSE).parquet(f"{folder}/responses")
-    by_status = responses.groupBy("status").agg(F.count("*").alias("pages"))
-    pages_by_status = {row.status: row.pages for row in by_status.collect()}
-    answered = pages_by_status.pop(200, 0)
-    if pages_by_status:
-        logger.warning("Pages without answer in run %s, by status: %s", run_id, pages_by_status)
-    if not answered:
-        return known
-    new = parse_responses(responses, run_id)
-    cache.append(new, run_id)
-    return known.unionByName(new)
+    known_path = f"{folder}/known/attempt={attempt}"
+    known_answers(ids, cache.read()).write.parquet(known_path)
+    known = spark.read.schema(schemas.CACHE).parquet(known_path)
+    is_known = F.col("partition_ref").isNotNull()
+
+    paged = assign_pages(known.where(~is_known).select("id"), page_size=page_size)
+    place = f"{folder}/responses/attempt={attempt}"
+    counted = Observation()
+    ask(lookup_pages(paged)).observe(
+        counted,
+        F.count_if(F.col("status") == 200).alias("answered"),
+        F.count_if(F.col("status") != 200).alias("not_answered"),
+        F.coalesce(F.sum(F.when(F.col("status") == 200, items_without_id())), F.lit(0)).alias("without_id"),
+    ).write.parquet(place)
+    responses = spark.read.schema(schemas.RESPONSE).parquet(place)
+    if counted.get["without_id"]:
+        logger.warning("%d answered items of run %s have no id", counted.get["without_id"], run_id)
+    if counted.get["not_answered"]:
+        _log_failures(responses, run_id, place)
+    if counted.get["answered"]:
+        new = parse_responses(responses, run_id)
+        cache.append(new, f"{run_id}/{attempt}")
+        known = known.where(is_known).unionByName(new)
+    return known.where(F.col("partition_ref").isNotNull())
+
+
+def _attempts(spark: SparkSession, folder: str) -> list[str]:
+    """Earlier attempts of a run that were answered, by the folders they left."""
+    responses = read_if_there(spark, f"{folder}/responses", T.StructType([*schemas.RESPONSE, T.StructField("attempt", T.StringType())]))
+    return sorted(r["attempt"] for r in responses.where(F.col("status") == 200).select("attempt").distinct().collect())
+
+
+def _log_failures(responses: DataFrame, run_id: str, place: str) -> None:
+    """Name the first pages that brought no answer, and how many there are by status."""
+    failed = responses.where(F.col("status") != 200)
+    by_status = {row.status: row.pages for row in failed.groupBy("status").agg(F.count("*").alias("pages")).collect()}
+    first = [row.page for row in failed.where(F.col("status") != 204).orderBy("page").select("page").limit(20).collect()]
+    logger.warning(
+        "Pages without answer in run %s, by status: %s; failed, the first ones: %s; bodies in %s", run_id, by_status, first, place
+    )
 
 
 def transform(matched: DataFrame, secret: bytes, code: str = "code") -> DataFrame:

@@ -70,10 +70,11 @@ class RunReport:
         return json.dumps(self.as_dict(), indent=4)
 
     def to_df(self, spark: SparkSession) -> DataFrame:
-        """One row per section entry: section, name and value, as text."""
+        """One row per entry: section, name and value, as text; the run's own are in the section ``run``."""
+        run = {"elapsed": self.elapsed, "status": self.status, "additional_info": self.additional_info}
         rows = [
             (section, name, None if value is None else str(value))
-            for section, entries in self.sections.items()
+            for section, entries in {"run": run, **self.sections}.items()
             for name, value in entries.items()
         ]
         return spark.createDataFrame(rows, "section string, name string, value string")

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: The columns of the cache and, below, of the state. A null uuid is an answer, too.
 CACHE = T.StructType(
     [
-        T.StructField("uuid", T.StringType(), False),
+        T.StructField("uuid", T.StringType(), True),
         T.StructField("id", T.StringType(), False),
         T.StructField("partition_ref", T.StringType(), False),
     ]

@@ -1,4 +1,4 @@
-"""The lookup cache: answers kept per run in parquet."""
+"""The lookup cache: all answers ever given, bucketed by id."""
 
 from __future__ import annotations
 
@@ -6,35 +6,37 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark import schemas
-from tidemark.sources.shared import open_table
+from tidemark.sources.versioned_table import VersionedTable
 
 
 @dataclass(frozen=True)
 class CacheTable:
-    """Parquet below ``path``, one hive partition ``run=<run id>`` per run.
+    """Answers below ``path``; they are added and never replaced.
 
-    ``partition_ref`` (``<run id>_<page>``) is a column and not the partition
-    key: a directory for each page would be one per 499 ids.
+    An answer without a uuid says that the lookup knows the id and has no
+    uuid for it; it is kept, so that the id is not asked for again. Which
+    answer is the newest is decided by the commit's version and the page, both
+    numbers; ``partition_ref`` (``<run id>_<page>``) is text to look at.
     """
 
     spark: SparkSession
     path: str
+    buckets: int | None = None
 
-    def read(self, before: str | None = None) -> DataFrame:
-        """All answers, or those of other runs than ``before``.
-
-        A run repeated under its id asks again what it asked the first time,
-        since :meth:`append` replaces its partition.
-        """
-        schema = T.StructType([*schemas.CACHE.fields, T.StructField("run", T.StringType())])
-        cache = open_table(self.spark, self.path, schema, ["run"])
-        if before is not None:
-            cache = cache.where(F.col("run") != before)
-        return cache.select(*schemas.CACHE.names)
-
-    def append(self, answers: DataFrame, run_id: str) -> None:
-        """Add a run's answers; writing the same run again replaces them."""
-        answers.select(*schemas.CACHE.names).write.mode("overwrite").parquet(f"{self.path}/run={run_id}")
+    @property
+    def table(self) -> VersionedTable:
+        return VersionedTable(self.spark, self.path, ("uuid", "id", "partition_ref", "page"), ("id",), self.buckets)
+
+    def read(self) -> DataFrame:
+        """All answers with their ``version`` and ``page``."""
+        return self.table.rows()
+
+    def is_committed(self, run_id: str) -> bool:
+        return self.table.is_committed(run_id)
+
+    def append(self, answers: DataFrame, run_id: str) -> int:
+        """Add a run's answers; without a ``page`` column it is read off ``partition_ref``."""
+        page = F.col("page") if "page" in answers.columns else F.regexp_extract("partition_ref", r"_([0-9]+)$", 1).try_cast("long")
+        return self.table.append(answers.select(*schemas.CACHE.names, page.cast("long").alias("page")), run_id)

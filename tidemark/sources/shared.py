@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -19,7 +19,8 @@ def shared_dir(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
     return spark.sparkContext.getCheckpointDir()
@@ -30,9 +31,11 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def open_table(
-    spark: SparkSession, path: str, schema: T.StructType, partition_by: Sequence[str] = ()
-) -> DataFrame:
-    """The parquet table at ``path``; before its first write, a new empty one."""
-    spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*partition_by).parquet(path)
-    return spark.read.schema(schema).parquet(path)
+def read_if_there(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The parquet table at ``path``, or no rows if nothing was ever written there. Writes nothing."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)

@@ -1,125 +1,47 @@
-"""The fingerprint state: committed parquet snapshots."""
+"""The fingerprint state: the newest delivered fingerprint of each key."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from hashlib import md5
 
 from pyspark.sql import DataFrame, Row, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark import schemas
-from tidemark.operators.state import state_upsert
-from tidemark.sources.shared import open_table
-
-ROWS_PER_BUCKET = 100_000
-
-_COMMITS = T.StructType(
-    [
-        T.StructField("version", T.LongType()),
-        T.StructField("run_id", T.StringType()),
-        T.StructField("snapshot", T.LongType()),
-        T.StructField("buckets", T.IntegerType()),
-    ]
-)
+from tidemark.sources.versioned_table import VersionedTable
 
 
 @dataclass(frozen=True)
 class StateTable:
-    """Snapshots below ``path``, bucketed by the keys into ``buckets`` files.
+    """Fingerprints below ``path``, of which the last committed one of a key counts.
 
-    A snapshot is never written over the one being read: number N goes to
-    folder N modulo ``keep``, and counts once a row in ``commits`` names it.
-    What a lost run left half-written is never read. One run at a time may
-    write. Joins on the keys read a snapshot without shuffling it; with as
-    many buckets as the session has shuffle partitions, a batch is shuffled
-    once for all of them. That is the number a large state gets unless
-    ``buckets`` sets it; a small one gets fewer, to spare files.
+    One run at a time may write: of two that began together the second to
+    commit gets an error and leaves the state as the first one made it.
     """
 
     spark: SparkSession
     path: str
     key_cols: Sequence[str] = ("id", "code")
     buckets: int | None = None
-    keep: int = 3
 
-    def __post_init__(self) -> None:
-        if self.keep < 2:
-            raise ValueError("keep two snapshots at least: the one read and the one written")
+    @property
+    def table(self) -> VersionedTable:
+        keys = tuple(self.key_cols)
+        return VersionedTable(self.spark, self.path, (*keys, "sha2"), keys, self.buckets, newest_only=True)
 
     def commits(self) -> list[Row]:
-        """The commit log, one short row per run, oldest first."""
-        log = open_table(self.spark, f"{self.path}/commits", _COMMITS)
-        return log.orderBy("version").collect()
+        return self.table.commits()
 
     def is_committed(self, run_id: str) -> bool:
-        return any(commit.run_id == run_id for commit in self.commits())
+        return self.table.is_committed(run_id)
 
     def read(self) -> DataFrame:
-        """The newest committed snapshot, or no rows before the first."""
-        commits = self.commits()
-        if not commits:
+        """The state after the newest commit, or no rows before the first."""
+        latest = self.table.latest_commit()
+        if latest is None:
             return self.spark.createDataFrame([], schemas.state_schema(self.key_cols))
-        return self.spark.table(self._declare(commits[-1].snapshot, commits[-1].buckets))
+        return self.table.newest(latest).select(*self.key_cols, "sha2")
 
     def upsert(self, batch: DataFrame, run_id: str) -> int:
-        """Merge the batch's fingerprints into a new snapshot, commit it, return its version.
-
-        An empty batch commits the present snapshot once more. The batch must
-        not be a plan over snapshots of this table that are no longer kept; a
-        written table is safest.
-        """
-        commits = self.commits()
-        latest = commits[-1] if commits else None
-        new_rows = batch.count()
-        if latest and not new_rows:
-            return self._commit(latest.version + 1, run_id, latest.snapshot, latest.buckets)
-        if latest:
-            version, snapshot = latest.version + 1, latest.snapshot + 1
-            current = self.read()
-            rows = state_upsert(current, batch, self.key_cols)
-            buckets = self.buckets or max(latest.buckets, self._fitting_buckets(current.count() + new_rows))
-        else:
-            version, snapshot = 0, 0
-            rows = batch.select(*self.key_cols, "sha2")
-            buckets = self.buckets or self._fitting_buckets(new_rows)
-        if not latest or latest.buckets != buckets:
-            # Otherwise the rows already lie by bucket, one file a task.
-            rows = rows.repartition(buckets, *self.key_cols)
-        rows.write.insertInto(self._declare(snapshot, buckets), overwrite=True)
-        self._commit(version, run_id, snapshot, buckets)
-        for old in {(c.snapshot, c.buckets) for c in commits if c.snapshot == snapshot - self.keep}:
-            # Its folder holds the new snapshot now; files stay, being external.
-            self.spark.sql(f"DROP TABLE IF EXISTS {self._name(*old)}")
-        return version
-
-    def _fitting_buckets(self, rows: int) -> int:
-        """A power of two with at most ``ROWS_PER_BUCKET`` rows each, or the shuffle partitions."""
-        wanted = max(1, -(-rows // ROWS_PER_BUCKET))
-        partitions = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        return min(partitions, 1 << (wanted - 1).bit_length())
-
-    def _commit(self, version: int, run_id: str, snapshot: int, buckets: int) -> int:
-        values = (version, run_id, snapshot, buckets)
-        row = self.spark.range(1).select(
-            *(F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, _COMMITS))
-        )
-        row.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
-        return version
-
-    def _name(self, snapshot: int, buckets: int) -> str:
-        return f"tidemark_{md5(self.path.encode()).hexdigest()[:16]}_{snapshot}_{buckets}"
-
-    def _declare(self, snapshot: int, buckets: int) -> str:
-        """Name of the catalog entry over a snapshot's folder, made if missing."""
-        name = self._name(snapshot, buckets)
-        keys = ", ".join(f"`{c}`" for c in self.key_cols)
-        columns = ", ".join(f"`{c}` STRING" for c in (*self.key_cols, "sha2"))
-        self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet"
-            f" CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {buckets} BUCKETS"
-            f" LOCATION '{self.path}/snapshot={snapshot % self.keep}'"
-        )
-        return name
+        """Add the batch's fingerprints, one row per key, and return the commit's version."""
+        return self.table.append(batch.select(*self.key_cols, "sha2"), run_id)

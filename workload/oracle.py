@@ -43,6 +43,7 @@ CTES = {
     "batch_raw": f"select * from raw where created_at >= timestamp '{CUT}'",
     "earlier": f"select * from ({latest('earlier_raw')}) where description is not null and code is not null",
     "batch": f"select * from ({latest('batch_raw')}) where description is not null and code is not null",
+    "cleaned": f"select * from ({latest('raw')}) where description is not null and code is not null",
     "state": f"select id, code, {SHA2} as sha2 from earlier",
     "new_state": f"select id, code, {SHA2} as sha2 from batch",
     "service": f"""select cast(o_orderkey as varchar) as id, {uuid('cast(o_orderkey as varchar)')} as uuid,
@@ -52,7 +53,7 @@ CTES = {
     "tagged": f"""select b.*, case when s.sha2 is null then 'new' when b.sha2 <> s.sha2 then 'changed'
         else 'repeated' end as change
         from (select *, {SHA2} as sha2 from batch) b left join state s using (id, code)""",
-    "unseen": "select distinct id from batch where id not in (select id from small_cache)",
+    "unseen": "select distinct id from cleaned where id not in (select id from small_cache)",
     "order_ids": "select cast(o_orderkey as varchar) as id from orders",
     "parsed": f"""select uuid, id, '2000-01-01_' || page as partition_ref
         from ({pages('order_ids')}) join service using (id)""",
@@ -131,6 +132,8 @@ def report(staged: str, matched: str) -> str:
         ("load", "predicate"): "'year=2024 and month=05 and day=10'",
         **{(s, "status"): "'success'" for s in ("load", "cleanup", "process", "persist")},
     }
+    texts[("run", "status")] = "'success'"
+    texts[("run", "additional_info")] = "null"
     rows = [f"select '{s}' as section, '{n}' as name, cast({v} as varchar) as value" for (s, n), v in {**counters, **texts}.items()]
     counted = f"{CLEANUP_COUNTERS.format('batch_raw')} from ({latest('batch_raw')})"
     return f"select r.* from (with c as ({counted}) " + " union all ".join(rows) + ") r"
@@ -185,7 +188,7 @@ ORACLE = {
         """select id, code, sha2, count(*) as copies from (select id, coalesce(n.code, c.code) as code,
         coalesce(n.sha2, c.sha2) as sha2 from state c full join new_state n using (id)) group by all"""
     ),
-    "bootstrap_empty_state": sql(f"select *, {SHA2} as sha2, 'new' as change from batch"),
+    "bootstrap_empty_state": sql(f"select *, {SHA2} as sha2, 'new' as change from cleaned"),
     "unseen_keys": sql("select * from unseen"),
     "lookup_batches": sql(pages("unseen")),
     "parse_lookup_response": sql("select * from parsed"),
@@ -197,26 +200,33 @@ ORACLE = {
         qualify row_number() over (partition by id order by cast(ts as date) desc, hour(ts) desc, uuid desc) = 1""",
     "lookup_enrich": sql(
         f"""select b.*, a.uuid, a.partition_ref, if(a.uuid is null, 'skipped', 'save') as state
-        from batch b left join (select * from small_cache union all
+        from cleaned b left join (select * from small_cache union all
         select uuid, id, '2000-01-01_' || page as partition_ref from ({pages('unseen')})
         join service using (id)) a using (id)"""
     ),
     "enrich_tagged": sql(
         """select b.*, uuid, partition_ref, if(uuid is null, 'skipped', 'save') as state
-        from batch b left join cache using (id)"""
+        from cleaned b left join cache using (id)"""
     ),
-    "enrich_matched": sql("select b.*, uuid, partition_ref from batch b join cache using (id)"),
-    "enrich_unmatched": sql("select * from batch where id not in (select id from cache )"),
+    "lookup_retry": sql(
+        f"""select b.*, a.uuid, a.partition_ref, if(a.uuid is null, 'skipped', 'save') as state
+        from cleaned b left join (select s.uuid, id, '2000-01-01_' || page as partition_ref
+        from ({pages('(select distinct id from cleaned )')}) join service s using (id) where o_orderstatus = 'F') a using (id)"""
+    ),
+    "enrich_matched": sql("select b.*, uuid, partition_ref from cleaned b join cache using (id)"),
+    "enrich_unmatched": sql("select * from cleaned where id not in (select id from cache )"),
     "enrich_full_outer": sql(
         """select id, code, group_id, created_at, description, part_id, supp_id, uuid, partition_ref,
-        if(uuid is null, 'skipped', 'save') as state from batch full join cache using (id)"""
+        if(uuid is null, 'skipped', 'save') as state, count(*) as copies from cleaned full join (
+        select * from cache union all select * from small_cache union all
+        select null, cast(o_orderkey as varchar), '1999-12-31_2' from orders where o_orderstatus = 'P') using (id) group by all"""
     ),
     "enrich_documents": f"""select cast(d.doc_id as varchar) as id, text, lang, source, n_chars, uuid,
         if(uuid is null, null, '2024-05-10_1') as partition_ref, if(uuid is null, 'skipped', 'save') as state
         from documents d left join (select doc_id, {uuid("concat_ws('||', doc_id, quality, toxic)")} as uuid
         from labels) using (doc_id)""",
     "unmatched_sample": sql(
-        """select id from batch where id not in (select id from cache ) order by id limit 20"""
+        """select id from cleaned where id not in (select id from cache ) order by id limit 20"""
     ),
     "process_report": sql(
         """select count(*) as raw_count, count(*) filter (change <> 'repeated') as new_count,
@@ -228,7 +238,7 @@ ORACLE = {
         from tagged left join cache using (id)"""
     ),
     "publish_output": sql(
-        f"""select {uuid("uuid || '||' || code")} as uuid, id, code, group_id from batch join cache using (id)"""
+        f"""select {uuid("uuid || '||' || code")} as uuid, id, code, group_id from cleaned join cache using (id)"""
     ),
     "incremental_run": sql(
         f"""select {ROW}, 2024 as year, 5 as month, 10 as day, sha2, {uuid("answer || '||' || code")} as uuid,
@@ -239,3 +249,10 @@ ORACLE = {
     "rerun_report": sql(report("staged3", "select count(*) from staged3 join answers2 using (id)")),
 }
 ORACLE["state_upsert_roundtrip"] = ORACLE["state_upsert"]
+ORACLE["run_report_json"] = f"select * from ({ORACLE['run_report']}) where section <> 'run'"
+ORACLE["error_report"] = """select * from (values ('run', 'status', 'error'),
+    ('run', 'additional_info', 'run ''2024-05-09'' is already committed to the state'), ('load', 'status', 'unknown'),
+    ('cleanup', 'status', 'unknown'), ('process', 'status', 'unknown'), ('persist', 'status', 'unknown')) r(section, name, value)"""
+ORACLE["incremental_output"] = sql(f"""select {uuid("answer || '||' || code")} as uuid, id, code, group_id from output2""")
+ORACLE["cleanup_pipeline"] = ORACLE["cleanup"]
+ORACLE["incremental_pipeline"] = ORACLE["incremental_run"]

@@ -35,35 +35,31 @@ def workday_anchor(spark, sf_dir):
 
 @query
 def recent_partitions(spark, sf_dir):
-    return sources.recent_partitions(t.event_days(spark, sf_dir), SUNDAY)
+    with t.day_table(spark, t.event_days(spark, sf_dir)) as name:
+        return sources.recent_partitions(sources.list_partitions(spark, name), SUNDAY)
 
 
 @query
 def latest_partition(spark, sf_dir):
-    recent = sources.recent_partitions(t.event_days(spark, sf_dir), SUNDAY)
+    with t.day_table(spark, t.event_days(spark, sf_dir)) as name:
+        recent = sources.recent_partitions(sources.list_partitions(spark, name), SUNDAY)
     return sources.latest_partition(recent, SUNDAY)
 
 
 @query
 def latest_partition_scan(spark, sf_dir):
     path = sources.new_folder(spark, "events")
-    t.write_event_days(spark, sf_dir, path)
-    newest, _, _ = sources.latest_partition_scan(spark.read.parquet(path), SUNDAY, until=SUNDAY)
+    t.event_days(spark, sf_dir).write.partitionBy("year", "month", "day").parquet(path)
+    with t.day_table(spark, t.event_days(spark, sf_dir)) as name:
+        listing = sources.list_partitions(spark, name)
+    newest, _, _ = sources.latest_partition_scan(spark.read.parquet(path), SUNDAY, until=SUNDAY, partitions=listing)
     return newest
 
 
 @query
 def catalog_partitions(spark, sf_dir):
-    path = sources.new_folder(spark, "events")
-    t.write_event_days(spark, sf_dir, path)
-    table = path.rsplit("/", 1)[1].replace("-", "_")
-    columns = t.read(spark, sf_dir, "events").schema.toDDL()
-    spark.sql(
-        f"CREATE TABLE {table} ({columns}, year INT, month INT, day INT) USING parquet"
-        f" PARTITIONED BY (year, month, day) LOCATION '{path}'"
-    )
-    spark.sql(f"MSCK REPAIR TABLE {table}")
-    return sources.list_partitions(spark, table)
+    with t.day_table(spark, t.event_days(spark, sf_dir)) as name:
+        return sources.list_partitions(spark, name)
 
 
 @query
@@ -186,7 +182,7 @@ def state_upsert_by_id(spark, sf_dir):
 @query
 def bootstrap_empty_state(spark, sf_dir):
     empty = sources.StateTable(spark, sources.new_folder(spark, "state"), t.KEYS).read()
-    return op.change_detect(t.batch(spark, sf_dir), empty, t.KEYS, t.FINGERPRINT)
+    return op.change_detect(t.cleaned(spark, sf_dir), empty, t.KEYS, t.FINGERPRINT)
 
 
 @query
@@ -202,12 +198,12 @@ def state_upsert_roundtrip(spark, sf_dir):
 
 @query
 def unseen_keys(spark, sf_dir):
-    return op.unseen_keys(t.batch(spark, sf_dir), t.small_cache(spark, sf_dir))
+    return op.unseen_keys(t.cleaned(spark, sf_dir), t.small_cache(spark, sf_dir))
 
 
 @query
 def lookup_batches(spark, sf_dir):
-    return op.assign_pages(op.unseen_keys(t.batch(spark, sf_dir), t.small_cache(spark, sf_dir)))
+    return op.assign_pages(op.unseen_keys(t.cleaned(spark, sf_dir), t.small_cache(spark, sf_dir)))
 
 
 @query
@@ -233,7 +229,7 @@ def lookup_function(spark, sf_dir):
 
         return 200, json.dumps([answer(key) for key in ids])
 
-    unseen = op.unseen_keys(t.batch(spark, sf_dir), t.small_cache(spark, sf_dir))
+    unseen = op.unseen_keys(t.cleaned(spark, sf_dir), t.small_cache(spark, sf_dir))
     responses = op.ask_function(fetch, 8)(op.lookup_pages(op.assign_pages(unseen)))
     return op.parse_responses(responses, "2000-01-01")
 
@@ -243,19 +239,19 @@ def cache_append_roundtrip(spark, sf_dir):
     cache = sources.CacheTable(spark, sources.new_folder(spark, "cache"))
     cache.append(t.small_cache(spark, sf_dir), "1999-12-31")
     cache.append(parse_lookup_response(spark, sf_dir), "2000-01-01")
-    cache.append(parse_lookup_response(spark, sf_dir), "2000-01-01")
-    return cache.read()
+    return cache.read().select("uuid", "id", "partition_ref")
 
 
 @query
 def latest_answers(spark, sf_dir):
     events = t.read(spark, sf_dir, "events")
-    page = F.hour("ts").cast("string")
     return op.latest_answers(
         events.select(
             fn.keyed_uuid(F.col("event_id").cast("string"), t.SECRET).alias("uuid"),
             F.col("user_id").cast("string").alias("id"),
-            F.concat_ws("_", F.date_format("ts", "yyyy-MM-dd"), page).alias("partition_ref"),
+            F.concat_ws("_", F.date_format("ts", "yyyy-MM-dd"), F.hour("ts")).alias("partition_ref"),
+            F.unix_date(F.col("ts").cast("date")).alias("version"),
+            F.hour("ts").alias("page"),
         )
     )
 
@@ -265,30 +261,43 @@ def lookup_enrich(spark, sf_dir):
     folder = sources.new_folder(spark, "lookup")
     cache = sources.CacheTable(spark, f"{folder}/cache")
     cache.append(t.small_cache(spark, sf_dir), "1999-12-31")
-    batch = t.staged_batch(spark, sf_dir)
+    batch = t.staged_rows(spark, sf_dir)
     ask = op.ask_table(t.service(spark, sf_dir))
     answers = plans.lookup_enrich(batch, cache, ask, "2000-01-01", folder)
     return op.enrich_tagged(batch, answers)
 
 
+@query
+def lookup_retry(spark, sf_dir):
+    """A run repeated under its id while the service is down: what was answered first is kept, nothing else comes."""
+    folder = sources.new_folder(spark, "lookup")
+    cache = sources.CacheTable(spark, f"{folder}/cache")
+    batch = t.staged_rows(spark, sf_dir)
+    finished = t.service(spark, sf_dir).where("o_orderstatus = 'F'")
+    down = op.ask_table(finished.where("false"))
+    for ask in (op.ask_table(finished), down):
+        answers = plans.lookup_enrich(batch, cache, ask, "2000-01-01", folder)
+    return op.enrich_tagged(batch, answers)
+
+
 @query
 def enrich_tagged(spark, sf_dir):
-    return op.enrich_tagged(t.staged_batch(spark, sf_dir), t.cache(spark, sf_dir))
+    return op.enrich_tagged(t.staged_rows(spark, sf_dir), t.cache(spark, sf_dir))
 
 
 @query
 def enrich_matched(spark, sf_dir):
-    return op.enrich_matched(t.staged_batch(spark, sf_dir), t.cache(spark, sf_dir))
+    return op.enrich_matched(t.staged_rows(spark, sf_dir), t.cache(spark, sf_dir))
 
 
 @query
 def enrich_unmatched(spark, sf_dir):
-    return op.enrich_unmatched(t.staged_batch(spark, sf_dir), t.cache(spark, sf_dir))
+    return op.enrich_unmatched(t.staged_rows(spark, sf_dir), t.cache(spark, sf_dir))
 
 
 @query
 def enrich_full_outer(spark, sf_dir):
-    return op.enrich_full_outer(t.staged_batch(spark, sf_dir), t.cache(spark, sf_dir))
+    return op.enrich_full_outer(t.staged_rows(spark, sf_dir), t.full_cache(spark, sf_dir))
 
 
 @query
@@ -304,7 +313,7 @@ def enrich_documents(spark, sf_dir):
 
 @query
 def unmatched_sample(spark, sf_dir):
-    unmatched = op.enrich_unmatched(t.staged_batch(spark, sf_dir), t.cache(spark, sf_dir))
+    unmatched = op.enrich_unmatched(t.staged_rows(spark, sf_dir), t.cache(spark, sf_dir))
     return op.unmatched_sample(unmatched)
 
 
@@ -317,7 +326,7 @@ def process_report(spark, sf_dir):
 
 @query
 def publish_output(spark, sf_dir):
-    matched = op.enrich_matched(t.staged_batch(spark, sf_dir), t.cache(spark, sf_dir))
+    matched = op.enrich_matched(t.staged_rows(spark, sf_dir), t.cache(spark, sf_dir))
     path = sources.new_folder(spark, "output")
     columns = ["uuid", "id", "code", "group_id"]
     sources.publish_output(plans.transform(matched, t.SECRET), path, columns, ["group_id"])
@@ -327,22 +336,27 @@ def publish_output(spark, sf_dir):
 # Whole runs
 
 
-def _runs(spark: SparkSession, sf_dir: str, *runs: tuple[dt.date, str]) -> tuple[RunResult, sources.StateTable]:
+def _runs(
+    spark: SparkSession, sf_dir: str, *runs: tuple[dt.date, str | None], **options
+) -> tuple[RunResult, sources.StateTable]:
     """Runs one after another over the day-partitioned raw rows; the last one's result."""
-    root = sources.new_folder(spark, "run")
-    t.write_raw_days(spark, sf_dir, f"{root}/raw")
     config = RunConfig(
-        f"{root}/work", t.SECRET, t.KEYS, t.ORDER, t.FINGERPRINT, until_run_date=True, sample_size=0
+        sources.new_folder(spark, "run"), t.SECRET, t.KEYS, t.ORDER, t.FINGERPRINT, until_run_date=True, **options
     )
     ask = op.ask_table(t.service(spark, sf_dir))
-    for run_date, run_id in runs:
-        result = run_incremental(spark, config, spark.read.parquet(f"{root}/raw"), ask, run_date, run_id)
+    with t.day_table(spark, t.raw_days(spark, sf_dir)) as table:
+        for run_date, run_id in runs:
+            result = run_incremental(spark, config, table, ask, run_date, run_id, raise_errors=False)
     return result, sources.StateTable(spark, f"{config.root}/state", t.KEYS)
 
 
 FIRST = (t.EARLIER_DAY, "2024-05-09")
 SECOND = (t.THIS_DAY, "2024-05-10")
-AGAIN = (t.THIS_DAY, "2024-05-10-again")
+AGAIN = (t.THIS_DAY, None)  # the day's second run
+
+
+def _report(spark: SparkSession, result: RunResult) -> DataFrame:
+    return result.report.to_df(spark).where("name <> 'elapsed'")
 
 
 @query
@@ -354,7 +368,7 @@ def incremental_run(spark, sf_dir):
 @query
 def run_report(spark, sf_dir):
     result, _ = _runs(spark, sf_dir, FIRST, SECOND)
-    return result.report.to_df(spark)
+    return _report(spark, result)
 
 
 @query
@@ -366,4 +380,35 @@ def incremental_rerun(spark, sf_dir):
 @query
 def rerun_report(spark, sf_dir):
     result, _ = _runs(spark, sf_dir, FIRST, SECOND, AGAIN)
-    return result.report.to_df(spark)
+    return _report(spark, result)
+
+
+@query
+def run_report_json(spark, sf_dir):
+    """The report's JSON, read again: a row for each counter of a section."""
+    result, _ = _runs(spark, sf_dir, FIRST, SECOND)
+    text = spark.createDataFrame([(result.report.to_json(),)], "report string")
+    entries = "map<string,string>"
+    sections = F.from_json("report", f"struct<load {entries}, cleanup {entries}, process {entries}, persist {entries}>")
+    names = ("load", "cleanup", "process", "persist")
+    named = F.array(*(F.struct(F.lit(n).alias("section"), sections[n].alias("entries")) for n in names))
+    return text.select(F.inline(named)).select("section", F.explode("entries").alias("name", "value"))
+
+
+@query
+def error_report(spark, sf_dir):
+    """A committed run asked for again: it ends as an error, and the report says which."""
+    result, _ = _runs(spark, sf_dir, FIRST, FIRST)
+    return _report(spark, result).where("section = 'run' or value = 'unknown'")
+
+
+@query
+def incremental_output(spark, sf_dir):
+    """The chosen columns that a run publishes."""
+    columns = ("uuid", "id", "code", "group_id")
+    result, _ = _runs(spark, sf_dir, FIRST, SECOND, output_cols=columns, output_partition_cols=("group_id",))
+    return result.published.select(*columns[:3], F.col("group_id").cast("long"))
+
+
+QUERIES["cleanup_pipeline"] = QUERIES["cleanup"]
+QUERIES["incremental_pipeline"] = QUERIES["incremental_run"]

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,8 +64,13 @@ def staged(spark: SparkSession, df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def staged_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staged(spark, batch(spark, sf_dir))
+def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows after the cleanup, where no earlier run is kept apart."""
+    return cleanup(raw(spark, sf_dir), KEYS, ORDER)
+
+
+def staged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return staged(spark, cleaned(spark, sf_dir))
 
 
 def state(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,6 +103,18 @@ def small_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def full_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers as a long-lived cache holds them: finished orders answered twice, pending ones without a uuid."""
+    rows = cache(spark, sf_dir)
+    orders = read(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "P")
+    none = orders.select(
+        F.lit(None).cast("string").alias("uuid"),
+        F.col("o_orderkey").cast("string").alias("id"),
+        F.lit("1999-12-31_2").alias("partition_ref"),
+    )
+    return rows.unionByName(small_cache(spark, sf_dir)).unionByName(none)
+
+
 def by_part(df: DataFrame) -> DataFrame:
     """The part as code, which several ids share."""
     return df.withColumn("code", F.col("part_id").cast("string"))
@@ -108,14 +127,27 @@ def event_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_event_days(spark: SparkSession, sf_dir: str, path: str) -> None:
-    event_days(spark, sf_dir).write.partitionBy("year", "month", "day").parquet(path)
+@contextmanager
+def day_table(spark: SparkSession, rows: DataFrame) -> Iterator[str]:
+    """The rows as a catalog table partitioned by year, month and day; its name goes at the end, its files stay."""
+    path = new_folder(spark, "days")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    rows.write.partitionBy("year", "month", "day").parquet(path)
+    place = path.replace("'", "\\'")
+    columns = rows.drop("year", "month", "day").schema.toDDL()
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}, year INT, month INT, day INT) USING parquet"
+        f" PARTITIONED BY (year, month, day) LOCATION '{place}'"
+    )
+    try:
+        spark.sql(f"MSCK REPAIR TABLE {name}")
+        yield name
+    finally:
+        spark.sql(f"DROP TABLE {name}")
 
 
-def write_raw_days(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """The raw rows with one day partition for the earlier run and one for this."""
+def raw_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw rows with one day for the earlier run and one for this."""
     is_earlier = F.col("created_at") < _cut()
     day = F.when(is_earlier, F.lit(EARLIER_DAY)).otherwise(F.lit(THIS_DAY))
-    raw(spark, sf_dir).withColumns(
-        {"year": F.year(day), "month": F.month(day), "day": F.day(day)}
-    ).write.partitionBy("year", "month", "day").parquet(path)
+    return raw(spark, sf_dir).withColumns({"year": F.year(day), "month": F.month(day), "day": F.day(day)})
