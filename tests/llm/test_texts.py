@@ -1,0 +1,310 @@
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import sys
+import zlib
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from tests.conftest import TESTDATA
+from tests.llm import cases
+from tidemark.llm import attention, bpe, lm_score, mixing, quality_rules, token_counts
+from tidemark.llm.common import Recent, join_few
+from tidemark.llm.queries import ORACLE, op6_mix_sources
+from tidemark.llm.tokens_base import pieces, vocabulary
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def library():
+    tokenizer = Tokenizer.from_file(PATH)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return tokenizer
+
+
+def awkward(n=400):
+    rng = random.Random(4)
+    parts = ["a", "B", " ", "  ", "\n", " \n", "é", "'s", "'LL", "12", "?!", "ungs", "<|endoftext|>", "\t", "　", "\x1c", "the", "x" * 40, "日本", "🙂🏽", "\x00"]
+    fixed = ["", " ", "a" * 3000, " " * 500 + "z", "don't we'll I'M", "é" * 301, "<|endoftext|><|endoftext|>", "end "]
+    return fixed + ["".join(rng.choice(parts) for _ in range(rng.randint(1, 200))) for _ in range(n)]
+
+
+def test_ids_and_counts_are_the_librarys(library):
+    texts = awkward()
+    words = vocabulary(PATH)
+    expected = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    encoder, counter = bpe.Encoder(words), token_counts.Counter(words)
+    assert [encoder.encode(t) for t in texts] == expected
+    assert [counter.count(t) for t in texts] == [len(ids) for ids in expected]
+    assert [bpe.decode_ids(ids, words) for ids in expected] == [library.decode(ids, skip_special_tokens=False) for ids in expected] == texts
+
+
+def test_pieces_are_the_librarys_for_every_code_point(library):
+    split = library.pre_tokenizer.pre_tokenize_str
+    for cp in range(0, sys.maxunicode + 1, 1):
+        if 0xD800 <= cp < 0xE000 or 0x4E00 < cp < 0x9F00 or 0xAC00 < cp < 0xD700 or 0x40000 <= cp < 0xE0000 or cp > 0xE1000 or 0x20000 < cp < 0x2A000:
+            continue
+        text = f"a{chr(cp)}1 {chr(cp)}?"
+        assert pieces(text) == [text[a:b] for _, (a, b) in split(text)], hex(cp)
+
+
+def test_no_merge_reaches_over_a_cut():
+    words = vocabulary(PATH)
+    inner = bpe.inner_pairs(words)
+    assert all(len(bpe.fragments(t, inner)) == 1 for t in words.tokens.values())
+    assert b"".join(bpe.fragments(b"q\xc3\xa9zx\xff", inner)) == b"q\xc3\xa9zx\xff"
+    rng = random.Random(0)
+    for size in (1, 5, 60, 400):
+        fragment = bytes(rng.choices(b"etaoins", k=size))
+        assert bpe.merge(fragment, words) == bpe._in_rounds([words.byte_ids[b] for b in fragment], words)
+
+
+def test_token_queries_on_odd_rows(spark, library):
+    docs = cases.odd(spark)
+    expected = [(r[0], library.encode(r[1] or "", add_special_tokens=False).ids, r[1] or "") for r in cases.odd_rows()]
+    counts = token_counts.token_counts(docs, PATH).collect()
+    assert Counter(map(tuple, counts)) == Counter((i, len(t.encode()), len(ids), len(ids) > 1024) for i, ids, t in expected)
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    got = bpe.with_digests(docs, PATH, keep_ids=True).collect()
+    assert Counter((r["id"], r["n_tokens"], r["ids_sha256"], r["decoded_sha256"], tuple(r["ids"])) for r in got) == Counter(
+        (i, len(ids), sha(",".join(map(str, ids))), sha(t), tuple(ids)) for i, ids, t in expected
+    )
+    for empty in (token_counts.token_counts(cases.none(spark), PATH), bpe.with_digests(cases.none(spark), PATH)):
+        assert empty.count() == 0
+    trip = docs.select("text", bpe.decode(bpe.encode(F.col("text"), PATH), PATH).alias("again")).collect()
+    assert all(r["again"] == (r["text"] or "") for r in trip)
+
+
+def test_recent_remembers_the_last_generation():
+    made = []
+    memo = Recent(lambda k: made.append(k) or k * 2, 2, longest=3)
+    assert [memo[k] for k in ("a", "b", "c", "a", "long", "long")] == ["aa", "bb", "cc", "aa", "longlong", "longlong"]
+    assert made == ["a", "b", "c", "long", "long"]
+
+
+# quality rules
+
+
+def counted(text):
+    w = cases.words(text)
+    triples = Counter(zip(w, w[1:], w[2:]))
+    repeated = {j for i in range(len(w) - 2) if triples[tuple(w[i : i + 3])] > 1 for j in (i, i + 1, i + 2)}
+    lines = [x for x in (text or "").split("\n") if cases.words(x)]
+    symbols = sum(c in "#*$%&|<>" for c in text or "")
+    failed = len(w) < 50 or 100 * len(repeated) > 50 * len(w)
+    return len(w), sum(map(len, w)), symbols, len(lines) - len(set(lines)), len(repeated), failed
+
+
+def repetitive():
+    rng = random.Random(6)
+    for n in (0, 1, 2, 3, 4, 5, 9, 30, 90, 700):
+        for kinds in (1, 2, 3, 10):
+            yield " ".join(rng.choices("abcdefghij"[:kinds], k=n)) + rng.choice(["", "\n", "\nx\nx\n \n", "#*|"])
+
+
+def test_counts_against_brute_force(spark):
+    texts = [*repetitive(), *(r[1] for r in cases.odd_rows()), *(r["text"] for r in cases.small(spark).collect())]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: tuple(r[c] for c in (*quality_rules.BASE, "base_failed")) for r in quality_rules.with_verdicts(rows).collect()}
+    assert got == {i: counted(t) for i, t in enumerate(texts)}
+
+
+def test_junk_goes_and_prose_stays(spark):
+    labels = cases.small_labels(spark)
+    rows = quality_rules.with_verdicts(cases.small(spark)).join(labels, "doc_id").collect()
+    assert all(r["kept"] == (r["quality"] == 1 and not r["base_failed"]) for r in rows) and rows
+    good = cases.small(spark).join(labels.where("quality = 1"), "doc_id", "left_semi")
+    assert all(r["kept"] != r["base_failed"] for r in quality_rules.with_verdicts(good).collect())  # also where there is no junk
+    kept = quality_rules.keep_good(cases.odd(spark))
+    assert kept.columns == cases.odd(spark).columns and quality_rules.keep_good(cases.none(spark)).count() == 0
+
+
+def test_em_learns_which_rules_to_trust():
+    patterns = {"gg": 80, "bb": 10, "g-": 5, "bg": 1}
+    odds, ratios = quality_rules.fit(patterns, 2)
+    chance = {p: odds + sum(r[v] for r, v in zip(ratios, p)) for p in patterns}
+    assert chance["gg"] > 0 > chance["bb"] and ratios[0]["b"] < 0 < ratios[0]["g"]
+    assert quality_rules.fit({}, 2)[1][0].keys() == {"b", "-", "g"}
+
+
+# mixing
+
+
+def water(sizes, weights=(5, 2, 1), share=1.5, most=2.0):
+    """Targets by sharing again and again."""
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[i % 3] for i, s in enumerate(names)}
+    total, capped = share * sum(sizes.values()), set()
+    while True:
+        left = total - sum(most * sizes[s] for s in capped)
+        open_ = [s for s in names if s not in capped]
+        whole = sum(weight[s] for s in open_)
+        target = {s: most * sizes[s] if s in capped else left * weight[s] / whole for s in names}
+        above = {s for s in open_ if target[s] >= most * sizes[s]}
+        if not above:
+            return target
+        capped |= above
+
+
+def mixed_docs():
+    rng = random.Random(7)
+    rows = [(i, " ".join(["w"] * rng.randint(1, 40)), rng.choice(["b", "a", "c", "big", "big", "big", "big", None, "ä"])) for i in range(600)]
+    return rows + [(700, "", "a"), (701, None, "b"), (702, " ", None), (None, "x y", "a"), (5, "t t t", "c"), (5, "t t t", "c")]
+
+
+def test_the_mix_meets_its_targets(spark, monkeypatch):
+    rows = mixed_docs()
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.with_copies(docs).collect()
+    source = {(i, len(cases.words(t))): s for i, t, s in rows}
+    sizes, taken, target = defaultdict(int), defaultdict(int), {}
+    for i, t, s in rows:
+        sizes[s] += len(cases.words(t))
+    for r in got:
+        s = source[r["id"], r["size"]]
+        taken[s] += r["size"] * r["copies"]
+        target[s] = r["target"]
+        assert r["source_size"] == sizes[s] and 0 <= r["copies"] <= 2
+    assert len(got) == len(rows) and target == pytest.approx(water(sizes))
+    assert all(abs(taken[s] - target[s]) <= 20 for s in sizes)
+    again = mixing.with_copies(docs.repartition(7)).collect()
+    assert Counter(map(tuple, again)) == Counter(map(tuple, got))
+    monkeypatch.setattr(mixing, "BINS", 2)  # nearly all rows in the bin that holds the cut
+    assert Counter(map(tuple, mixing.with_copies(docs).collect())) == Counter(map(tuple, got))
+
+
+def test_mix_repeats_rows_as_often_as_taken(spark):
+    docs = spark.createDataFrame([cases.document(i, t, "en", s) for i, t, s in mixed_docs()], cases.SCHEMA)
+    copies = {(r["id"], r["size"]): r["copies"] for r in mixing.with_copies(docs).collect()}
+    mixed = mixing.mix(docs)
+    seen = Counter((r["doc_id"], len(cases.words(r["text"]))) for r in mixed.collect())
+    assert mixed.columns == docs.columns
+    assert all(seen[k] == n for k, n in copies.items() if k[0] not in (5, None))
+    assert mixing.mix(cases.odd(spark)).columns == docs.columns
+    assert mixing.mix(cases.none(spark)).count() == mixing.with_copies(cases.none(spark)).count() == 0
+
+
+def test_mix_query_equals_sql(spark):
+    sf = TESTDATA / "sf0.001"
+    tables = duckdb.connect()
+    tables.execute(f"create view documents as select * from '{sf}/documents.parquet'")
+    assert Counter(map(tuple, op6_mix_sources(spark, str(sf)).collect())) == Counter(tables.sql(ORACLE["op6_mix_sources"]).fetchall())
+
+
+def test_join_few_is_a_join_either_way(spark):
+    rows = spark.createDataFrame([(i % 3, i) for i in range(50)], "k int, v int")
+    few = spark.createDataFrame([(0, "a"), (1, "b")], "k int, w string")
+    for how in ("inner", "left"):
+        expected = Counter(map(tuple, rows.join(few, ["k"], how).collect()))
+        assert Counter(map(tuple, join_few(rows, few, ["k"], how).collect())) == expected
+        assert Counter(map(tuple, join_few(rows, few, ["k"], how, most=1).collect())) == expected
+
+
+# language model
+
+
+def test_each_id_is_scored_once():
+    lengths = np.array([1, 2, attention.WINDOW - 1, attention.WINDOW, attention.WINDOW + 1, attention.WINDOW + attention.STRIDE, 500])
+    first, skip = attention.windows(lengths)
+    ends = np.repeat(np.cumsum(lengths), lengths)
+    seen = Counter(p for f, s in zip(first, skip) for p in range(f + s, min(f + attention.WINDOW, ends[f])))
+    assert set(seen.values()) == {1} and len(seen) == lengths.sum()
+
+
+@pytest.fixture(scope="module")
+def model():
+    texts = [b"the cat sat on the mat".split(), b"a dog ran to the cat".split()] * 20
+    tokens = vocabulary(PATH).tokens
+    subwords = attention.choose([tokens[i] for i in sorted(tokens)], Counter(w for t in texts for w in t))
+    return attention.train(subwords, texts, steps=60, batch=8)
+
+
+def test_training_lowers_the_loss_and_slopes_are_right(model):
+    rng = np.random.default_rng(0)
+    p = {k: x.astype(np.float64) for k, x in attention._start(rng).items()}
+    shape = (3, attention.WINDOW)
+    given, targets, use = rng.integers(0, attention.IDS, shape), rng.integers(0, attention.IDS, shape), rng.random(shape) < 0.7
+
+    def loss():
+        return -attention.log_probs(p, attention._hidden(p, given)[0][use], targets[use])[0].mean()
+
+    for key, slope in attention._slopes(p, given, targets, use).items():
+        at = np.unravel_index(np.argmax(np.abs(slope)), slope.shape)
+        old = p[key][at]
+        p[key][at] = old + 1e-5
+        high = loss()
+        p[key][at] = old - 1e-5
+        assert (high - loss()) / 2e-5 == pytest.approx(slope[at], rel=1e-4)
+        p[key][at] = old
+    speller = attention.Speller(model.subwords.names)
+    ids = np.append(np.array([i for w in b"the cat sat".split() for i in speller.split(w)], np.uint16), 0)
+    assert attention.score_ids(model, ids, np.array([len(ids)]))[0].mean() > -np.log(attention.IDS)
+
+
+def test_probabilities_add_up_and_see_no_future(model):
+    ids = np.array([5, 300, 450, 9, 0])
+    hidden = attention._hidden(model.p, np.array([[1, 5, 300, 450, 9] + [0] * (attention.WINDOW - 5)]))[0][0, 2:3]
+    every = np.repeat(hidden, attention.IDS, axis=0)
+    own, edge = attention.log_probs(model.p, every, np.arange(attention.IDS), model.subwords.boundary)
+    assert np.exp(own).sum() == pytest.approx(1, abs=1e-4)
+    assert np.exp(own[: model.subwords.boundary * attention.IN_CLASS]).sum() == pytest.approx(float(np.exp(edge[0])), abs=1e-4)
+    one = attention.score_ids(model, ids, np.array([5]))[0]
+    other = attention.score_ids(model, np.array([5, 300, 450, 9, 500, 4, 0]), np.array([7]))[0]
+    assert one[:4] == pytest.approx(other[:4], abs=1e-5)
+    both = attention.score_ids(model, np.concatenate([ids, ids]), np.array([5, 5]))[0]
+    assert both == pytest.approx(np.concatenate([one, one]), abs=1e-5)
+
+
+def test_counts_and_base_scores_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "FREQUENT", 50)  # most words go through the join
+    monkeypatch.setattr(lm_score, "HELD", 100)
+    docs = [(r["doc_id"], r["text"]) for r in cases.small(spark).collect()] + [(r[0], r[1]) for r in cases.odd_rows()]
+    frame = cases.small(spark).select("doc_id", "text").unionByName(cases.odd(spark).select("doc_id", "text"))
+    got = lm_score.with_scores(frame, PATH, sample_rows=60).collect()
+    split = lambda t: cases.words(cases.lower(t))
+    held = lambda i: i is None or zlib.crc32(str(i).encode()) % 10 == 0
+    counts, ends = Counter(), 0
+    for i, t in docs:
+        if not held(i):
+            counts.update(split(t))
+            ends += 1
+    n, v = sum(counts.values()) + ends, len(counts) + 1
+    base = lambda c: math.log10((c + 0.1) / (n + 0.1 * (v + 1)))
+    expected = Counter(
+        (i, held(i), len(split(t)) + 1, sum(counts[w] > 0 for w in split(t)) + 1, n, round(sum(base(counts[w]) for w in split(t)) + base(ends), 4))
+        for i, t in docs
+    )
+    rows = [(r["id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 4)) for r in got]
+    assert Counter(rows) == expected
+    assert all(r["score"] < 0 and math.isfinite(r["score"]) for r in got)
+
+
+def test_better_than_the_base_on_texts_not_learnt(spark):
+    got = lm_score.with_scores(cases.small(spark), PATH).where("held_out").collect()
+    assert sum(r["score"] for r in got) > sum(r["base_score"] for r in got)
+
+
+def test_nothing_to_learn_from(spark):
+    assert lm_score.with_scores(cases.none(spark), PATH).count() == 0
+    rows = lm_score.with_scores(spark.createDataFrame([(None, "a b"), (None, None)], "doc_id long, text string"), PATH).collect()
+    assert sorted((r["n_tokens"], r["n_known"], r["train_tokens"]) for r in rows) == [(1, 0, 0), (3, 0, 0)]
+    assert all(math.isfinite(r["score"]) and abs(r["base_score"]) < 1e-9 for r in rows)
+
+
+def test_blocks_of_texts_do_not_matter(model):
+    scorer = lm_score.Scorer(model, np.zeros(0, np.uint64), np.zeros(0, np.int64), 3, 10, 4)
+    texts = ["the cat", "", "a mat ran " * 30, None, "éü"]
+    whole = np.concatenate([b[3] for b in scorer.score(pa.array(texts))])
+    single = [next(scorer.score(pa.array([t], pa.string())))[3][0] for t in texts]
+    assert whole == pytest.approx(single, rel=1e-4)
