@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -109,6 +110,12 @@ class Encoder:
         return ids
 
 
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> Encoder:
+    """One a Python worker, so that the tasks after the first find it remembering."""
+    return Encoder(vocabulary(path))
+
+
 def decode_ids(ids: list[int], words: Vocabulary) -> str:
     """The text of ``ids``; bytes that are no UTF-8 become the replacement character."""
     return b"".join(map(words.decoded.__getitem__, ids)).decode("utf-8", "replace")
@@ -119,8 +126,7 @@ def encode(text: Column, path: str) -> Column:
 
     @F.arrow_udf("array<int>")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        words = vocabulary(path)
-        encoder = Encoder(words)
+        encoder = encoder_of(path)
         for batch in batches:
             yield pa.array([encoder.encode(t) if t else [] for t in batch.to_pylist()], pa.list_(pa.int32()))
 
@@ -148,8 +154,8 @@ def digests(text: Column, path: str, keep_ids: bool = False) -> Column:
 
     @F.arrow_udf(fields)
     def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        words = vocabulary(path)
-        encoder = Encoder(words)
+        encoder = encoder_of(path)
+        words = encoder.words
         for batch in batches:
             counts, coded, decoded, kept = [], [], [], []
             for t in batch.to_pylist():

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
@@ -62,12 +63,18 @@ class Counter:
         return sum(1 if special is not None else sum(map(known, pieces(part))) for part, special in self.words.parts(text))
 
 
+@lru_cache(maxsize=1)
+def counter_of(path: str) -> Counter:
+    """One a Python worker, so that the tasks after the first find it remembering."""
+    return Counter(vocabulary(path))
+
+
 def n_tokens(text: Column, path: str) -> Column:
     """Tokens of each whole text (long), special strings counting as one; null is empty and has 0."""
 
     @F.arrow_udf("long")
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        counter = Counter(vocabulary(path))
+        counter = counter_of(path)
         for batch in batches:
             yield pa.array([counter.count(t) if t else 0 for t in batch.to_pylist()], pa.int64())
 
