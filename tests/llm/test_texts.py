@@ -290,6 +290,13 @@ def test_counts_and_base_scores_against_brute_force(spark, monkeypatch):
     assert all(r["score"] < 0 and math.isfinite(r["score"]) for r in got)
 
 
+def test_scores_do_not_depend_on_which_words_are_frequent(spark, monkeypatch):
+    scores = lambda: {r["id"]: r["score"] for r in lm_score.with_scores(cases.small(spark), PATH, sample_rows=60).collect()}
+    every = scores()
+    monkeypatch.setattr(lm_score, "FREQUENT", 50)
+    assert scores() == pytest.approx(every, rel=1e-6)
+
+
 def test_better_than_the_base_on_texts_not_learnt(spark):
     got = lm_score.with_scores(cases.small(spark), PATH).where("held_out").collect()
     assert sum(r["score"] for r in got) > sum(r["base_score"] for r in got)
