@@ -230,6 +230,14 @@ def model():
     return attention.train(subwords, texts, steps=60, batch=8)
 
 
+def test_most_ids_are_left_for_subwords_of_words():
+    tokens = vocabulary(PATH).tokens
+    usable = [tokens[i] for i in sorted(tokens)]
+    words = Counter({t[1:]: 1 for t in usable if t[:1] == b" " and t[1:].isalpha()})
+    names = attention.choose(usable, words).names
+    assert len(names) == attention.IDS and sum(len(t) > 1 for t in names) >= 2 * 256
+
+
 def test_training_lowers_the_loss_and_slopes_are_right(model):
     rng = np.random.default_rng(0)
     p = {k: x.astype(np.float64) for k, x in attention._start(rng).items()}
