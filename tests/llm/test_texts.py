@@ -310,6 +310,25 @@ def test_better_than_the_base_on_texts_not_learnt(spark):
     assert sum(r["score"] for r in got) > sum(r["base_score"] for r in got)
 
 
+def test_the_model_learns_from_every_text_long_ones_too(spark, model, monkeypatch):
+    monkeypatch.setattr(lm_score, "PER_TASK", 200)  # several tasks
+    phrase = "zebra quartz lives under violet moons "
+    long = spark.createDataFrame([(phrase * 600,)] * 30, "text string").repartition(3)  # above the sample's 8,192 bytes
+    spell = attention.Speller(model.subwords.names).split
+    ids = np.array([i for w in phrase.encode().split() * 3 for i in spell(w)] + [0], np.uint16)
+    mean = lambda m: attention.score_ids(m, ids, np.array([len(ids)]))[0].mean()
+    assert mean(lm_score._averaged(model, long)) > mean(model) + 0.2
+
+
+def test_windows_are_drawn_from_every_text():
+    for n in (1, 5, 32, 33, 400):
+        ids = np.append(np.arange(2, n + 1), 0).astype(np.uint16)
+        every = [attention.drawn(ids, k, 4) for k in range(4)]
+        assert all(len(nth) for nth, _ in every)
+        learnt = [i for nth, rows in {tuple(nth): (nth, rows) for nth, rows in every}.values() for r in rows for i in r[3 + r[0] : 3 + r[1]]]
+        assert Counter(learnt) == Counter(ids.tolist())
+
+
 def test_nothing_to_learn_from(spark):
     assert lm_score.with_scores(cases.none(spark), PATH).count() == 0
     rows = lm_score.with_scores(spark.createDataFrame([(None, "a b"), (None, None)], "doc_id long, text string"), PATH).collect()
