@@ -151,3 +151,14 @@ def test_language_samples_leave_the_fold_out(spark):
     texts = {t: i for i, t, _ in rows}
     got = langid.sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "doc_id", "text", "lang", 5, 8192)
     assert len(got) == 15 and not any(held(texts[t]) for t, _ in got)
+
+
+def test_languages_of_long_texts_only_and_of_one_text_are_learnt(spark):
+    outside = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 3 != 1]
+    long = [(i, f"zyx wvu {i} " * (1000 + k), "long") for k, i in enumerate(outside[:20])]  # all above 8,192 bytes
+    many = [(i, f"word{k} text{k} again{k}", f"l{k:03d}") for k, i in enumerate(outside[100:220])]  # more than 50
+    frame = spark.createDataFrame(long + many, "doc_id long, text string, lang string")
+    got = langid.sample(frame, "doc_id", "text", "lang", 2, 8192)
+    assert {name for _, name in got} == {"long", *(name for _, _, name in many)}
+    assert [t for t, name in got if name == "long"] == [long[0][1]]
+    assert {r["lang_pred"] for r in langid.with_language(frame).collect() if r["id"] in outside[:20]} == {"long"}

@@ -55,14 +55,15 @@ def fit(
         return Model([], np.zeros((1 << BITS, 0), np.float32), np.zeros(0, np.float32), 1.0, 1.0)
     random = np.random.default_rng(seed)
     index = {name: k for k, name in enumerate(names)}
-    rows, y, apart = [], [], []
+    rows, y, apart, learnt = [], [], [], set()
     for i, (text, language) in enumerate(zip(texts, languages)):
         words = text.split()
         n = min(len(words), int(random.integers(3, 16)))
         at = int(random.integers(0, len(words) - n + 1))
         rows += [text, " ".join(words[at : at + n])]
         y += [index[language]] * 2
-        apart += [i % 5 == 4] * 2
+        apart += [i % 5 == 4 and language in learnt] * 2  # a language's first text is always learnt
+        learnt.add(language)
     x = np.stack([_mean(codes) for _, codes in grams(pa.array(rows, pa.large_string()), LENGTHS, BITS)])
     y, apart = np.array(y), np.array(apart)
     if apart.all() or not apart.any():
@@ -70,10 +71,10 @@ def fit(
     embed = (random.standard_normal((1 << BITS, SIZE)) * 0.1).astype(np.float32)
     layer, bias = np.zeros((SIZE, len(names)), np.float32), np.zeros(len(names), np.float32)
     layer += random.standard_normal(layer.shape).astype(np.float32) * 0.1
-    learnt = np.flatnonzero(~apart)
+    used_rows = np.flatnonzero(~apart)
     for epoch in range(epochs):
         step = rate * (1 - epoch / epochs)
-        for batch in np.array_split(random.permutation(learnt), max(1, len(learnt) // 32)):
+        for batch in np.array_split(random.permutation(used_rows), max(1, len(used_rows) // 32)):
             xb = x[batch]
             hidden = xb @ embed
             error = _softmax(hidden @ layer + bias)
@@ -138,17 +139,28 @@ def language(text: Column, model: Model) -> Column:
 def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int, most_bytes: int) -> list[tuple[str, str]]:
     """(text, language) of up to ``per_language`` texts of each language outside the fold held out.
 
-    The first by md5 of the id; whole texts, none above ``most_bytes``; 50 times
-    ``per_language`` in all at most.
+    The first by md5 of the id; whole texts, none above ``most_bytes``. A language that
+    has only longer ones gives its shortest, of ``per_language * most_bytes`` bytes
+    together, but at least one. In all 50 times ``per_language`` at most, or one of each
+    language if these are more.
     """
+    size = F.octet_length("_text")
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(lang_col).alias("_lang")).where(
-        F.col("_lang").isNotNull() & (F.octet_length("_text") <= most_bytes) & ~is_fold(F.col("_id"), 3, 1)
+        F.col("_lang").isNotNull() & F.col("_text").isNotNull() & ~is_fold(F.col("_id"), 3, 1)
     )
     first = F.md5(F.col("_id").cast("string")), F.col("_id"), F.col("_text")
-    seen = written(rows.groupBy("_lang").agg(F.count("*").alias("_n")), "languages")
-    rows = join_few(rows, seen, ["_lang"]).where(share(F.col("_id")) < 3 * per_language / F.col("_n"))
-    ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy("_lang").orderBy(*first)))
-    few = ranked.where(F.col("_rank") <= per_language).orderBy("_rank", "_lang").limit(50 * per_language)
+    seen = written(rows.groupBy("_lang").agg(F.count_if(size <= most_bytes).alias("_n")), "languages")
+    short = join_few(rows.where(size <= most_bytes), seen, ["_lang"]).where(share(F.col("_id")) < 3 * per_language / F.col("_n"))
+    ranked = short.withColumn("_rank", F.row_number().over(Window.partitionBy("_lang").orderBy(*first)))
+    ranked = ranked.where(F.col("_rank") <= per_language).select("_lang", "_text", "_rank")
+    only_long = seen.where("_n = 0").select("_lang")
+    if not only_long.isEmpty():
+        by_size = Window.partitionBy("_lang").orderBy(size, *first)
+        shortest = join_few(rows, only_long, ["_lang"]).withColumn("_rank", F.row_number().over(by_size)).where(F.col("_rank") <= per_language)
+        together = F.sum(size).over(by_size.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        shortest = shortest.withColumn("_sum", together).where((F.col("_rank") == 1) | (F.col("_sum") <= per_language * most_bytes))
+        ranked = ranked.unionByName(shortest.select("_lang", "_text", "_rank"))
+    few = ranked.orderBy("_rank", "_lang").limit(max(50 * per_language, seen.count()))
     return [(r["_text"], r["_lang"]) for r in few.select("_text", "_lang").collect()]
 
 
