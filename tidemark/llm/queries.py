@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, langid, lm_score, mixing, quality_rank, quality_rules, token_counts, toxicity, vafile
+from . import (
+    bpe,
+    collocations,
+    jaccard,
+    langid,
+    licenses,
+    lm_score,
+    mixing,
+    quality_rank,
+    quality_rules,
+    search,
+    token_counts,
+    toxicity,
+    vafile,
+)
 from .common import read
 from .sql import ORACLE
 
@@ -63,6 +77,18 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"), VOCABULARY).withColumnRenamed("id", "doc_id")
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.phrases(read(spark, sf_dir, "documents"))
+
+
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.with_licenses(read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -76,5 +102,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_classifier,
         op9_language,
         op10_token_counts,
+        op11_phrases,
+        op12_licenses,
+        op13_ranked_search,
     )
 }

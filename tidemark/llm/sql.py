@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from .licenses import PHRASES, SHARE, TEMPLATES, stride_of
+from .terms import terms_of
+
 #: The Pareto ranking in one window a source; SQL that is plain and not meant for size.
 OP6 = """
 with d as (
@@ -83,4 +86,118 @@ with v as (
 select query_id, rank::int as rank, vec_id, score from r where rank <= 10
 """
 
-ORACLE: dict[str, str] = {"op1_jaccard_join": OP1, "op2_exact_top_k": OP2, "op6_mix_sources": OP6}
+#: Words of letters and digits, A-Z lower-cased, of a column ``text``.
+_TERMS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+)
+
+#: All runs of one to three words of all pieces.
+OP11 = """
+with p as (
+  select coalesce(lang, 'und') as lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) as piece
+  from documents
+), w as (
+  select lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as w from p
+), g as (
+  select lang, k, unnest(list_transform(generate_series(1, len(w) - k + 1), lambda i: array_to_string(w[i:i + k - 1], ' '))) as g
+  from w, (values (1), (2), (3)) as size(k)
+), f as (
+  select lang, k, g, count(*) as c from g group by all
+), n as (
+  select lang, sum(c)::bigint as n from f where k = 1 group by lang
+), c as (
+  select lang, k, g, c, string_split(g, ' ') as w from f where k > 1 and c >= 10
+), x as (
+  select c.lang, c.g, c.c, cut, l.c as l, r.c as r,
+    (1000000::hugeint * c.c * c.c) // (l.c::hugeint * r.c) as score
+  from c join (values (1), (2)) as cuts(cut) on cut < k
+  join f l on l.lang = c.lang and l.k = cut and l.g = array_to_string(w[1:cut], ' ')
+  join f r on r.lang = c.lang and r.k = c.k - cut and r.g = array_to_string(w[cut + 1:], ' ')
+), inside as (
+  select lang, g, max(longer) as longer from (
+    select lang, array_to_string(w[1:2], ' ') as g, c as longer from c where k = 3
+    union all select lang, array_to_string(w[2:3], ' '), c from c where k = 3
+  ) group by all
+), b as (
+  select x.* from x left join inside i on i.lang = x.lang and i.g = x.g
+  where longer is null or 100 * longer < 50 * c
+  qualify row_number() over (partition by x.lang, x.g order by score, cut) = 1
+), o as (
+  select lang, row_number() over (partition by lang order by score desc, c desc, g) as rank, g as phrase, c as a, l, r, score from b
+)
+select o.lang, rank, phrase, a, l, r, n, score::bigint as score from o join n on n.lang = o.lang where rank <= 2000
+"""
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _listed(text: str) -> str:
+    return "[" + ", ".join(_literal(w.decode()) for w in terms_of(text)) + "]"
+
+
+#: All blocks of each stride against all templates of that stride.
+OP12 = f"""
+with d as (
+  select doc_id, row_number() over () as r, {_TERMS} as w from documents
+), p(label, p) as (
+  values {", ".join(f"({_literal(label)}, {_listed(phrase)})" for phrase, label in PHRASES.items())}
+), t(label, stride, t) as (
+  values {", ".join(f"({_literal(label)}, {stride_of(len(terms_of(text)))}, list_distinct({_listed(text)}))" for label, text in TEMPLATES)}
+), places as (
+  select r, label, unnest(list_filter(generate_series(1, len(w) - len(p) + 1), lambda i: w[i:i + len(p) - 1] = p)) - 1 as spot from d, p
+), base as (
+  select r, count(*) as n_base, min(spot) as first_word, max(spot) as last_word, list(distinct label) as labels from places group by r
+), b as (
+  select r, stride, list_distinct(w[k * stride + 1:(k + 2) * stride]) as b
+  from (select r, w, stride, unnest(generate_series(0, (len(w) - 1) // stride)) as k from d, (select distinct stride from t) where len(w) > 0)
+), found as (
+  select r, label, len(list_intersect(b, t)) as o, len(t) as size from b join t on t.stride = b.stride
+  where {SHARE[1]} * len(list_intersect(b, t)) >= {SHARE[0]} * len(t)
+), own as (
+  select r, list(distinct label) as labels, max(o::double / size) as share from found group by r
+)
+select doc_id, len(w)::bigint as n_words, coalesce(n_base, 0)::bigint as n_base, first_word::bigint as first_word, last_word::bigint as last_word,
+  array_to_string(list_sort(coalesce(base.labels, [])), ',') as base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(own.labels, [])))), ',') as labels,
+  case when n_base > 0 then 1.0::double else coalesce(share, 0.0::double) end as score
+from d left join base on base.r = d.r left join own on own.r = d.r
+"""
+
+#: All documents with a term of an item, scored.
+OP13 = f"""
+with d as (
+  select doc_id, row_number() over () as r, {_TERMS} as w from documents
+), g as (
+  select count(*)::bigint as all_docs, sum(len(w))::bigint as all_terms from d where len(w) > 0
+), tf as (
+  select r, t, count(*) as tf from (select r, unnest(w) as t from d) group by all
+), df as (
+  select t, count(*) as df from tf group by t
+), i as (
+  select item_id, row_number() over () as q, unnest({_TERMS}) as t from benchmark
+), it as (
+  select q, item_id, i.t, count(*) as occurs, any_value(floor(1000 * ln((2 * all_docs + 2)::double / (2 * df + 1)))::bigint) as weight
+  from i join df on df.t = i.t, g group by q, item_id, i.t
+), m as (
+  select r, doc_id, 75 + (25 * len(w)::bigint * all_docs) // all_terms as m from d, g where len(w) > 0
+), s as (
+  select q, item_id, doc_id, m.r, sum(occurs * weight * ((1000000000 * tf) // (1000 * tf + 12 * m)))::bigint as score
+  from it join tf on tf.t = it.t join m on m.r = tf.r group by all
+), o as (
+  select item_id, row_number() over (partition by q order by score desc, doc_id) as rank, doc_id, score from s where score > 0
+)
+select item_id, rank::int as rank, doc_id, score from o where rank <= 20
+"""
+
+ORACLE: dict[str, str] = {
+    "op1_jaccard_join": OP1,
+    "op2_exact_top_k": OP2,
+    "op6_mix_sources": OP6,
+    "op11_phrases": OP11,
+    "op12_licenses": OP12,
+    "op13_ranked_search": OP13,
+}

@@ -46,9 +46,12 @@ def lowered(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
-def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Where each word begins and ends, and for each text its first word's number (one more at the end)."""
-    inside = ~_IS_WHITE[data]
+def spans(data: np.ndarray, offsets: np.ndarray, apart: np.ndarray = _IS_WHITE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each word begins and ends, and for each text its first word's number (one more at the end).
+
+    ``apart`` says of each byte whether it stands between words; white space by default.
+    """
+    inside = ~apart[data]
     begin = inside.copy()
     begin[1:] &= ~inside[:-1]
     edge = offsets[:-1][offsets[:-1] < len(data)]
