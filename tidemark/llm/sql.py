@@ -98,36 +98,39 @@ with p as (
   select coalesce(lang, 'und') as lang, unnest(string_split_regex(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) as piece
   from documents
-), w as (
+), v as (
   select lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as w from p
 ), g as (
-  select lang, k, unnest(list_transform(generate_series(1, len(w) - k + 1), lambda i: array_to_string(w[i:i + k - 1], ' '))) as g
-  from w, (values (1), (2), (3)) as size(k)
-), f as (
-  select lang, k, g, count(*) as c from g group by all
+  select lang, unnest(w) as x, unnest(w[2:]) as y, unnest(w[3:]) as z from v
+), one as (
+  select lang, x, count(*) as c from g group by all
+), two as (
+  select lang, x, y, count(*) as c from g where y is not null group by all having count(*) >= 10
+), three as (
+  select lang, x, y, z, count(*) as c from g where z is not null group by all having count(*) >= 10
 ), n as (
-  select lang, sum(c)::bigint as n from f where k = 1 group by lang
-), c as (
-  select lang, k, g, c, string_split(g, ' ') as w from f where k > 1 and c >= 10
-), x as (
-  select c.lang, c.g, c.c, cut, l.c as l, r.c as r,
-    (1000000::hugeint * c.c * c.c) // (l.c::hugeint * r.c) as score
-  from c join (values (1), (2)) as cuts(cut) on cut < k
-  join f l on l.lang = c.lang and l.k = cut and l.g = array_to_string(w[1:cut], ' ')
-  join f r on r.lang = c.lang and r.k = c.k - cut and r.g = array_to_string(w[cut + 1:], ' ')
+  select lang, sum(c)::bigint as n from one group by lang
 ), inside as (
-  select lang, g, max(longer) as longer from (
-    select lang, array_to_string(w[1:2], ' ') as g, c as longer from c where k = 3
-    union all select lang, array_to_string(w[2:3], ' '), c from c where k = 3
-  ) group by all
+  select lang, x, y, max(c) as longer from (select lang, x, y, c from three union all select lang, y, z, c from three) group by all
+), cuts as (
+  select two.lang, two.x || ' ' || two.y as phrase, 1 as cut, two.c as a, l.c as l, r.c as r
+  from two join one l on l.lang = two.lang and l.x = two.x join one r on r.lang = two.lang and r.x = two.y
+  left join inside i on i.lang = two.lang and i.x = two.x and i.y = two.y
+  where longer is null or 100 * longer < 50 * two.c
+  union all
+  select t.lang, t.x || ' ' || t.y || ' ' || t.z, 1, t.c, l.c, r.c
+  from three t join one l on l.lang = t.lang and l.x = t.x join two r on r.lang = t.lang and r.x = t.y and r.y = t.z
+  union all
+  select t.lang, t.x || ' ' || t.y || ' ' || t.z, 2, t.c, l.c, r.c
+  from three t join two l on l.lang = t.lang and l.x = t.x and l.y = t.y join one r on r.lang = t.lang and r.x = t.z
+), s as (
+  select *, ((1000000::hugeint * a * a) // (l::hugeint * r))::bigint as score from cuts
 ), b as (
-  select x.* from x left join inside i on i.lang = x.lang and i.g = x.g
-  where longer is null or 100 * longer < 50 * c
-  qualify row_number() over (partition by x.lang, x.g order by score, cut) = 1
+  select * from s qualify row_number() over (partition by lang, phrase order by score, cut) = 1
 ), o as (
-  select lang, row_number() over (partition by lang order by score desc, c desc, g) as rank, g as phrase, c as a, l, r, score from b
+  select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from b
 )
-select o.lang, rank, phrase, a, l, r, n, score::bigint as score from o join n on n.lang = o.lang where rank <= 2000
+select o.lang, rank, phrase, a, l, r, n, score from o join n on n.lang = o.lang where rank <= 2000
 """
 
 
