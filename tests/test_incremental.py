@@ -139,7 +139,7 @@ def all_answered(page, ids):
 def test_a_repeated_run_keeps_its_answers_and_asks_for_none_again(spark, monkeypatch, lost_in):
     table, conf = rows_to_ask(spark), config(spark, page_size=10)
 
-    def lost(self, *args):
+    def lost(self, *args, **named):
         raise RuntimeError("executors lost")
 
     def down(page, ids):
@@ -189,7 +189,7 @@ def test_views_come_as_each_step_ends(spark, golden, monkeypatch):
     for name in ("raw", "cleanup", "process", "persisted"):
         spark.catalog.dropTempView(name)
 
-    def lost(self, batch, run_id):
+    def lost(self, batch, run_id, about=None):
         raise RuntimeError("lost")
 
     monkeypatch.setattr(StateTable, "upsert", lost)
@@ -245,7 +245,7 @@ def test_interrupted_run_is_repeated_under_its_id(spark, golden, monkeypatch):
     ask = ask_table(service(spark, [123456789, 987654321]))
     upsert = StateTable.upsert
 
-    def lost(self, batch, run_id):
+    def lost(self, batch, run_id, about=None):
         raise RuntimeError("executors lost")
 
     monkeypatch.setattr(StateTable, "upsert", lost)
@@ -355,3 +355,140 @@ def test_report_rejects_unknown_counters():
     with pytest.raises(KeyError):
         RunReport().fill("load", rows=1)
     assert set(RunReport().sections) == set(SECTIONS)
+
+
+def html(page, ids):
+    return (200, "<html>busy</html>") if page == 2 else all_answered(page, ids)
+
+
+def test_a_malformed_body_does_not_block_the_run(spark, caplog):
+    """Its ids stay unmatched and are asked for in the next run; the run ends, and says what happened."""
+    table, conf = rows_to_ask(spark), config(spark, page_size=10)
+    with caplog.at_level(logging.WARNING, logger="tidemark"):
+        first = run_incremental(spark, conf, table, ask_function(html, 2), FRIDAY)
+    assert (first.report.status, first.report.additional_info) == ("success", "lookup: 1 of 3 pages malformed")
+    assert (first.lookup.answered, first.lookup.malformed, first.lookup.failed) == (2, 1, 0)
+    assert first.report.sections["process"]["not_matched_count"] == 10 and "{'malformed': 1}" in caplog.text
+    kept = spark.read.parquet(f"{conf.root}/lookup/run=2024-05-10/malformed")
+    assert [(r.page, r.body) for r in kept.collect()] == [(2, "<html>busy</html>")]
+    second = run_incremental(spark, conf, table, ask_function(all_answered, 2), FRIDAY)
+    assert second.report.sections["process"]["matched_count"] == 10 and second.lookup.pages == 1
+    assert second.report.additional_info is None
+    third = run_incremental(spark, conf, table, ask_function(html, 2), FRIDAY)
+    assert third.report.sections["process"]["new_count"] == 0 and third.lookup.pages == 0
+
+
+@pytest.mark.parametrize("lost_in", ["upsert", "append"])
+def test_a_run_with_a_malformed_body_is_repeated_under_its_id(spark, monkeypatch, lost_in):
+    table, conf = rows_to_ask(spark), config(spark, page_size=10)
+
+    def lost(self, *args, **named):
+        raise RuntimeError("executors lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(StateTable if lost_in == "upsert" else CacheTable, lost_in, lost)
+        failed = run_incremental(spark, conf, table, ask_function(html, 2), FRIDAY, "r1", raise_errors=False)
+        assert failed.report.additional_info == "executors lost" and failed.output is None
+    redone = run_incremental(spark, conf, table, ask_function(all_answered, 2), FRIDAY, "r1")
+    # after the delivery only the state is written again; before it, what was not answered is asked for again
+    assert redone.report.sections["process"]["matched_count"] == (20 if lost_in == "upsert" else 30)
+    assert redone.lookup.malformed == (1 if lost_in == "upsert" else 0)
+    last = run_incremental(spark, conf, table, ask_function(all_answered, 2), FRIDAY, "r2")
+    assert StateTable(spark, f"{conf.root}/state").read().count() == 30
+    assert last.report.sections["process"]["matched_count"] == (10 if lost_in == "upsert" else 0)
+
+
+def test_waves_that_are_through_are_not_asked_again(spark):
+    """A task dies for good in the third wave: the repeat asks for its pages and the later ones only."""
+    folder = tempfile.mkdtemp()
+    table = day_table(spark, [(i, "a", 1, dt.datetime(2024, 5, 9), "d") for i in range(100)], FRIDAY)
+    conf = config(spark, page_size=5, pages_per_wave=4)  # 20 pages, 5 waves
+
+    def asked(attempt, dies):
+        def fetch(page, ids):
+            with open(f"{folder}/{attempt}", "a") as log:
+                log.write("".join(f"{page} {i}\n" for i in ids))
+            if dies and page == 10:
+                raise OSError("lost")
+            return all_answered(page, ids)
+
+        return ask_function(fetch, 2)
+
+    def pages_and_ids(attempt):
+        with open(f"{folder}/{attempt}") as log:
+            lines = [line.split() for line in log]
+        return {int(page) for page, _ in lines}, [i for _, i in lines]
+
+    first = run_incremental(spark, conf, table, asked("first", True), FRIDAY, "r1", raise_errors=False)
+    assert first.report.status == "error" and first.lookup.waves == 5 and first.lookup.answered == 8
+    pages, before = pages_and_ids("first")
+    assert max(pages) <= 12 and pages >= set(range(1, 9))
+    second = run_incremental(spark, conf, table, asked("second", False), FRIDAY, "r1")
+    _, after = pages_and_ids("second")
+    through = set(before) - set(after)
+    assert len(through) == 40 and len(after) == len(set(after)) == 60  # waves 1 and 2 are not asked for again
+    assert second.report.sections["process"]["matched_count"] == 100
+    assert CacheTable(spark, f"{conf.root}/cache").read().count() == 100
+
+
+def test_a_lost_task_asks_for_its_own_wave_again(spark):
+    folder = tempfile.mkdtemp()
+    table = day_table(spark, [(i, "a", 1, dt.datetime(2024, 5, 9), "d") for i in range(100)], FRIDAY)
+
+    def fetch(page, ids):
+        with open(f"{folder}/{page}", "a") as log:
+            log.write("x")
+        if page == 10 and not os.path.exists(f"{folder}/died"):
+            open(f"{folder}/died", "x").close()
+            raise OSError("executor lost")
+        return all_answered(page, ids)
+
+    conf = config(spark, page_size=5, pages_per_wave=4)
+    result = run_incremental(spark, conf, table, ask_function(fetch, 2), FRIDAY, "r1")
+    calls = {page: os.path.getsize(f"{folder}/{page}") for page in range(1, 21)}
+    assert all(calls[page] == 1 for page in calls if not 9 <= page <= 12) and calls[10] == 2
+    assert result.output.count() == 100 and result.lookup.answered == 20
+
+
+def test_a_repeat_goes_on_at_the_step_that_failed(spark, golden, monkeypatch):
+    """After the rows are staged the raw table is not read again, after the delivery nothing is looked up."""
+
+    def unread(text):
+        raise OSError("the raw table was read")
+
+    def gone(page, ids):
+        raise OSError("no service")
+
+    conf = config(spark)
+    broken = golden.withColumn("description", F.udf(unread, "string")("description"))
+    first = run_incremental(spark, conf, golden, ask_function(gone, 1), FRIDAY, "r1", raise_errors=False)
+    assert first.report.status == "error" and first.report.sections["cleanup"]["status"] == "success"
+    with monkeypatch.context() as patch:
+        patch.setattr(StateTable, "upsert", lambda self, *args, **named: 1 / 0)
+        ask = ask_table(service(spark, [123456789, 987654321]))
+        second = run_incremental(spark, conf, broken, ask, FRIDAY, "r1", raise_errors=False)
+    assert second.report.additional_info == "division by zero"
+    third = run_incremental(spark, conf, broken, ask_function(gone, 1), FRIDAY, "r1")
+    expected = run_incremental(spark, config(spark), golden, ask, FRIDAY, "r1")
+    assert third.report.sections == second.report.sections | {"persist": expected.report.sections["persist"]}
+    assert third.report.sections == expected.report.sections and third.lookup == expected.lookup
+    assert rows(third.output) == rows(expected.output)
+    assert not os.path.exists(f"{conf.root}/staged/run=r1") and not os.path.exists(f"{conf.root}/steps/run=r1")
+
+
+def test_a_repeat_on_another_basis_starts_anew(spark, golden):
+    """Another run has changed the state since the rows were staged: they are compared with it again."""
+
+    def gone(page, ids):
+        raise OSError("no service")
+
+    conf = config(spark)
+    run_incremental(spark, conf, golden, ask_function(gone, 1), FRIDAY, "r1", raise_errors=False)
+    ask = ask_table(service(spark, [123456789, 987654321]))
+    assert run_incremental(spark, conf, golden, ask, FRIDAY, "r2").report.sections["process"]["new_count"] == 2
+    again = run_incremental(spark, conf, golden, ask, FRIDAY, "r1")
+    assert again.report.sections["process"]["new_count"] == 0 and again.output.isEmpty()
+
+
+def test_the_secret_is_not_shown(spark):
+    assert "unique" not in repr(config(spark))

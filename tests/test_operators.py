@@ -64,6 +64,33 @@ def test_dedup_discarded_of_one_hot_key(spark):
     assert {r.tie: r["count"] for r in discarded.groupBy("tie").count().collect()} == {0: 2500, 1: 2499}
 
 
+def test_ties_on_maps(spark):
+    """Equal keys and times: what is kept depends on no row order and no order of a map's entries."""
+    data = [("1", 5, {"b": 1, "a": 2}, [{"x": 1}], '{"k": [1, 2]}'), ("1", 5, {"a": 2, "b": 3}, [{"x": 1}], '{"k": 1}')]
+    data += [("2", 5, {"a": 1}, [{"x": 1}, {"y": 2}], None), ("2", 5, {"a": 1}, [{"x": 2}], None), ("2", 5, None, None, None)]
+    data += [("3", 5, {"a": 1}, [], '{"b": 1, "a": 1}'), ("3", 5, {"a": 1}, [], '{"a": 2}')]
+    df = spark.createDataFrame(data, "id string, at int, m map<string,int>, l array<map<string,int>>, v string").withColumn("v", F.parse_json("v"))
+    kept = {r.id: (r.m, r.l, str(r.v)) for r in op.dedup_latest(df, ["id"], ["at"]).collect()}
+    for seed in range(4):
+        shuffled = df.orderBy(F.rand(seed)).repartition(3)
+        assert {r.id: (r.m, r.l, str(r.v)) for r in op.dedup_latest(shuffled, ["id"], ["at"]).collect()} == kept
+    assert kept["1"][0] == {"a": 2, "b": 3} and kept["2"][1] == [{"x": 2}] and kept["3"][2] == '{"a":2}'
+
+
+def test_retried_tasks_keep_the_same_row_of_a_tie_on_maps(spark, tmp_path):
+    @F.udf("map<string,int>")
+    def flaky(key, n):
+        mark = tmp_path / f"{key % 3}"
+        if n == 7 and not mark.exists():
+            mark.touch()
+            raise OSError("lost")
+        return dict(sorted({"a": n, "b": -n}.items(), reverse=not mark.exists()))
+
+    df = spark.range(600, numPartitions=4).select((F.col("id") % 30).alias("key"), (F.col("id") % 20).cast("int").alias("n"))
+    kept = op.dedup_latest(df.select("key", flaky("key", "n").alias("m")), ["key"], [])
+    assert {r.key: r.m["a"] for r in kept.collect()} == {k: max(n % 20 for n in range(600) if n % 30 == k) for k in range(30)}
+
+
 def test_required_columns(spark):
     df = raw(spark, [("1", "a", 1, 1, "x"), ("2", None, 1, 1, "x"), ("3", "a", 1, 1, None)])
     assert [r[0] for r in rows(op.require_description(df).select("id"))] == ["1", "2"]
@@ -158,26 +185,40 @@ def test_lookup_join_equals_join(spark, how, hot_rows):
     assert rows(op.lookup_join(left, right, "id", how, hot_rows)) == rows(left.join(right, "id", how))
 
 
-@pytest.mark.parametrize("hot", [[None], ["a"], ["a", None], []])
-def test_routing(spark, hot):
-    df = spark.createDataFrame([("a",)] * 5 + [("b",)] * 3 + [(None,)] * 4, "id string")
-    routed = df.select("id", op.is_hot("id", hot).alias("hot")).distinct().collect()
-    assert {r.id: r.hot for r in routed} == {k: k in hot for k in ("a", "b", None)}
+def jobs_of(spark, make):
+    """The jobs that run while ``make`` builds its plan."""
+    spark.sparkContext.setJobGroup("built", "plans being built")
+    try:
+        make()
+        return list(spark.sparkContext.statusTracker().getJobIdsForGroup("built"))
+    finally:
+        spark.sparkContext.setJobGroup("other", "all else")
+
+
+def test_building_a_skewed_join_starts_no_job(spark):
+    schema = "id string, code string, sha2 string"
+    state = spark.createDataFrame([("1", "a", "x")], schema)
+    batch = spark.createDataFrame([("1", "a"), ("2", "a")], "id string, code string")
+    known = cache(spark, [("u", "1", "r_1")])
+    assert not jobs_of(spark, lambda: op.change_detect_by_code(batch, state, ["id", "code"]))
+    assert not jobs_of(spark, lambda: op.enrich_tagged(batch, known))
+    assert not jobs_of(spark, lambda: op.state_upsert_by_id(state, state))
+    assert len(jobs_of(spark, lambda: op.enrich_tagged(batch, known).collect())) > 0
 
 
-def test_null_alone_can_be_hot(spark):
+def test_rows_without_a_key_are_not_shuffled(spark):
     left = spark.range(1000).select(F.when(F.col("id") < 100, F.col("id").cast("string")).alias("id"))
     right = spark.createDataFrame([("5", "x"), (None, "never")], "id string, v string")
-    assert op.hot_keys(left, "id", 500) == [None]
     joined = op.lookup_join(left, right, "id", "left", 500)
     assert joined.count() == 1000 and joined.where("v is not null").count() == 1
-    assert left.where(op.is_hot("id", [None])).count() == 900
-    assert "Union" in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert op.hot_keys(left, "id", 500).isEmpty()  # null is no key
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Union" in plan and plan.count("BroadcastHashJoin") >= 2
 
 
 def test_any_number_of_hot_keys(spark):
     left = spark.range(6000).select((F.col("id") % 1500).cast("string").alias("id"))
-    assert len(op.hot_keys(left, "id", 4)) == 1500
+    assert op.hot_keys(left, "id", 4).count() == 1500
 
 
 def test_hot_is_relative_to_the_table(spark, monkeypatch):
@@ -186,13 +227,13 @@ def test_hot_is_relative_to_the_table(spark, monkeypatch):
     monkeypatch.setattr(skew, "FEWEST_HOT_ROWS", 10)
     half_a_partition = 4000 // (2 * 4)  # four shuffle partitions
     left = spark.createDataFrame([("a",)] * half_a_partition + [("b",)] * (half_a_partition - 1) + [(str(i),) for i in range(4000 - 2 * half_a_partition + 1)], "id string")
-    assert op.hot_keys(left, "id") == ["a"]
+    assert rows(op.hot_keys(left, "id")) == [("a",)]
 
 
 def test_hot_keys(spark):
     df = spark.createDataFrame([("a",)] * 5 + [("b",)] * 3 + [(None,)] * 4 + [("c",)], "id string")
-    assert op.hot_keys(df, "id", 3) == ["a", None, "b"]
-    assert op.hot_keys(df, "id", 6) == []
+    assert rows(op.hot_keys(df, "id", 3)) == [("a",), ("b",)]
+    assert op.hot_keys(df, "id", 6).isEmpty()
 
 
 def cache(spark, data):
@@ -308,10 +349,36 @@ def test_bucket_digits_are_bounded(spark):
         op.assign_pages(spark.createDataFrame([("1",)], "id string"), bucket_digits=7)
 
 
-def test_malformed_body_is_an_error(spark):
-    responses = spark.createDataFrame([(1, 200, "[{")], "page long, status int, body string")
-    with pytest.raises(Exception, match="MALFORMED"):
-        op.parse_responses(responses, "r").collect()
+BODIES = {  # what each body of a status 200 is
+    '[{"id": 1, "uuid": "u"}]': "answered",
+    " [ ] ": "answered",
+    '[null, {"id": 2}]': "answered",
+    "<html>busy</html>": "malformed",
+    "": "malformed",
+    None: "malformed",
+    "null": "malformed",
+    "5": "malformed",
+    '{"id": 1, "uuid": "u"}': "malformed",
+    "[1, 2]": "malformed",
+    '[{"id": 1}, 3]': "malformed",
+    '[{"id": 1}': "malformed",
+    '[{"id": 1},]': "malformed",
+}
+
+
+def test_bodies_that_cannot_be_read(spark):
+    data = [(page, 200, body) for page, body in enumerate(BODIES)] + [(100, 204, None), (101, 503, '[{"id": 9, "uuid": "u"}]'), (102, 404, "<html>")]
+    responses = spark.createDataFrame(data, "page long, status int, body string")
+    got = [r[0] for r in responses.orderBy("page").select(op.page_outcome()).collect()]
+    assert got == [*BODIES.values(), "empty", "failed", "failed"]
+    assert rows(op.parse_responses(responses, "r")) == [(None, "2", "r_2"), ("u", "1", "r_0")]
+    bad = {(page, body) for page, (body, kind) in enumerate(BODIES.items()) if kind == "malformed"}
+    assert {tuple(r) for r in op.malformed_pages(responses).collect()} == bad
+
+
+def test_waves(spark):
+    pages = spark.range(1, 11).select(F.col("id").alias("page"))
+    assert rows(op.page_waves(pages, 4).groupBy("wave").count()) == [(0, 4), (1, 4), (2, 2)]
 
 
 def test_ask_table(spark):

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -126,10 +127,130 @@ def test_buckets_fit_the_rows_and_not_the_session(spark, monkeypatch):
     for number, n in enumerate([5, 100, 3, 3, 400, 1]):
         state.upsert(batch(spark, n, f"v{number}"), f"run{number}")
         buckets.append(state.commits()[-1].buckets)
-    assert buckets == [4, 4, 16, 16, 16, 64]  # four shuffle partitions in the tests
+    # the second write would fill one bucket, the last commit finds that the added rows outnumber the base
+    assert buckets == [1, 16, 16, 16, 16, 64]
     assert state.read().count() == 400
 
 
+def test_buckets_by_rows():
+    from tidemark.sources.versioned_table import buckets_for
+
+    assert [buckets_for(n) for n in (0, 1, 10**6, 10**6 + 1, 50 * 10**6, 10**10)] == [1, 1, 1, 2, 64, 16384]
+
+
+def test_the_first_commit_has_buckets_for_its_rows(spark, monkeypatch):
+    """Whatever the session's shuffle partitions: by the rows that were staged, or by what the writer says."""
+    from tidemark.sources import versioned_table
+
+    monkeypatch.setattr(versioned_table, "ROWS_PER_BUCKET", 10)
+    staged = StateTable(spark, new_folder(spark, "state"))
+    staged.upsert(batch(spark, 500, "x"), "run0")
+    told = StateTable(spark, new_folder(spark, "state"))
+    told.upsert(batch(spark, 500, "x"), "run0", about=50_000_000 // 100_000)
+    for state in (staged, told):
+        assert state.commits()[0].buckets == 64
+        files = {path.rsplit("_", 1)[1] for path in state.read().inputFiles()}  # the bucket ends the name
+        assert len(files) > 32 and max(files) < "00064"
+        assert state.read().count() == 500 and not sources.files.names(spark, f"{state.path}/staged")
+
+
+def test_files_of_other_writes_are_not_listed(spark):
+    state = StateTable(spark, new_folder(spark, "state"), buckets=2)
+    for number in range(3):
+        state.upsert(batch(spark, 100, f"v{number}"), f"run{number}")
+    last = state.table.latest_commit()
+    for number in range(5):  # runs that failed before their commit
+        state.table._write(batch(spark, 90, "lost").withColumn("version", F.lit(3).cast("long")), last.generation, 2, f"lost{number}")
+    assert sum(name.startswith("_write=") for name in os.listdir(f"{state.path}/rows/{last.generation}")) == len(last.writes) + 5
+    scan = state.table.rows()
+    assert {path.split("_write=")[1].split("/")[0] for path in scan.inputFiles()} <= {w for w in last.writes} | {f"lost{n}" for n in range(5)}
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    assert f"InMemoryFileIndex({len(last.writes)} paths)" in plan and "_write" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert {r.sha2 for r in state.read().collect()} == {"v2"}
+    state.table.forget()  # a catalog that has never seen the failed writes
+    assert {path.split("_write=")[1].split("/")[0] for path in state.table.rows().inputFiles()} == set(last.writes)
+
+
+def test_two_generations_stay_on_disk(spark, monkeypatch):
+    from tidemark.sources import versioned_table
+
+    monkeypatch.setattr(versioned_table, "MOST_WRITES", 3)
+    state = StateTable(spark, new_folder(spark, "state"), buckets=1)
+    for number in range(40):
+        state.upsert(batch(spark, 30 if number == 0 else 2, f"v{number}"), f"run{number}")
+    named = list(dict.fromkeys(c.generation for c in state.commits()))
+    assert len(named) > 10 and sources.files.names(spark, f"{state.path}/rows") == sorted(named[-2:])
+    assert state.read().count() == 30 and len(state.commits()) == 40
+
+
+def test_of_two_commits_held_between_look_and_write_one_wins(spark):
+    """Both have looked which version comes next before either writes its entry."""
+    path, both = new_folder(spark, "state"), threading.Barrier(2)
+    StateTable(spark, path, buckets=1).upsert(batch(spark, 3, "x"), "run0")
+    commit, outcomes = VersionedTable._commit, {}
+
+    def held(self, *args):
+        both.wait(timeout=60)
+        commit(self, *args)
+
+    def write(run):
+        try:
+            outcomes[run] = StateTable(spark, path, buckets=1).upsert(batch(spark, 5, run), run)
+        except ValueError as error:
+            outcomes[run] = str(error)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(VersionedTable, "_commit", held)
+        threads = [threading.Thread(target=write, args=(run,)) for run in ("one", "two")]
+        for t in threads:
+            t.start()
+        for t in threads:
+            t.join()
+    won = [run for run, outcome in outcomes.items() if outcome == 1]
+    assert len(won) == 1 and sum("another run has committed" in str(x) for x in outcomes.values()) == 1
+    state = StateTable(spark, path, buckets=1)
+    assert {r.sha2 for r in state.read().collect()} == set(won) and state.is_committed(won[0]) and len(state.commits()) == 2
+
+
+@pytest.mark.parametrize("by_rename", [False, True])
+def test_a_file_is_published_once(spark, monkeypatch, by_rename):
+    from tidemark.sources import files
+
+    if by_rename:  # the way of file systems whose rename does not replace
+        monkeypatch.setattr(files, "_linked", lambda spark, source, target: files._renamed(spark, source, target, overwrite=False))
+    path = f"{new_folder(spark, 'log')}/entry.json"
+    assert files.read_text(spark, path) is None
+    assert files.publish_once(spark, path, "first é") and not files.publish_once(spark, path, "second")
+    assert files.read_text(spark, path) == "first é"
+    assert files.names(spark, path.rsplit("/", 1)[0]) == ["entry.json"]
+    files.write_text(spark, path, "third")
+    assert files.read_text(spark, path) == "third"
+
+
+def test_a_failed_write_leaves_the_old_output(spark):
+    path = new_folder(spark, "out")
+    df = spark.range(4).select("id", (F.col("id") % 2).alias("g"))
+    sources.publish_output(df, path, ["id", "g"], ["g"])
+    fails = df.withColumn("id", F.when(F.col("id") == 3, F.raise_error(F.lit("lost"))).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="lost"):
+        sources.publish_output(fails, path, ["id", "g"], ["g"])
+    assert rows(spark.read.parquet(path)) == [(0, 0), (1, 1), (2, 0), (3, 1)]
+    sources.publish_output(spark.read.parquet(path).where("id > 1"), path, ["id"])  # from the place it writes to
+    assert rows(spark.read.parquet(path)) == [(2,), (3,)]
+    parent, _, name = path.rpartition("/")
+    assert [n for n in os.listdir(parent) if name in n] == [name]
+
+
+def test_an_output_that_cannot_be_swapped_stays(spark):
+    from tidemark.sources import files
+
+    path = new_folder(spark, "out")
+    spark.range(3).write.parquet(path)
+    with pytest.raises(Exception, match="does not exist"):
+        files.swap(spark, f"{path}-missing", path)
+    assert spark.read.parquet(path).count() == 3
+
+
 def test_a_run_writes_its_own_rows_only(spark, monkeypatch):
     from tidemark.sources import versioned_table
 

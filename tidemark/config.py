@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from tidemark.operators.lookup import PAGE_SIZE
+from tidemark.operators.lookup import PAGE_SIZE, PAGES_PER_WAVE
 from tidemark.sources.partitions import DAYS_BACK
 
 
@@ -15,14 +15,15 @@ class RunConfig:
     One key, ``key_cols``, serves deduplication, comparison and state.
     ``order_cols`` say which row of a key is the newest. Rows need a
     ``description_col`` and a ``code_col``; ``lookup_key`` is what the lookup
-    is asked for. ``until_run_date`` ignores partitions after the run date.
+    is asked for, ``page_size`` ids at a time and ``pages_per_wave`` pages a job.
+    ``until_run_date`` ignores partitions after the run date.
     With ``output_cols`` a run also writes these columns of what it delivers,
     by ``output_partition_cols``, to ``published/run=<run id>``. With
     ``publish_views`` each step's rows become a named view as it ends.
     """
 
     root: str
-    secret: bytes
+    secret: bytes = field(repr=False)
     key_cols: tuple[str, ...] = ("id", "code")
     order_cols: tuple[str, ...] = ("created_at",)
     fingerprint_cols: tuple[str, ...] = ("code", "id", "group_id")  # fixed value
@@ -33,6 +34,7 @@ class RunConfig:
     days_back: int = DAYS_BACK
     until_run_date: bool = False
     page_size: int = PAGE_SIZE
+    pages_per_wave: int = PAGES_PER_WAVE
     hot_rows: int | None = None
     state_buckets: int | None = None
     sample_size: int = 20

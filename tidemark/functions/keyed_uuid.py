@@ -52,7 +52,9 @@ def derive_entity_id(uuid: str | Column, code: str | Column, secret: bytes) -> C
 def register_keyed_uuid(spark: SparkSession, secret: bytes, name: str = "deterministic_uuid") -> None:
     """Make :func:`keyed_uuid` callable from SQL text as ``name(text)``.
 
-    A SQL function is inlined by Catalyst; no Python runs when it is called.
+    A SQL function is inlined by Catalyst; no Python runs when it is called. Its
+    text holds the pads made from the secret, as plans and logs then do: only
+    sessions whose users may know the secret should register it.
     """
     inner_pad, outer_pad = hmac_pads(secret)
     digest = (

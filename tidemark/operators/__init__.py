@@ -15,11 +15,14 @@ from tidemark.operators.lookup import (
     assign_pages,
     items_without_id,
     lookup_pages,
+    malformed_pages,
+    page_outcome,
+    page_waves,
     parse_responses,
     unseen_keys,
 )
 from tidemark.operators.required import require, require_code, require_description
-from tidemark.operators.skew import hot_keys, is_hot, lookup_join
+from tidemark.operators.skew import hot_keys, lookup_join
 from tidemark.operators.state import state_upsert, state_upsert_by_id
 
 __all__ = [
@@ -35,12 +38,14 @@ __all__ = [
     "enrich_tagged",
     "enrich_unmatched",
     "hot_keys",
-    "is_hot",
     "items_without_id",
     "known_answers",
     "latest_answers",
     "lookup_join",
     "lookup_pages",
+    "malformed_pages",
+    "page_outcome",
+    "page_waves",
     "parse_responses",
     "require",
     "require_code",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.fingerprint import row_fingerprint
-from tidemark.operators.skew import hot_keys, is_hot, lookup_join
+from tidemark.operators.skew import lookup_join
 
 #: The tags of a comparison.
 NEW, CHANGED, REPEATED = "new", "changed", "repeated"
@@ -63,11 +63,8 @@ def change_detect_by_code(
     both = F.concat("sha2", code)  # a fingerprint is 64 signs, so this tells both apart
     per_fingerprint = state.groupBy(both.alias("_both")).agg(F.count("*").alias("_equal"))
     new = batch.withColumn("sha2", row_fingerprint(*fingerprint_cols)).withColumn("_both", both)
-    hot = hot_keys(batch, code, hot_rows)
-    # without a hot code there is no hot pair of code and fingerprint
-    hot_both = hot_keys(new.where(is_hot(code, hot)), "_both", hot_rows) if hot else []
-    counted = lookup_join(new, per_code, code, "left", hot=hot)
-    counted = lookup_join(counted, per_fingerprint, "_both", "left", hot=hot_both)
+    counted = lookup_join(new, per_code, code, "left", hot_rows, counted_in=batch)
+    counted = lookup_join(counted, per_fingerprint, "_both", "left", hot_rows, counted_in=new)
     equal = F.coalesce("_equal", F.lit(0))
     saved = F.when(F.col("_of_code").isNull(), 1).otherwise(F.col("_of_code") - equal)
     outcomes = F.array(

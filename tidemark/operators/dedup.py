@@ -4,24 +4,44 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def canonical(value: Column, kind: T.DataType) -> Column:
+    """The value in a form that has an order and is the same for equal values.
+
+    Maps become sorted lists of their entries, variants their JSON text, also inside
+    arrays, structs and maps; all else stays as it is.
+    """
+    if isinstance(kind, T.VariantType):
+        return F.to_json(value)
+    if isinstance(kind, T.ArrayType) and not _has_order(kind):
+        return F.transform(value, lambda x: canonical(x, kind.elementType))
+    if isinstance(kind, T.StructType) and not _has_order(kind):
+        parts = F.struct(*(canonical(value[f.name], f.dataType).alias(f.name) for f in kind.fields))
+        return F.when(value.isNotNull(), parts)
+    if isinstance(kind, T.MapType):
+        entry = lambda x: F.struct(x["key"].alias("key"), canonical(x["value"], kind.valueType).alias("value"))
+        return F.sort_array(F.transform(F.map_entries(value), entry))
+    return value
+
+
+def _has_order(kind: T.DataType) -> bool:
+    return not any(t in kind.simpleString() for t in ("map<", "variant"))
 
 
 def _newest_first(df: DataFrame, key_cols: Sequence[str], order_cols: Sequence[str]) -> list:
     """Descending order on ``order_cols``, ties broken by every other column.
 
-    Without the tie-break a recomputed task could pick another row. Columns
-    whose type has no order (maps, variants) cannot take part.
+    Without the tie-break a recomputed task could pick another row. Columns whose
+    type has no order (maps, variants) come last, in their canonical form.
     """
-    rest = [
-        f.name
-        for f in df.schema.fields
-        if f.name not in key_cols
-        and f.name not in order_cols
-        and not any(t in f.dataType.simpleString() for t in ("map<", "variant"))
-    ]
-    return [F.col(c).desc_nulls_last() for c in (*order_cols, *rest)]
+    rest = [f for f in df.schema.fields if f.name not in key_cols and f.name not in order_cols]
+    rest.sort(key=lambda f: not _has_order(f.dataType))
+    ties = (canonical(F.col(f"`{f.name}`"), f.dataType) for f in rest)
+    return [c.desc_nulls_last() for c in (*(F.col(c) for c in order_cols), *ties)]
 
 
 def dedup_latest(df: DataFrame, key_cols: Sequence[str], order_cols: Sequence[str]) -> DataFrame:

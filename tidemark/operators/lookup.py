@@ -11,10 +11,14 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 
 PAGE_SIZE = 499  # fixed value: most ids one request may carry
+PAGES_PER_WAVE = 16_384
 
 #: ``(page, ids)`` rows in, ``(page, status, body)`` rows out.
 Ask = Callable[[DataFrame], DataFrame]
 
+#: What became of a page: a sound body, none (204), another status, or a body that is no list of items.
+ANSWERED, EMPTY, FAILED, MALFORMED = "answered", "empty", "failed", "malformed"
+
 
 def unseen_keys(batch: DataFrame, cache: DataFrame, key: str = "id") -> DataFrame:
     """The distinct keys of the batch the cache has no answer for.
@@ -106,23 +110,48 @@ def ask_table(service: DataFrame) -> Ask:
     return ask
 
 
+def _items() -> Column:
+    """The items of a ``body``, null for one that does not begin with a JSON array of objects."""
+    items = F.from_json("body", schemas.ANSWER_DDL)
+    return F.when(F.json_array_length("body").isNotNull(), items)
+
+
+def page_outcome() -> Column:
+    """What became of a response's page, from its ``status`` and ``body``.
+
+    A status of 200 says that the service was reached, not that its answer can be
+    read: without a JSON array of objects (or nulls) in the body the page is malformed.
+    """
+    status = F.col("status")
+    answered = F.when(_items().isNotNull(), ANSWERED).otherwise(MALFORMED)
+    return F.when(status == 200, answered).when(status == 204, EMPTY).otherwise(FAILED)
+
+
+def malformed_pages(responses: DataFrame) -> DataFrame:
+    """page, body of the responses whose body cannot be read."""
+    return responses.where(page_outcome() == MALFORMED).select("page", "body")
+
+
+def page_waves(pages: DataFrame, pages_per_wave: int) -> DataFrame:
+    """Number the pages' waves, from 0 on: each has ``pages_per_wave`` pages, the last one the rest."""
+    return pages.withColumn("wave", F.expr(f"(page - 1) div {pages_per_wave}"))
+
+
 def parse_responses(responses: DataFrame, run_id: str) -> DataFrame:
-    """Cache rows of the answered pages; a malformed body is an error.
+    """Cache rows of the answered pages; a malformed body answers nothing.
 
     Items repeated within a page count once, which needs no shuffle as a
     page is one row. An item without a uuid is an answer, too; one without an
     id answers nothing and is left out (:func:`items_without_id` counts them).
     """
-    items = F.from_json("body", schemas.ANSWER_DDL, {"mode": "FAILFAST"})
     return (
-        responses.where(F.col("status") == 200)
-        .select("page", F.inline(F.array_distinct(items)))
+        responses.where(page_outcome() == ANSWERED)
+        .select("page", F.inline(F.array_distinct(_items())))
         .where(F.col("id").isNotNull())
         .select("uuid", "id", F.concat_ws("_", F.lit(run_id), "page").alias("partition_ref"))
     )
 
 
 def items_without_id() -> Column:
-    """How many items of a response's ``body`` have no id."""
-    items = F.from_json("body", schemas.ANSWER_DDL)
-    return F.coalesce(F.size(F.filter(items, lambda x: x["id"].isNull())), F.lit(0))
+    """How many items of a response's ``body`` have no id; 0 for a malformed one."""
+    return F.coalesce(F.size(F.filter(_items(), lambda x: x["id"].isNull())), F.lit(0))

@@ -2,55 +2,55 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 FEWEST_HOT_ROWS = 10_000
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int | None = None) -> list:
-    """The keys (null may be one) with at least ``hot_rows`` rows, most frequent first.
+def hot_keys(df: DataFrame, key: str, hot_rows: int | None = None) -> DataFrame:
+    """The keys with at least ``hot_rows`` rows, one a row; no job runs for them here.
 
     By default a key is hot from half the rows of an average shuffle partition
     on (and ``FEWEST_HOT_ROWS``), so there are at most twice as many hot keys
     as shuffle partitions, whatever the table's size. Only the key column is
-    read, and it is counted before the shuffle.
+    read, and it is counted before the shuffle. Null is no key.
     """
-    counted = df.groupBy(key).agg(F.count("*").alias("_rows"))
+    counted = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_rows"))
     if hot_rows is None:
         partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         total = df.select(F.count("*")).scalar()
-        counted = counted.where(F.col("_rows") >= F.greatest(F.lit(FEWEST_HOT_ROWS), total / (2 * partitions)))
+        least = F.greatest(F.lit(FEWEST_HOT_ROWS), total / (2 * partitions))
     else:
-        counted = counted.where(F.col("_rows") >= hot_rows)
-    return [row[0] for row in counted.orderBy(F.desc("_rows"), key).select(key).collect()]
-
-
-def is_hot(key: str, hot: list) -> Column:
-    """True for rows of the hot keys, false for all others; a null key is hot if null is among them."""
-    named = [k for k in hot if k is not None]
-    by_name = F.coalesce(F.col(key).isin(named), F.lit(False)) if named else F.lit(False)
-    return by_name | F.col(key).isNull() if None in hot else by_name
+        least = F.lit(hot_rows)
+    return counted.where(F.col("_rows") >= least).select(key)
 
 
 def lookup_join(
-    left: DataFrame, right: DataFrame, key: str, how: str = "left", hot_rows: int | None = None, hot: list | None = None
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    how: str = "left",
+    hot_rows: int | None = None,
+    counted_in: DataFrame | None = None,
 ) -> DataFrame:
     """``left.join(right, key, how)`` where ``right`` has one row per key.
 
     Rows of hot keys meet their partners, one a key, by broadcast and are not
-    shuffled; all others join by shuffle. Adaptive skew handling does not
-    cover this, as ``right`` usually ends in a window or aggregate on the same
-    key and not in a plain shuffle. The hot keys are counted by a job of their
-    own unless ``hot`` names them; ``left`` is best a written table.
+    shuffled, nor are rows without a key, which meet none; all others join by
+    shuffle. Adaptive skew handling does not cover this, as ``right`` usually ends
+    in a window or aggregate on the same key and not in a plain shuffle. The hot
+    keys are a part of the plan: they are counted when it runs, in ``left``, best a
+    written table, or in ``counted_in``, a table with the same keys that is easier
+    to read.
     """
-    if hot is None:
-        hot = hot_keys(left, key, hot_rows)
-    if not hot:
-        return left.join(right, key, how)
-    hot_right = right.where(F.col(key).isin([k for k in hot if k is not None]) if hot != [None] else F.lit(False))
+    hot = F.broadcast(hot_keys(left if counted_in is None else counted_in, key, hot_rows))
+    tagged = left.join(hot.withColumn("_hot", F.lit(True)), key, "left").select(*left.columns, "_hot")
+    apart = F.col("_hot").isNotNull() | F.col(key).isNull()
+    partners = F.broadcast(right.join(hot, key, "left_semi"))
     return (
-        left.where(is_hot(key, hot))
-        .join(F.broadcast(hot_right), key, how)
-        .unionByName(left.where(~is_hot(key, hot)).join(right, key, how))
+        tagged.where(apart)
+        .drop("_hot")
+        .join(partners, key, how)
+        .unionByName(tagged.where(~apart).drop("_hot").join(right, key, how))
     )

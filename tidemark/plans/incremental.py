@@ -6,7 +6,9 @@ import datetime as dt
 import logging
 import re
 import time
-from dataclasses import dataclass, field
+import uuid
+from dataclasses import asdict, dataclass, field, fields
+from hashlib import sha256
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -18,9 +20,11 @@ from tidemark.operators.dedup import dedup_latest
 from tidemark.operators.enrich import SAVE, enrich_tagged, unmatched_sample
 from tidemark.operators.lookup import Ask
 from tidemark.plans.cleanup import cleanup, is_valid, latest_row_counters
-from tidemark.plans.process import lookup_enrich, transform
+from tidemark.plans.process import LookupReport, lookup_enrich, transform
 from tidemark.plans.report import RunReport
+from tidemark.plans.steps import StepLog
 from tidemark.sources.cache_table import CacheTable
+from tidemark.sources.files import delete
 from tidemark.sources.partitions import latest_partition_scan, list_partitions
 from tidemark.sources.state_table import StateTable
 from tidemark.sources.views import publish_output, publish_view
@@ -30,9 +34,10 @@ logger = logging.getLogger(__name__)
 
 @dataclass
 class RunResult:
-    """The report and, after a successful run, the delivered rows, and those published if asked for."""
+    """The report, what became of the lookup's pages and, after a successful run, the delivered rows, and those published if asked for."""
 
     report: RunReport = field(default_factory=RunReport)
+    lookup: LookupReport = field(default_factory=LookupReport)
     output: DataFrame | None = None
     published: DataFrame | None = None
 
@@ -53,23 +58,33 @@ def run_incremental(
     catalog. Of a DataFrame the days must be listed in ``partitions``, or the
     recent days' rows are read for them. ``run_id`` names one run: a run that
     failed is repeated under its id and keeps the answers it got; one that is
-    committed to the state is not run again. Without an id it is the run date,
-    with a number where that run is already committed. With ``raise_errors``
-    off, an error ends up in the report, beside the sections finished before it.
+    committed to the state is not run again. A repeat goes on at the step that
+    failed, and does not read ``table`` again once its rows are staged, unless the
+    state, the run date or the configuration are other ones by then. Without an id
+    it is the run date, with a number where that run is already committed. Pages
+    that the lookup failed on do not fail the run: they are counted in ``lookup`` and
+    named in the report's ``additional_info``. With ``raise_errors`` off, an error ends
+    up in the report, beside the sections finished before it.
     """
     started = time.monotonic()
     result = RunResult()
     try:
-        run = _Run(spark, config, run_date, run_id, result.report)
-        raw = run.load(table, partitions, run_date)
-        staged = run.stage(raw)
-        output = run.deliver(staged, ask)
+        run = _Run(spark, config, run_date, run_id, result)
+        output = run.resumed("deliver")
+        if output is None:
+            staged = run.resumed("stage")
+            if staged is None:
+                staged = run.stage(run.load(table, partitions, run_date))
+            output = run.deliver(staged, ask)
+        result.output = output = run.delivered(output)
         run.persist(output)
-        result.output = output
         if config.output_cols:
             result.published = run.publish(output)
+        run.tidy()
         result.report.status = "success"
+        result.report.additional_info = result.lookup.trouble()
     except Exception as error:
+        result.output = None
         result.report.status = "error"
         result.report.additional_info = str(error)
         if raise_errors:
@@ -82,30 +97,54 @@ def run_incremental(
 class _Run:
     """One run's tables and steps.
 
-    Each step ends in a write, and the next one reads what was written. The
-    counters are observed in the stage that writes: there a retried task
-    counts once, in the stages before it may count again.
+    Each step ends in a write, and the next one reads what was written; the step
+    log says where. The counters are observed in the stage that writes: there a
+    retried task counts once, in the stages before it may count again.
     """
 
     def __init__(
-        self, spark: SparkSession, config: RunConfig, run_date: dt.date, run_id: str | None, report: RunReport
+        self, spark: SparkSession, config: RunConfig, run_date: dt.date, run_id: str | None, result: RunResult
     ) -> None:
         if run_id is not None and not re.fullmatch(r"[0-9A-Za-z.-]+", run_id):
             raise ValueError(f"run id {run_id!r} must be letters, digits, dots and dashes")
         self.spark = spark
         self.config = config
-        self.report = report
+        self.report = result.report
+        self.lookup = result.lookup
         self.state = StateTable(spark, f"{config.root}/state", config.key_cols, config.state_buckets)
         self.cache = CacheTable(spark, f"{config.root}/cache", config.state_buckets)
-        committed = {commit.run_id for commit in self.state.commits()}
+        commits = self.state.commits()
+        committed = {commit.run_id for commit in commits}
         if run_id in committed:
             raise ValueError(f"run {run_id!r} is already committed to the state")
         names = (run_date.isoformat() + suffix for suffix in ("", *(f"-{n}" for n in range(2, len(committed) + 3))))
         self.run_id = run_id or next(name for name in names if name not in committed)
+        settings = [(f.name, getattr(config, f.name)) for f in fields(config)]
+        basis = {
+            "state_version": commits[-1].version if commits else None,
+            "run_date": run_date.isoformat(),
+            "config": sha256(repr(settings).encode()).hexdigest(),
+        }
+        self.log = StepLog(spark, self.path("steps"), basis)
 
     def path(self, part: str) -> str:
         return f"{self.config.root}/{part}/run={self.run_id}"
 
+    def new_path(self, part: str) -> str:
+        """A folder that no other attempt writes to."""
+        return f"{self.path(part)}/attempt={uuid.uuid4().hex}"
+
+    def resumed(self, step: str) -> DataFrame | None:
+        """What an earlier attempt's step has written; the report gets its counters."""
+        entry = self.log.finished(step)
+        if entry is None:
+            return None
+        logger.info("Run %s goes on after its step %s", self.run_id, step)
+        self.report.sections.update(entry["sections"])
+        for name, value in entry.get("lookup", {}).items():
+            setattr(self.lookup, name, value)
+        return self.log.table(entry)
+
     def publish_view(self, step: int, df: DataFrame) -> None:
         if self.config.publish_views:
             publish_view(df, self.config.view_names[step])
@@ -140,15 +179,13 @@ class _Run:
             config.null_token,
         )
         repeated = F.col("change") == REPEATED
-        staging = Observation()
+        staging, place = Observation(), self.new_path("staged")
         tagged.observe(
             staging,
             *latest_row_counters(*described),
             F.count_if(is_valid(*described) & ~repeated).alias("new_count"),
             F.count_if(is_valid(*described) & repeated).alias("repeated_count"),
-        ).where(is_valid(*described) & ~repeated).drop("change").write.mode("overwrite").parquet(
-            self.path("staged")
-        )
+        ).where(is_valid(*described) & ~repeated).drop("change").write.parquet(place)
         counted = dict(staging.get)
         changes = {name: counted.pop(name) for name in ("new_count", "repeated_count")}
         raw_count = self.report.sections["load"]["row_count"]
@@ -161,19 +198,29 @@ class _Run:
         self.report.note("process", raw_count=counted["valid_rows"], **changes)
         if config.publish_views:
             self.publish_view(1, cleanup(raw, config.key_cols, config.order_cols, *described))
-        return self.spark.read.schema(tagged.drop("change").schema).parquet(self.path("staged"))
+        schema = tagged.drop("change").schema
+        self.log.finish("stage", place, schema, self.report.sections)
+        return self.spark.read.schema(schema).parquet(place)
 
     def deliver(self, staged: DataFrame, ask: Ask) -> DataFrame:
-        """Look up, join, derive the entity ids.
+        """Look up, join, derive the entity ids; rows with and without an answer.
 
         All rows are written in one job, those without an answer beside the
         others: the sample of their ids is read from there.
         """
         config = self.config
         answers = lookup_enrich(
-            staged, self.cache, ask, self.run_id, self.path("lookup"), config.lookup_key, config.page_size
+            staged,
+            self.cache,
+            ask,
+            self.run_id,
+            self.path("lookup"),
+            config.lookup_key,
+            config.page_size,
+            config.pages_per_wave,
+            self.lookup,
         )
-        enriching = Observation()
+        enriching, place = Observation(), self.new_path("output")
         answered = F.col("state") == SAVE
         tagged = enrich_tagged(staged, answers, config.lookup_key, config.hot_rows).observe(
             enriching,
@@ -182,9 +229,9 @@ class _Run:
         )
         derived = transform(tagged, config.secret, config.code_col)
         derived = derived.withColumn("uuid", F.when(answered, F.col("uuid")))
-        derived.write.mode("overwrite").partitionBy("state").parquet(self.path("output"))
+        derived.write.partitionBy("state").parquet(place)
         counted = enriching.get
-        written = self.spark.read.schema(derived.schema).parquet(self.path("output"))
+        written = self.spark.read.schema(derived.schema).parquet(place)
         if counted["not_matched_count"] and config.sample_size:
             unmatched = written.where(~answered)
             sample = unmatched_sample(unmatched, config.sample_size, config.lookup_key).collect()
@@ -195,7 +242,12 @@ class _Run:
             transformed_count=counted["matched_count"],
             valid_rows=counted["matched_count"],
         )
-        output = written.where(answered).drop("state")
+        self.log.finish("deliver", place, derived.schema, self.report.sections, lookup=asdict(self.lookup))
+        return written
+
+    def delivered(self, written: DataFrame) -> DataFrame:
+        """The rows with an answer."""
+        output = written.where(F.col("state") == SAVE).drop("state")
         self.publish_view(2, output)
         return output
 
@@ -205,7 +257,7 @@ class _Run:
         Rows without an answer stay out of it and so remain new.
         """
         delivered = self.report.sections["process"]["valid_rows"]
-        self.state.upsert(output, self.run_id)
+        self.state.upsert(output, self.run_id, about=delivered)
         self.report.fill("persist", raw_count=delivered, valid_rows=delivered)
         self.publish_view(3, output)
 
@@ -214,3 +266,10 @@ class _Run:
         config = self.config
         publish_output(output, self.path("published"), config.output_cols, config.output_partition_cols)
         return self.spark.read.parquet(self.path("published"))
+
+    def tidy(self) -> None:
+        """Delete what only a repeat would have read; the lookup's responses stay."""
+        self.log.clear()
+        for part in ("staged", "lookup/known", "lookup/pages"):
+            first, _, rest = part.partition("/")
+            delete(self.spark, f"{self.path(first)}/{rest}".rstrip("/"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 import uuid
 from collections.abc import Sequence
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -15,11 +16,19 @@ from tidemark.functions.keyed_uuid import derive_entity_id
 from tidemark.operators.changes import REPEATED, change_detect
 from tidemark.operators.enrich import known_answers, latest_answers
 from tidemark.operators.lookup import (
+    ANSWERED,
+    EMPTY,
+    FAILED,
+    MALFORMED,
     PAGE_SIZE,
+    PAGES_PER_WAVE,
     Ask,
     assign_pages,
     items_without_id,
     lookup_pages,
+    malformed_pages,
+    page_outcome,
+    page_waves,
     parse_responses,
 )
 from tidemark.sources.cache_table import CacheTable
@@ -28,6 +37,28 @@ from tidemark.sources.shared import read_if_there
 logger = logging.getLogger(__name__)
 
 
+@dataclass
+class LookupReport:
+    """What became of the pages that a run's lookup asked for."""
+
+    waves: int = 0
+    pages: int = 0
+    answered: int = 0
+    empty: int = 0
+    failed: int = 0
+    malformed: int = 0
+    items_without_id: int = 0
+
+    def trouble(self) -> str | None:
+        """A line about pages that should have brought answers and did not."""
+        counts = {FAILED: self.failed, MALFORMED: self.malformed}
+        bad = [f"{n} of {self.pages} pages {name}" for name, n in counts.items() if n]
+        return "lookup: " + ", ".join(bad) if bad else None
+
+    def to_df(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame(list(asdict(self).items()), "name string, value long")
+
+
 def lookup_enrich(
     batch: DataFrame,
     cache: CacheTable,
@@ -36,22 +67,30 @@ def lookup_enrich(
     folder: str,
     key: str = "id",
     page_size: int = PAGE_SIZE,
+    pages_per_wave: int = PAGES_PER_WAVE,
+    report: LookupReport | None = None,
 ) -> DataFrame:
     """The answers for the batch's ids, after asking for those not in the cache.
 
     Each attempt of a run has a folder of its own below ``folder``. It begins
     by adding to the cache what earlier attempts were answered and could not
     add any more, then reads the cache once, for the batch's ids only, and
-    writes what it knows and what it does not. Responses are written before
-    they are parsed and added to the cache. So no answer is lost or asked for
-    twice, whichever step fails. Pages that failed or came back empty leave
-    their ids unseen.
+    writes what it knows and what it does not. The pages to ask for are written,
+    too, and sent in waves of ``pages_per_wave``, each a job that ends with its
+    responses written: what an attempt loses is at most a wave. Responses are
+    parsed when all waves are through. So no answer is lost or asked for twice,
+    whichever step fails.
+
+    Pages that failed, came back empty or with a body that cannot be read leave
+    their ids unseen. Bodies that cannot be read are kept apart as well, in
+    ``malformed``; the run goes on, and ``report`` has their number.
     """
     spark = batch.sparkSession
+    report = LookupReport() if report is None else report
     for attempt in _attempts(spark, folder):
         if not cache.is_committed(f"{run_id}/{attempt}"):
             responses = spark.read.schema(schemas.RESPONSE).parquet(f"{folder}/responses/attempt={attempt}")
-            cache.append(parse_responses(responses, run_id), f"{run_id}/{attempt}")
+            cache.append(parse_responses(responses.select(*schemas.RESPONSE.names), run_id), f"{run_id}/{attempt}")
     attempt = uuid.uuid4().hex
     ids = batch.select(F.col(key).alias("id")).where(F.col("id").isNotNull()).distinct()
     known_path = f"{folder}/known/attempt={attempt}"
@@ -60,37 +99,55 @@ def lookup_enrich(
     is_known = F.col("partition_ref").isNotNull()
 
     paged = assign_pages(known.where(~is_known).select("id"), page_size=page_size)
+    _ask_in_waves(paged, ask, folder, attempt, pages_per_wave, report)
     place = f"{folder}/responses/attempt={attempt}"
-    counted = Observation()
-    ask(lookup_pages(paged)).observe(
-        counted,
-        F.count_if(F.col("status") == 200).alias("answered"),
-        F.count_if(F.col("status") != 200).alias("not_answered"),
-        F.coalesce(F.sum(F.when(F.col("status") == 200, items_without_id())), F.lit(0)).alias("without_id"),
-    ).write.parquet(place)
-    responses = spark.read.schema(schemas.RESPONSE).parquet(place)
-    if counted.get["without_id"]:
-        logger.warning("%d answered items of run %s have no id", counted.get["without_id"], run_id)
-    if counted.get["not_answered"]:
+    responses = spark.read.schema(schemas.RESPONSE).parquet(place).select(*schemas.RESPONSE.names)
+    if report.items_without_id:
+        logger.warning("%d answered items of run %s have no id", report.items_without_id, run_id)
+    if report.malformed:
+        malformed_pages(responses).write.parquet(f"{folder}/malformed/attempt={attempt}")
+    if report.answered < report.pages:
         _log_failures(responses, run_id, place)
-    if counted.get["answered"]:
+    if report.answered:
         new = parse_responses(responses, run_id)
-        cache.append(new, f"{run_id}/{attempt}")
+        cache.append(new, f"{run_id}/{attempt}", about=report.answered * page_size)
         known = known.where(is_known).unionByName(new)
     return known.where(F.col("partition_ref").isNotNull())
 
 
+def _ask_in_waves(paged: DataFrame, ask: Ask, folder: str, attempt: str, pages_per_wave: int, report: LookupReport) -> None:
+    """Write the pages by wave, then each wave's responses; counts go to ``report``."""
+    spark = paged.sparkSession
+    place, counted = f"{folder}/pages/attempt={attempt}", Observation()
+    waves = page_waves(lookup_pages(paged), pages_per_wave)
+    waves.repartition("wave").observe(counted, F.count("*").alias("pages")).write.partitionBy("wave").parquet(place)
+    pages = spark.read.schema(waves.schema).parquet(place)
+    report.pages = counted.get["pages"]
+    report.waves = -(-report.pages // pages_per_wave)
+    for wave in range(max(1, report.waves)):
+        outcome, seen = page_outcome(), Observation()
+        kinds = {kind: F.count_if(outcome == kind).alias(kind) for kind in (ANSWERED, EMPTY, FAILED, MALFORMED)}
+        without = F.coalesce(F.sum(F.when(outcome == ANSWERED, items_without_id())), F.lit(0)).alias("items_without_id")
+        asked = ask(pages.where(F.col("wave") == wave).drop("wave")).observe(seen, *kinds.values(), without)
+        asked.write.parquet(f"{folder}/responses/attempt={attempt}/wave={wave}")
+        for name, n in seen.get.items():
+            setattr(report, name, getattr(report, name) + n)
+
+
 def _attempts(spark: SparkSession, folder: str) -> list[str]:
     """Earlier attempts of a run that were answered, by the folders they left."""
     responses = read_if_there(spark, f"{folder}/responses", T.StructType([*schemas.RESPONSE, T.StructField("attempt", T.StringType())]))
-    return sorted(r["attempt"] for r in responses.where(F.col("status") == 200).select("attempt").distinct().collect())
+    return sorted(r["attempt"] for r in responses.where(page_outcome() == ANSWERED).select("attempt").distinct().collect())
 
 
 def _log_failures(responses: DataFrame, run_id: str, place: str) -> None:
     """Name the first pages that brought no answer, and how many there are by status."""
-    failed = responses.where(F.col("status") != 200)
-    by_status = {row.status: row.pages for row in failed.groupBy("status").agg(F.count("*").alias("pages")).collect()}
-    first = [row.page for row in failed.where(F.col("status") != 204).orderBy("page").select("page").limit(20).collect()]
+    failed = responses.withColumn("outcome", page_outcome()).where(F.col("outcome") != ANSWERED)
+    by_status = {
+        row.status if row.outcome != MALFORMED else MALFORMED: row.pages
+        for row in failed.groupBy("status", "outcome").agg(F.count("*").alias("pages")).collect()
+    }
+    first = [row.page for row in failed.where(F.col("outcome") != EMPTY).orderBy("page").select("page").limit(20).collect()]
     logger.warning(
         "Pages without answer in run %s, by status: %s; failed, the first ones: %s; bodies in %s", run_id, by_status, first, place
     )

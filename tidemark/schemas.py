@@ -26,6 +26,9 @@ RESPONSE = T.StructType(
     ]
 )
 
+#: Pages whose body could not be read.
+MALFORMED = T.StructType([T.StructField("page", T.LongType()), T.StructField("body", T.StringType())])
+
 #: One item of a response body.
 ANSWER_DDL = "array<struct<uuid: string, id: string>>"
 

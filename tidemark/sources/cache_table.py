@@ -36,7 +36,7 @@ class CacheTable:
     def is_committed(self, run_id: str) -> bool:
         return self.table.is_committed(run_id)
 
-    def append(self, answers: DataFrame, run_id: str) -> int:
-        """Add a run's answers; without a ``page`` column it is read off ``partition_ref``."""
+    def append(self, answers: DataFrame, run_id: str, about: int | None = None) -> int:
+        """Add a run's answers, ``about`` so many; without a ``page`` column it is read off ``partition_ref``."""
         page = F.col("page") if "page" in answers.columns else F.regexp_extract("partition_ref", r"_([0-9]+)$", 1).try_cast("long")
-        return self.table.append(answers.select(*schemas.CACHE.names, page.cast("long").alias("page")), run_id)
+        return self.table.append(answers.select(*schemas.CACHE.names, page.cast("long").alias("page")), run_id, about)

@@ -31,10 +31,10 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def read_if_there(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The parquet table at ``path``, or no rows if nothing was ever written there. Writes nothing."""
+def read_if_there(spark: SparkSession, path: str, schema: T.StructType, format: str = "parquet") -> DataFrame:
+    """The table at ``path``, or no rows if nothing was ever written there. Writes nothing."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).format(format).load(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

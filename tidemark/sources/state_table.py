@@ -15,8 +15,8 @@ from tidemark.sources.versioned_table import VersionedTable
 class StateTable:
     """Fingerprints below ``path``, of which the last committed one of a key counts.
 
-    One run at a time may write: of two that began together the second to
-    commit gets an error and leaves the state as the first one made it.
+    One run at a time may write: of two that began together exactly one commits,
+    the other gets an error and leaves the state as the first one made it.
     """
 
     spark: SparkSession
@@ -42,6 +42,6 @@ class StateTable:
             return self.spark.createDataFrame([], schemas.state_schema(self.key_cols))
         return self.table.newest(latest).select(*self.key_cols, "sha2")
 
-    def upsert(self, batch: DataFrame, run_id: str) -> int:
-        """Add the batch's fingerprints, one row per key, and return the commit's version."""
-        return self.table.append(batch.select(*self.key_cols, "sha2"), run_id)
+    def upsert(self, batch: DataFrame, run_id: str, about: int | None = None) -> int:
+        """Add the batch's fingerprints, one row per key, ``about`` so many, and return the commit's version."""
+        return self.table.append(batch.select(*self.key_cols, "sha2"), run_id, about)

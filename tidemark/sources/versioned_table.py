@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Sequence
 from dataclasses import dataclass
 from hashlib import md5
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.sources.files import delete, names, publish_once, read_text
 from tidemark.sources.shared import read_if_there
 
 ROWS_PER_BUCKET = 1_000_000
 MOST_WRITES = 16
+KEPT_GENERATIONS = 2
 
 _COMMITS = T.StructType(
     [
@@ -30,19 +31,26 @@ _COMMITS = T.StructType(
 )
 
 
+def buckets_for(rows: int) -> int:
+    """Buckets for so many rows: a power of two, of at most ``ROWS_PER_BUCKET`` rows each on average."""
+    return 1 << (max(0, rows - 1) // ROWS_PER_BUCKET).bit_length()
+
+
 @dataclass(frozen=True)
 class VersionedTable:
     """Rows below ``path``, bucketed by ``key_cols``, each with the version that wrote it.
 
-    A commit adds rows to the files of the present generation and counts once
-    its entry in ``commits`` names the write; rows of writes that no entry
-    names are never read. Entries are named by version and never replaced, so
-    of two runs that began from one version the second fails to commit. When
-    the added rows outnumber the base, or after ``MOST_WRITES`` commits, the
-    next commit rewrites all into a new generation, with buckets by the
-    number of rows (as many as ``spark.sql.sources.bucketing.maxBuckets``
-    allows, unless ``buckets`` sets them). A run of k rows so writes k rows,
-    and its share of a rewrite. Joins on the keys do not shuffle the table.
+    Each write has a folder, a partition of the bucketed table. It counts once an
+    entry in ``commits`` names it; a commit's list prunes all other folders. Entries
+    are files named by version that appear in one step and are never replaced, so of
+    two runs that began from one version exactly one commits. When the added rows
+    outnumber the base, after ``MOST_WRITES`` commits, or when a write would fill the
+    buckets more than four times over, the next commit rewrites all into a new
+    generation, with buckets by the number of rows (as many as
+    ``spark.sql.sources.bucketing.maxBuckets`` allows, unless ``buckets`` sets them).
+    A run of k rows so writes k rows, and its share of a rewrite. Joins on the keys do
+    not shuffle the table. The files of the ``KEPT_GENERATIONS`` newest generations
+    stay, so that a reader may go on while one rewrite takes place.
     """
 
     spark: SparkSession
@@ -52,26 +60,30 @@ class VersionedTable:
     buckets: int | None = None
     newest_only: bool = False
 
+    def _log(self) -> DataFrame:
+        return read_if_there(self.spark, f"{self.path}/commits", _COMMITS, "json")
+
     def commits(self) -> list[Row]:
         """The commit log, one short row per run, oldest first."""
-        log = read_if_there(self.spark, f"{self.path}/commits", _COMMITS)
-        return log.orderBy("version").collect()
+        return self._log().orderBy("version").collect()
 
     def latest_commit(self) -> Row | None:
-        log = read_if_there(self.spark, f"{self.path}/commits", _COMMITS)
-        return next(iter(log.orderBy(F.desc("version")).limit(1).collect()), None)
+        entries = names(self.spark, f"{self.path}/commits")
+        return Row(**json.loads(read_text(self.spark, f"{self.path}/commits/{entries[-1]}"))) if entries else None
 
     def is_committed(self, run_id: str) -> bool:
-        log = read_if_there(self.spark, f"{self.path}/commits", _COMMITS)
-        return not log.where(F.col("run_id") == run_id).isEmpty()
+        return not self._log().where(F.col("run_id") == run_id).isEmpty()
 
     def rows(self, commit: Row | None = None) -> DataFrame:
-        """All committed rows with their ``version``."""
+        """All committed rows with their ``version``; the files of other writes are not looked at."""
         commit = commit or self.latest_commit()
         if commit is None:
             return self.spark.createDataFrame([], self._schema())
-        table = self.spark.table(self._declare(commit.generation, commit.buckets))
-        return table.where(F.col("_write").isin(list(commit.writes))).drop("_write")
+        name = self._declare(commit.generation, commit.buckets)
+        if commit.writes:
+            parts = " ".join(f"PARTITION (`_write` = '{write}')" for write in commit.writes)
+            self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {parts}")
+        return self.spark.table(name).where(F.col("_write").isin(list(commit.writes))).drop("_write")
 
     def newest(self, commit: Row | None = None) -> DataFrame:
         """The newest row of each key; where all come from one write, as they are."""
@@ -82,33 +94,60 @@ class VersionedTable:
             rows = rows.withColumn("_rank", F.row_number().over(last)).where(F.col("_rank") == 1).drop("_rank")
         return rows
 
-    def append(self, rows: DataFrame, run_id: str) -> int:
-        """Add ``rows`` and commit them; their number is counted as they are written."""
+    def append(self, rows: DataFrame, run_id: str, about: int | None = None) -> int:
+        """Add ``rows`` and commit them; their number is counted as they are written.
+
+        The buckets are sized by ``about`` how many rows there are; where that is not
+        given, the rows are staged beside the table to count them.
+        """
+        rows = rows.select(*self.columns)
+        staged = f"{self.path}/staged/{uuid.uuid4().hex}"
+        try:
+            if about is None and self.buckets is None:
+                counted = Observation()
+                rows.observe(counted, F.count("*").alias("rows")).write.parquet(staged)
+                rows, about = self.spark.read.schema(rows.schema).parquet(staged), counted.get["rows"]
+            return self._added(rows, run_id, about or 0)
+        finally:
+            delete(self.spark, staged)
+
+    def _added(self, rows: DataFrame, run_id: str, about: int) -> int:
         latest = self.latest_commit()
         version = latest.version + 1 if latest else 0
-        if latest and (len(latest.writes) >= MOST_WRITES or latest.rows > 2 * latest.base_rows):
-            latest = self._rewritten(latest)
+        outgrown = latest is not None and self._outgrown(latest, about)
+        if outgrown:
+            latest = self._rewritten(latest, about)
         generation = latest.generation if latest else uuid.uuid4().hex
-        buckets = latest.buckets if latest else self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = latest.buckets if latest else self._buckets(about)
         write = uuid.uuid4().hex
-        added = self._write(rows.select(*self.columns, F.lit(version).cast("long").alias("version")), generation, buckets, write)
+        added = self._write(rows.withColumn("version", F.lit(version).cast("long")), generation, buckets, write)
         if latest is None:
-            writes, base, total = [write], added, added
+            writes, base, total = [write] if added else [], added, added
         else:
             writes = [*latest.writes, write] if added else list(latest.writes)
             base, total = latest.base_rows, latest.rows + added
         self._commit(version, run_id, generation, buckets, writes, base, total)
+        if outgrown:
+            self._tidy()
         return version
 
-    def _rewritten(self, latest: Row) -> Row:
-        """The rows that are read, in a generation of their own; not committed yet."""
+    def _buckets(self, rows: int) -> int:
+        most = int(self.spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+        return self.buckets or min(most, buckets_for(rows))
+
+    def _outgrown(self, latest: Row, about: int) -> bool:
+        if len(latest.writes) >= MOST_WRITES or latest.rows > 2 * latest.base_rows:
+            return True
+        return self.buckets is None and self._buckets(latest.rows + about) > 4 * latest.buckets
+
+    def _rewritten(self, latest: Row, about: int) -> Row:
+        """The rows that are read, in a generation of their own with room for more; not committed yet."""
         rows = self.newest(latest) if self.newest_only else self.rows(latest)
         count = rows.count() if self.newest_only else latest.rows
-        most = int(self.spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
-        buckets = self.buckets or min(most, max(1, 1 << (max(0, count - 1) // ROWS_PER_BUCKET).bit_length()))
+        buckets = self._buckets(count + about)
         generation, write = uuid.uuid4().hex, uuid.uuid4().hex
         self._write(rows, generation, buckets, write)
-        return Row(generation=generation, buckets=buckets, writes=[write], base_rows=count, rows=count)
+        return Row(generation=generation, buckets=buckets, writes=[write] if count else [], base_rows=count, rows=count)
 
     def _write(self, rows: DataFrame, generation: str, buckets: int, write: str) -> int:
         counted = Observation()
@@ -122,27 +161,38 @@ class VersionedTable:
         return counted.get["rows"]
 
     def _commit(self, version: int, run_id: str, *values) -> None:
-        row = self.spark.createDataFrame([(version, run_id, *values)], _COMMITS)
-        try:
-            row.coalesce(1).write.mode("errorifexists").parquet(f"{self.path}/commits/entry={version:012d}")
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_ALREADY_EXISTS":
-                raise ValueError(f"another run has committed version {version} of {self.path}") from error
-            raise
+        entry = json.dumps(dict(zip(_COMMITS.names, (version, run_id, *values))))
+        if not publish_once(self.spark, f"{self.path}/commits/{version:012d}.json", entry):
+            raise ValueError(f"another run has committed version {version} of {self.path}")
+
+    def _tidy(self) -> None:
+        """Delete the files of generations that newer ones have replaced.
+
+        Only those that a commit has named: another one may be a rewrite under way.
+        """
+        named = list(dict.fromkeys(c.generation for c in self.commits()))
+        old = set(named[:-KEPT_GENERATIONS])
+        for generation in names(self.spark, f"{self.path}/rows"):
+            if generation in old:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self._name(generation)}")
+                delete(self.spark, f"{self.path}/rows/{generation}")
 
     def _schema(self) -> T.StructType:
         kinds = dict.fromkeys(self.columns, T.StringType()) | {"page": T.LongType(), "version": T.LongType()}
         return T.StructType([T.StructField(c, kinds[c]) for c in (*self.columns, "version")])
 
+    def _name(self, generation: str) -> str:
+        return f"tidemark_{md5(self.path.encode()).hexdigest()[:16]}_{generation}"
+
     def _declare(self, generation: str, buckets: int) -> str:
         """Name of the catalog entry over a generation's folder, made if missing."""
-        name = f"tidemark_{md5(self.path.encode()).hexdigest()[:16]}_{generation}"
+        name = self._name(generation)
         if not self.spark.catalog.tableExists(name):
             keys = ", ".join(f"`{c}`" for c in self.key_cols)
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self._schema())
             place = f"{self.path}/rows/{generation}".replace("\\", "\\\\").replace("'", "\\'")
             self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {name} ({columns}, `_write` STRING) USING parquet"
+                f"CREATE TABLE IF NOT EXISTS {name} ({columns}, `_write` STRING) USING parquet PARTITIONED BY (`_write`)"
                 f" CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {buckets} BUCKETS LOCATION '{place}'"
             )
         return name
@@ -150,4 +200,4 @@ class VersionedTable:
     def forget(self) -> None:
         """Drop the catalog's entries of this table; its files stay."""
         for generation in {c.generation for c in self.commits()}:
-            self.spark.sql(f"DROP TABLE IF EXISTS tidemark_{md5(self.path.encode()).hexdigest()[:16]}_{generation}")
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._name(generation)}")

@@ -256,3 +256,39 @@ ORACLE["error_report"] = """select * from (values ('run', 'status', 'error'),
 ORACLE["incremental_output"] = sql(f"""select {uuid("answer || '||' || code")} as uuid, id, code, group_id from output2""")
 ORACLE["cleanup_pipeline"] = ORACLE["cleanup"]
 ORACLE["incremental_pipeline"] = ORACLE["incremental_run"]
+
+# The service that fails on even pages and on each fifth one, then a sound one.
+GOOD = "page % 2 = 1 and page % 5 <> 0"
+CTES["asked1"] = pages("unseen")
+CTES["troubled1"] = f"select uuid, id, '2000-01-01_' || page as partition_ref from asked1 join service using (id) where {GOOD}"
+CTES["unseen2"] = "select id from unseen where id not in (select id from troubled1 )"
+CTES["sound2"] = f"""select uuid, id, '2000-01-01_' || page as partition_ref from ({pages('unseen2')}) join service using (id)"""
+
+
+def _enriched(answers: str) -> str:
+    return sql(
+        f"""select b.*, a.uuid, a.partition_ref, if(a.uuid is null, 'skipped', 'save') as state
+        from cleaned b left join (select * from small_cache union all {answers}) a using (id)"""
+    )
+
+
+ORACLE["lookup_malformed"] = _enriched("select * from troubled1")
+ORACLE["lookup_malformed_retry"] = _enriched("select * from troubled1 union all select * from sound2")
+ORACLE["lookup_report"] = sql(
+    f"""select unnest([struct_pack(name := 'waves', value := (pages + 3) // 4), struct_pack(name := 'pages', value := pages),
+        struct_pack(name := 'answered', value := answered), struct_pack(name := 'empty', value := good - answered),
+        struct_pack(name := 'failed', value := failed), struct_pack(name := 'malformed', value := malformed),
+        struct_pack(name := 'items_without_id', value := 0)], recursive := true)
+        from (select count(*) as pages, count(*) filter ({GOOD}) as good, count(*) filter ({GOOD} and known) as answered,
+        count(*) filter (page % 2 = 1 and page % 5 = 0) as failed, count(*) filter (page % 2 = 0) as malformed
+        from (select page, bool_or(s.id is not null) as known from asked1 left join service s using (id) group by page))"""
+)
+ORACLE["malformed_pages"] = sql("select distinct page, '<html>busy</html>' as body from asked1 where page % 2 = 0")
+ORACLE["page_waves"] = sql(
+    f"""select (page - 1) // 4 as wave, count(distinct page) as pages, count(*) as ids
+        from ({pages('order_ids')}) group by 1"""
+)
+ORACLE["resumed_run"] = ORACLE["run_report"]
+ORACLE["resumed_output"] = ORACLE["incremental_run"]
+ORACLE["dedup_latest_maps"] = """select user_id, cast(ts as date) as day, event_type as kind, props from events
+    qualify row_number() over (partition by user_id order by cast(ts as date) desc, event_type desc, props desc) = 1"""

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark import RunConfig, RunResult, run_incremental
 from tidemark import functions as fn
 from tidemark import operators as op
-from tidemark import plans, sources
+from tidemark import plans, schemas, sources
 from workload import tables as t
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,9 +48,9 @@ def latest_partition(spark, sf_dir):
 
 @query
 def latest_partition_scan(spark, sf_dir):
-    path = sources.new_folder(spark, "events")
-    t.event_days(spark, sf_dir).write.partitionBy("year", "month", "day").parquet(path)
-    with t.day_table(spark, t.event_days(spark, sf_dir)) as name:
+    events = t.event_days(spark, sf_dir)
+    path = t.day_files(spark, events)
+    with t.day_table(spark, events, path) as name:
         listing = sources.list_partitions(spark, name)
     newest, _, _ = sources.latest_partition_scan(spark.read.parquet(path), SUNDAY, until=SUNDAY, partitions=listing)
     return newest
@@ -81,6 +81,16 @@ def dedup_discarded(spark, sf_dir):
     return op.dedup_discarded(t.raw(spark, sf_dir), t.KEYS, t.ORDER)
 
 
+@query
+def dedup_latest_maps(spark, sf_dir):
+    """Ties on a map column: equal maps may hold their entries in any order."""
+    kind, props = (F.lit("kind"), F.col("event_type")), (F.lit("props"), F.col("props"))
+    either = F.when(F.col("event_id") % 2 == 0, F.create_map(*kind, *props)).otherwise(F.create_map(*props, *kind))
+    day = F.col("ts").cast("date").alias("day")
+    latest = op.dedup_latest(t.read(spark, sf_dir, "events").select("user_id", day, either.alias("event")), ["user_id"], ["day"])
+    return latest.select("user_id", "day", F.col("event")["kind"].alias("kind"), F.col("event")["props"].alias("props"))
+
+
 @query
 def require_description(spark, sf_dir):
     return op.require_description(t.raw(spark, sf_dir))
@@ -280,6 +290,52 @@ def lookup_retry(spark, sf_dir):
     return op.enrich_tagged(batch, answers)
 
 
+def _troubled(spark, sf_dir, *later, **options):
+    """Answers of a run that meets a troubled service, and is repeated under its id with each of the services in ``later``."""
+    folder = sources.new_folder(spark, "lookup")
+    cache = sources.CacheTable(spark, f"{folder}/cache")
+    cache.append(t.small_cache(spark, sf_dir), "1999-12-31")
+    batch = t.staged_rows(spark, sf_dir)
+    ask = op.ask_table(t.service(spark, sf_dir))
+    for service in (t.troubled(ask), *(s(ask) for s in later)):
+        answers = plans.lookup_enrich(batch, cache, service, "2000-01-01", folder, **options)
+    return op.enrich_tagged(batch, answers), folder
+
+
+@query
+def lookup_malformed(spark, sf_dir):
+    """Pages whose body cannot be read, or that fail, leave their ids unmatched; the others' answers count."""
+    return _troubled(spark, sf_dir)[0]
+
+
+@query
+def lookup_malformed_retry(spark, sf_dir):
+    """The run repeated under its id with a sound service: what is missing is asked for, and nothing else."""
+    return _troubled(spark, sf_dir, lambda ask: ask)[0]
+
+
+@query
+def lookup_report(spark, sf_dir):
+    """What became of the pages, sent in waves of four."""
+    report = plans.LookupReport()
+    _troubled(spark, sf_dir, pages_per_wave=4, report=report)
+    return report.to_df(spark)
+
+
+@query
+def malformed_pages(spark, sf_dir):
+    """The bodies that could not be read, as a run keeps them apart."""
+    _, folder = _troubled(spark, sf_dir)
+    return sources.read_if_there(spark, f"{folder}/malformed", schemas.MALFORMED).select(*schemas.MALFORMED.names)
+
+
+@query
+def page_waves(spark, sf_dir):
+    ids = t.read(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("id"))
+    waves = op.page_waves(op.lookup_pages(op.assign_pages(ids)), 4)
+    return waves.groupBy("wave").agg(F.count("*").alias("pages"), F.sum(F.size("ids")).alias("ids"))
+
+
 @query
 def enrich_tagged(spark, sf_dir):
     return op.enrich_tagged(t.staged_rows(spark, sf_dir), t.cache(spark, sf_dir))
@@ -337,19 +393,30 @@ def publish_output(spark, sf_dir):
 
 
 def _runs(
-    spark: SparkSession, sf_dir: str, *runs: tuple[dt.date, str | None], **options
+    spark: SparkSession, sf_dir: str, *runs: tuple[dt.date, str | None], interrupted: bool = False, **options
 ) -> tuple[RunResult, sources.StateTable]:
-    """Runs one after another over the day-partitioned raw rows; the last one's result."""
+    """Runs one after another over the day-partitioned raw rows; the last one's result.
+
+    ``interrupted``: the last one fails in the lookup and is repeated when the raw table is gone.
+    """
     config = RunConfig(
         sources.new_folder(spark, "run"), t.SECRET, t.KEYS, t.ORDER, t.FINGERPRINT, until_run_date=True, **options
     )
     ask = op.ask_table(t.service(spark, sf_dir))
     with t.day_table(spark, t.raw_days(spark, sf_dir)) as table:
         for run_date, run_id in runs:
-            result = run_incremental(spark, config, table, ask, run_date, run_id, raise_errors=False)
+            broken = interrupted and run_id == runs[-1][1]
+            result = run_incremental(spark, config, table, _broken if broken else ask, run_date, run_id, raise_errors=False)
+    if interrupted:
+        result = run_incremental(spark, config, table, ask, *runs[-1], raise_errors=False)
     return result, sources.StateTable(spark, f"{config.root}/state", t.KEYS)
 
 
+def _broken(pages: DataFrame) -> DataFrame:
+    lost = F.raise_error(F.lit("the service is gone"))
+    return pages.select("page", lost.cast("int").alias("status"), F.lit(None).cast("string").alias("body"))
+
+
 FIRST = (t.EARLIER_DAY, "2024-05-09")
 SECOND = (t.THIS_DAY, "2024-05-10")
 AGAIN = (t.THIS_DAY, None)  # the day's second run
@@ -371,6 +438,19 @@ def run_report(spark, sf_dir):
     return _report(spark, result)
 
 
+@query
+def resumed_run(spark, sf_dir):
+    """A run that failed in the lookup goes on there: its report, the raw table having gone."""
+    result, _ = _runs(spark, sf_dir, FIRST, SECOND, interrupted=True)
+    return _report(spark, result)
+
+
+@query
+def resumed_output(spark, sf_dir):
+    result, _ = _runs(spark, sf_dir, FIRST, SECOND, interrupted=True)
+    return result.output
+
+
 @query
 def incremental_rerun(spark, sf_dir):
     _, state = _runs(spark, sf_dir, FIRST, SECOND, AGAIN)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import keyed_uuid, row_fingerprint
+from tidemark.operators.lookup import Ask
 from tidemark.plans import cleanup
 from tidemark.sources import new_folder
 
@@ -90,6 +91,20 @@ def service(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def troubled(ask: Ask) -> Ask:
+    """The same service behind a proxy: even pages get a body of another kind, each fifth one no answer."""
+    page = F.col("page")
+
+    def asked(pages: DataFrame) -> DataFrame:
+        return ask(pages).select(
+            "page",
+            F.when(page % 2 == 0, 200).when(page % 5 == 0, 503).otherwise(F.col("status")).alias("status"),
+            F.when(page % 2 == 0, "<html>busy</html>").when(page % 5 != 0, F.col("body")).alias("body"),
+        )
+
+    return asked
+
+
 def cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All the lookup knows, as answered by an earlier run."""
     return service(spark, sf_dir).select("uuid", "id", F.lit("1999-12-31_1").alias("partition_ref"))
@@ -127,12 +142,21 @@ def event_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@contextmanager
-def day_table(spark: SparkSession, rows: DataFrame) -> Iterator[str]:
-    """The rows as a catalog table partitioned by year, month and day; its name goes at the end, its files stay."""
+def day_files(spark: SparkSession, rows: DataFrame) -> str:
+    """The folder of the rows' files, partitioned by year, month and day."""
     path = new_folder(spark, "days")
-    name = path.rsplit("/", 1)[1].replace("-", "_")
     rows.write.partitionBy("year", "month", "day").parquet(path)
+    return path
+
+
+@contextmanager
+def day_table(spark: SparkSession, rows: DataFrame, path: str | None = None) -> Iterator[str]:
+    """The rows as a catalog table partitioned by year, month and day; its name goes at the end, its files stay.
+
+    ``path`` names the files if they are written already.
+    """
+    path = path or day_files(spark, rows)
+    name = path.rsplit("/", 1)[1].replace("-", "_")
     place = path.replace("'", "\\'")
     columns = rows.drop("year", "month", "day").schema.toDDL()
     spark.sql(
