@@ -31,7 +31,7 @@ def stages(spark):
 
 def test_registered():
     assert {"pipeline", *QUERIES} <= driver.queries().keys()
-    assert len(QUERIES) == 10 and len(corpus_pipeline.STAGES) == 5
+    assert len(QUERIES) == 13 and len(corpus_pipeline.STAGES) == 5
 
 
 def test_stages_keep_columns_and_clean_documents(spark, stages):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import os
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -138,6 +140,34 @@ class Recent(dict):
         return value
 
 
+def lean(function: Callable[..., Iterator]) -> Callable[..., Iterator]:
+    """``function``, a generator run by a Python worker, which hands unused memory back to the system at its end.
+
+    Workers are kept for later tasks; without this an idle one goes on holding what it needed most.
+    """
+
+    @functools.wraps(function)
+    def run(batches: Iterator) -> Iterator:
+        yield from function(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the GNU library has it
+        if trim is not None:
+            trim(0)
+
+    return run
+
+
+def few_bytes(batches: Iterator[pa.RecordBatch], column: int, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in slices of about ``most`` bytes of the texts in ``column``; one row at least."""
+    for batch in batches:
+        _, offsets = text_bytes(batch.column(column))
+        first = 0
+        while first < batch.num_rows:
+            last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + most, "right")) - 1)
+            yield batch.slice(first, last - first)
+            first = last
+
+
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all texts, one after the other, and where each begins and ends; null is empty."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")

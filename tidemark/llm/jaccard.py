@@ -3,7 +3,9 @@
 The 5-word shingles of a text are a set of 64-bit hashes. Two sets of a Jaccard
 similarity of at least 0.75 share one of the first quarter of their hashes, in any
 order common to all, so sets meet in lists, one for each hash of such a quarter. The
-order puts hashes known to be frequent last. What meets is compared by size, then by
+order puts hashes known to be frequent last. The quarters travel as packed arrays
+and become lists in numpy, so Spark moves rows of some kilobytes and not one for each
+hash. What meets is compared by size, then by
 parity bitmaps, whose differing bits bound the overlap from above, and what is left
 by the sets themselves. This is done twice:
 
@@ -22,20 +24,29 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import most_common, written
+from .common import few_bytes, lean, most_common, written
 from .components import components
 from .shingles import shingle_sets
 from .word_hashes import mix
 
 #: Of so many texts one is looked at for frequent hashes; frequent is what so many of those have.
 ONE_OF, FREQUENT = 16, 16
-#: Frequent hashes that go to every task, 16 bytes each; others stand in their usual place in the order.
+#: Frequent hashes that go to every task, 16 bytes each; others stand in their usual place in the order. Their lists
+#: are split into blocks before they travel, others' when their size is known: these have at most a 500,000th of all entries.
 MOST_FREQUENT = 500_000
 #: Sets in a block of a tile; sets up to which a list is taken as pairs.
 BLOCK, SHORT = 2048, 48
+#: Entries of lists that a task holds before it packs them, and that it turns into lists at once on average.
+PACKED, GATHERED = 1 << 19, 1 << 18
+#: Parts that the entries of one such task come from.
+PARTS = 16
+
+#: A set's place in a list: the hash, the blocks that the list is split into and the set's own one.
+_HEAD = np.dtype([("h", "u8"), ("blocks", "i4"), ("block", "i4")])
+_ENTRY = np.dtype([*_HEAD.descr, ("key", "i8"), ("n", "i8")])
 
 
 def _first() -> Column:
@@ -104,12 +115,6 @@ def _shared(a: str, b: str) -> Column:
     return F.arrow_udf(size, "long")(a, b)
 
 
-def _few_rows(batches: Iterator[pa.RecordBatch], most: int = 256) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, most):
-            yield batch.slice(at, most)
-
-
 def _near_sizes(a: Column, b: Column) -> Column:
     return (4 * F.least(a, b)) >= (3 * F.greatest(a, b))
 
@@ -117,8 +122,9 @@ def _near_sizes(a: Column, b: Column) -> Column:
 def _frequent(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Hashes found in many texts, sorted, and estimates in how many. Only the order depends on it, no result."""
 
+    @lean
     def every(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _few_rows(batches):
+        for batch in few_bytes(batches, 0):
             sets = list(shingle_sets(batch.column(0)))
             flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64))], ["h"])
@@ -140,13 +146,13 @@ def _key(codes: np.ndarray) -> np.int64:
 def _sets(texts: DataFrame) -> DataFrame:
     """A row for each of ``texts`` (id, place, text), written: id, place, row, n, key, map, heads.
 
-    That is the set's size, key and bitmap and its first quarter; each of these has
-    the hash and, for frequent ones, the number of blocks and the set's own block.
+    That is the set's size, key and bitmap and its first quarter, packed; each of these
+    has the hash and, for frequent ones, the number of blocks and the set's own block.
     """
     frequent, counts = _frequent(texts)
     sent = texts.sparkSession.sparkContext.broadcast((frequent, np.maximum(1, counts // BLOCK)))
 
-    def head(codes: np.ndarray, key: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def head(codes: np.ndarray, key: int) -> bytes:
         frequent, blocks = sent.value
         size = len(codes)
         wanted = size - (3 * size + 3) // 4 + 1 if size else 0
@@ -156,37 +162,102 @@ def _sets(texts: DataFrame) -> DataFrame:
             often = frequent[at] == codes
             count[often] = blocks[at[often]]
         order = np.concatenate([np.flatnonzero(~often), np.flatnonzero(often)])[:wanted]
-        return codes[order].view(np.int64), count[order], (int(key) >> 8) % count[order]
+        out = np.empty(len(order), _HEAD)
+        out["h"], out["blocks"], out["block"] = codes[order], count[order], (int(key) >> 8) % count[order]
+        return out.tobytes()
 
+    @lean
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _few_rows(batches):
-            sets = list(shingle_sets(batch.column(2)))
-            keys = [_key(codes) for codes in sets]
-            heads = [head(codes, key) for codes, key in zip(sets, keys)]
-            ends = np.concatenate([[0], np.cumsum([len(h) for h, _, _ in heads])])
-            flat = [np.concatenate([x[k] for x in heads] or [np.zeros(0, np.int64)]) for k in range(3)]
-            items = pa.StructArray.from_arrays(
-                [pa.array(flat[0], pa.int64()), pa.array(flat[1], pa.int32()), pa.array(flat[2], pa.int32())],
-                ["h", "blocks", "block"],
-            )
+        for batch in few_bytes(batches, 2):
+            sizes, keys, maps, heads = [], [], [], []
+            for codes in shingle_sets(batch.column(2)):  # a set goes when its bitmap and quarter are made
+                key = _key(codes)
+                sizes.append(len(codes))
+                keys.append(key)
+                maps.append(bitmap(codes))
+                heads.append(head(codes, key))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     batch.column(1),
-                    pa.array([len(x) for x in sets], pa.int64()),
+                    pa.array(sizes, pa.int64()),
                     pa.array(keys, pa.int64()),
-                    pa.array([bitmap(x) for x in sets], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), items),
+                    pa.array(maps, pa.binary()),
+                    pa.array(heads, pa.binary()),
                 ],
                 ["id", "place", "n", "key", "map", "heads"],
             )
 
-    table = texts.mapInArrow(
-        of, "id long, place long, n long, key long, map binary, heads array<struct<h long, blocks int, block int>>"
-    )
+    table = texts.mapInArrow(of, "id long, place long, n long, key long, map binary, heads binary")
     return written(table.withColumn("row", F.monotonically_increasing_id()), "jaccard-sets")
 
 
+def _lists(sets: DataFrame, entries: int) -> DataFrame:
+    """(h, blocks, block, key, n, pivot, pivot_n), written: the sets (key, n, heads) of each list that has several.
+
+    ``pivot`` is the least key of the list's part that met in one task. ``entries``
+    is the number of all entries. They are packed by parts of the hashes, several to a
+    task, which sorts them. Lists of frequent hashes come in blocks; another list that
+    turns out to be long is split here.
+    """
+    tasks = max(1, entries // GATHERED)
+    parts = np.uint64(tasks * PARTS)
+
+    def packed(held: list[np.ndarray]) -> pa.RecordBatch:
+        rows = np.concatenate(held)
+        part = mix(rows["h"] + rows["block"].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) % parts
+        order = np.argsort(part, kind="stable")
+        part, cuts = np.unique(part[order], return_index=True)
+        data = rows[order]
+        blobs = [x.tobytes() for x in np.split(data, cuts[1:])]
+        return pa.RecordBatch.from_arrays([pa.array(part.astype(np.int64)), pa.array(blobs, pa.binary())], ["part", "rows"])
+
+    @lean
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
+        for batch in batches:
+            for key, n, heads in zip(*(c.to_pylist() for c in batch.columns)):
+                own = np.frombuffer(heads, _HEAD)
+                rows = np.empty(len(own), _ENTRY)
+                for name in _HEAD.names:
+                    rows[name] = own[name]
+                rows["key"], rows["n"] = key, n
+                held.append(rows)
+                count += len(rows)
+                if count >= PACKED:
+                    yield packed(held)
+                    held, count = [], 0
+        if count:
+            yield packed(held)
+
+    @lean
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.frombuffer(x, _ENTRY) for batch in batches for x in batch.column(1).to_pylist()]
+        if not held:
+            return
+        rows = np.concatenate(held)
+        del held
+        rows = rows[np.lexsort((rows["key"], rows["block"], rows["h"]))]
+        new = np.ones(len(rows), bool)
+        new[1:] = (rows["h"][1:] != rows["h"][:-1]) | (rows["block"][1:] != rows["block"][:-1])
+        first = np.flatnonzero(new)
+        size = np.diff(np.append(first, len(rows)))
+        pivot = np.repeat(first, size)
+        size = np.repeat(size, size)
+        keep = (size > 1) | (rows["blocks"] > 1)
+        rows, pivot, size = rows[keep], rows[pivot[keep]], size[keep]
+        long = (rows["blocks"] == 1) & (size > BLOCK)
+        blocks = np.where(long, -(-size // BLOCK), rows["blocks"]).astype(np.int32)
+        block = np.where(long, (rows["key"] >> 8) % blocks, rows["block"]).astype(np.int32)
+        columns = [rows["h"].view(np.int64), blocks, block, rows["key"], rows["n"], pivot["key"], pivot["n"]]
+        for at in range(0, len(rows), 1 << 16):
+            part = [pa.array(np.ascontiguousarray(c[at : at + (1 << 16)])) for c in columns]
+            yield pa.RecordBatch.from_arrays(part, ["h", "blocks", "block", "key", "n", "pivot", "pivot_n"])
+
+    rows = sets.select("key", "n", "heads").mapInArrow(pack, "part long, rows binary").repartition(tasks, "part")
+    return written(rows.mapInArrow(gather, "h long, blocks int, block int, key long, n long, pivot long, pivot_n long"), "jaccard-lists")
+
+
 def _sparse(few: DataFrame, most: int = 1_000_000) -> DataFrame:
     """``few``, a written table of some 16 bytes a row, to be broadcast if it has at most ``most`` rows."""
     return F.broadcast(few) if few.limit(most + 1).count() <= most else few
@@ -198,8 +269,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFra
     wanted = _sparse(written(classes.join(nodes, "key").select("place"), "jaccard-wanted"))
     rows = texts.join(wanted, "place").select("text")
 
+    @lean
     def codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _few_rows(batches):
+        for batch in few_bytes(batches, 0):
             sets = list(shingle_sets(batch.column(0)))
             keys = pa.array([_key(x) for x in sets], pa.int64())
             yield pa.RecordBatch.from_arrays([keys, pa.array([x.tobytes() for x in sets], pa.binary())], ["key", "codes"])
@@ -279,14 +351,18 @@ def _settled(pairs: DataFrame, joined: DataFrame, texts: DataFrame, classes: Dat
         for side in ("a", "b"):
             own = named.select(F.col("node").alias(side), F.col("component").alias(f"c{side}"))
             pairs = pairs.drop(f"c{side}").join(own, side, "left").withColumn(f"c{side}", F.coalesce(f"c{side}", side))
-        between = Window.partitionBy(F.least("ca", "cb"), F.greatest("ca", "cb")).orderBy("bits", "a", "b")
-        open_pairs = written(pairs.where("ca != cb").withColumn("nth", F.row_number().over(between)), "jaccard-open")
+        open_pairs = written(pairs.where("ca != cb"), "jaccard-open")
         if open_pairs.isEmpty():
             break
-        found = _verified((open_pairs if every else open_pairs.where("nth = 1")).select("a", "b"), texts, classes)
+        if every:
+            first = open_pairs.select("a", "b")
+        else:
+            between = open_pairs.groupBy(F.least("ca", "cb"), F.greatest("ca", "cb"))
+            first = written(between.agg(F.min(F.struct("bits", "a", "b")).alias("p")).select("p.a", "p.b"), "jaccard-first")
+        found = _verified(first, texts, classes)
         if not found.isEmpty():
             joined = written(components(found, joined), "jaccard-components")
-        pairs = open_pairs.where("nth > 1").drop("nth")
+        pairs = open_pairs.join(first, ["a", "b"], "left_anti")
     return joined
 
 
@@ -316,6 +392,7 @@ def _tiles(rows: DataFrame) -> DataFrame:
 
     tile = ["h", "band", "i", "j"]
 
+    @lean
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _groups_of(batches, tile):
             if rows.num_rows < 2:
@@ -346,19 +423,12 @@ def _linked(texts: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     by_key = written(by_key, "jaccard-keys")
     one_each = some.join(_sparse(by_key.select("row")), "row")
     classes = written(one_each.select("key", "n", "map", "place"), "jaccard-classes")
-    heads = one_each.select("key", "n", F.explode("heads").alias("e")).select("e.h", "e.blocks", "e.block", "key", "n")
-    own = Window.partitionBy("h", "block")
-    shared = written(
-        heads.withColumn("pivot", F.min(F.struct("key", "n")).over(own))
-        .withColumn("top", F.max("key").over(own))
-        .where((F.col("pivot.key") < F.col("top")) | (F.col("blocks") > 1))
-        .drop("top"),
-        "jaccard-lists",
-    )
-    pivots = shared.where("blocks > 1").select("h", "pivot").distinct()
-    across = pivots.groupBy("h").agg(F.min("pivot").alias("first")).join(pivots, "h")
-    stars = shared.select(F.col("pivot.key").alias("a"), F.col("key").alias("b"), F.col("pivot.n").alias("na"), F.col("n").alias("nb")).unionByName(
-        across.select(F.col("first.key").alias("a"), F.col("pivot.key").alias("b"), F.col("first.n").alias("na"), F.col("pivot.n").alias("nb"))
+    entries = by_key.agg(F.sum(F.col("n") - F.floor((3 * F.col("n") + 3) / 4) + 1)).first()[0] or 0
+    shared = _lists(one_each, entries)
+    pivots = shared.where("blocks > 1").select("h", "pivot", "pivot_n").distinct()
+    across = pivots.groupBy("h").agg(F.min(F.struct("pivot", "pivot_n")).alias("first")).join(pivots, "h")
+    stars = shared.select(F.col("pivot").alias("a"), F.col("key").alias("b"), F.col("pivot_n").alias("na"), F.col("n").alias("nb")).unionByName(
+        across.select(F.col("first.pivot").alias("a"), F.col("pivot").alias("b"), F.col("first.pivot_n").alias("na"), F.col("pivot_n").alias("nb"))
     )
     stars = stars.where((F.col("a") != F.col("b")) & _near_sizes(F.col("na"), F.col("nb"))).select("a", "b").distinct()
     best = _promising(stars, classes).groupBy("b").agg(F.min_by("a", F.struct("bits", "a")).alias("a"))

@@ -189,5 +189,5 @@ def with_verdicts(docs: DataFrame, text_col: str = "text", least: float = 0.5) -
 
 def keep_good(docs: DataFrame, text_col: str = "text", least: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that are kept, with the columns they came with."""
-    only = docs.select(text_col, F.struct(*docs.columns).alias("_row"))
-    return with_verdicts(only, text_col, least).where("kept").select("_row.*")
+    only = docs.select(F.col(f"`{text_col}`").alias("text"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    return with_verdicts(only, "text", least).where("kept").select("row.*")
