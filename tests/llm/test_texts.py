@@ -138,6 +138,66 @@ def test_em_learns_which_rules_to_trust():
     assert quality_rules.fit({}, 2)[1][0].keys() == {"b", "-", "g"}
 
 
+def em_by_documents(votes, iterations=60, strength=0.01):
+    """The model fitted document by document, in numpy: the chance of each to be good."""
+    x = np.array([["b-g".index(v) for v in row] for row in votes])
+    bad = (x == 0).sum(axis=1)
+    belief = np.where(bad == 0, 0.97, np.where(bad == 1, 0.8, 0.05))
+    extra = strength * len(x)
+    for _ in range(iterations):
+        log = np.full(len(x), math.log((belief.sum() + 1) / ((1 - belief).sum() + 1)))
+        for rule in x.T:
+            good = np.array([belief[rule == v].sum() for v in range(3)]) + extra * np.array([0.05, 0.35, 0.6])
+            poor = np.array([(1 - belief)[rule == v].sum() for v in range(3)]) + extra * np.array([0.4, 0.3, 0.3])
+            log += np.log(good / (belief.sum() + extra) / (poor / ((1 - belief).sum() + extra)))[rule]
+        belief = 1 / (1 + np.exp(-log))
+    return belief
+
+
+def test_posterior_is_that_of_em_over_documents(spark):
+    docs = spark.read.parquet(str(TESTDATA / "sf0.01" / "documents.parquet"))
+    counts = docs.select("doc_id", quality_rules.text_counts(F.col("text")).alias("c"))
+    rows = counts.select("doc_id", F.concat(*quality_rules.votes(F.col("c")).values()).alias("votes")).orderBy("doc_id").collect()
+    got = {r["id"]: r["p_quality"] for r in quality_rules.verdicts(docs).collect()}
+    expected = em_by_documents([r["votes"] for r in rows])
+    assert [got[r["doc_id"]] for r in rows] == pytest.approx(expected.tolist(), abs=1e-9)
+
+
+def test_verdicts_weigh_votes_on_a_given_table(spark):
+    """Of sf0.01: bad votes that are overruled, and documents rejected for what several rules leave open."""
+    sf = TESTDATA / "sf0.01"
+    docs = spark.read.parquet(str(sf / "documents.parquet"))
+    rows = quality_rules.with_verdicts(docs.withColumn("votes", F.concat(*quality_rules.votes(quality_rules.text_counts(F.col("text"))).values()))).collect()
+    passed = [r for r in rows if not r["base_failed"]]
+    overruled = [r for r in passed if r["kept"] and "b" in r["votes"]]
+    assert len(overruled) >= 20
+    assert any(not r["kept"] and "b" not in r["votes"] for r in passed) or len({r["p_quality"] for r in passed if "b" not in r["votes"]}) > 3
+    quality = {r["doc_id"]: r["quality"] for r in spark.read.parquet(str(sf / "labels.parquet")).collect()}
+    clean = [r["kept"] for r in passed if quality.get(r["doc_id"]) == 1]
+    junk = [r["kept"] for r in passed if quality.get(r["doc_id"]) == 0]
+    assert sum(clean) >= 0.98 * len(clean) and sum(junk) <= 0.1 * len(junk) and junk
+
+
+def test_an_unreliable_rule_is_overruled():
+    """The last rule says bad at random: its vote alone does not reject, two others that agree do."""
+    rng = random.Random(2)
+    patterns = Counter()
+    for _ in range(3000):
+        good = rng.random() < 0.85
+        votes = [rng.choices("b-g", (0.02, 0.1, 0.88) if good else (0.8, 0.1, 0.1))[0] for _ in range(4)]
+        patterns["".join([*votes, rng.choice("bg")])] += 1
+    odds, ratios = quality_rules.fit(patterns, 5)
+    chance = lambda p: odds + sum(r[v] for r, v in zip(ratios, p))
+    assert chance("ggggb") > 0 and chance("bggg-") > 0 > chance("bbbgg") and abs(ratios[4]["b"]) < 0.3
+    assert chance("----b") < chance("gggg-")
+
+
+def test_rules_take_any_column_names(spark):
+    docs = spark.createDataFrame([(1, "The end. " * 40, 2)], "`doc.id` long, `a.b` string, counts int")
+    assert quality_rules.keep_good(docs, "a.b").columns == docs.columns
+    assert quality_rules.verdicts(docs, "doc.id", "a.b").first()["n_words"] == 80
+
+
 # mixing
 
 

@@ -5,6 +5,7 @@ from math import floor, isfinite
 
 import duckdb
 import numpy as np
+import pytest
 
 from tests.conftest import TESTDATA
 from tidemark.llm import vafile
@@ -39,6 +40,44 @@ def test_against_brute_force(spark, monkeypatch):
     assert Counter(map(tuple, vafile.top_k(table(spark, rows).repartition(4), 5, every=10).collect())) == expected
 
 
+def test_wide_components_take_part(spark, monkeypatch):
+    """One or many vectors of large components, as queries and as candidates, beside usual ones."""
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in rng.standard_normal(4)]) for i in range(1, 60)]
+    rows += [(0, [0.5, -0.25, 1.0, 2.0]), (70, [70000.0, 1.0, -3.0, 0.5]), (71, [-70000.0, 2.0, 2.0, 2.0]), (80, [1.0, 65536.0, 0.0, 1e6]), (81, [0.0, 1e6, 1e6, -1e6])]
+    expected = brute(rows, 3, 10)
+    assert Counter(map(tuple, vafile.top_k(table(spark, rows), 3, every=10).collect())) == expected
+    assert any(j == 70 for _, _, j, _ in expected)
+    every_row = [(i, [float(x) * 1e5 for x in v]) for i, v in rows[:30]]
+    assert Counter(map(tuple, vafile.top_k(table(spark, every_row), 3, every=10).collect())) == brute(every_row, 3, 10)
+
+
+def test_wide_components_agree_with_sql(spark):
+    rows = [(0, [0.5, -1.0]), (1, [70000.0, 0.25]), (2, [1.0, 1.0]), (100, [70000.0, -70000.0])]
+    tables = duckdb.connect()
+    tables.execute("create table embeddings (vec_id bigint, embedding float[])")
+    tables.executemany("insert into embeddings values (?, ?)", rows)
+    got = Counter(map(tuple, vafile.top_k(table(spark, rows)).collect()))
+    assert got == Counter(tables.sql(ORACLE["op2_exact_top_k"]).fetchall()) and (0, 2, 1, 512 * 71680000 - 1024 * 256) in got
+
+
+def test_a_score_beyond_64_bits_is_an_error(spark):
+    fits = [(0, [1e30, 0.0]), (1, [0.0, 1.0]), (2, [0.0, 3.0])]
+    assert Counter(map(tuple, vafile.top_k(table(spark, fits)).collect())) == brute(fits, 10, 100)
+    with pytest.raises(Exception, match="does not fit 64 bits"):
+        vafile.top_k(table(spark, [(0, [1e30, 0.0]), (1, [1.0, 1.0])])).collect()
+
+
+def test_the_scan_reads_cells_only(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.standard_normal(6)]) for i in range(300)]
+    index = vafile.index(table(spark, rows), "vec_id", "embedding")
+    assert index.cells.columns == ["row", "dim", "cells"]
+    near = vafile._near(index, np.array([0]), np.zeros((1, 6)), 5)
+    plan = index.cells.where("dim = 6").select("row", "cells")._jdf.queryExecution().executedPlan().toString()
+    assert "vector" not in plan and near.columns == ["q", "row", "upper", "lower"]
+
+
 def test_no_rows(spark):
     got = vafile.top_k(table(spark, []))
     assert got.columns == ["query_id", "rank", "vec_id", "score"] and got.count() == 0

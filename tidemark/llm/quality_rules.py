@@ -1,10 +1,12 @@
 """Quality rules as weak supervision: rules vote or abstain, EM weighs them.
 
-Each rule looks at counts of one document and votes "bad", "good" or abstains. A
-two-class model in which the votes are independent given the class is fitted by
-expectation maximisation on the counts of the vote patterns (at most 3 ** rules
-rows, whatever the input); a document's verdict is its posterior probability of
-the good class. Everything on the rows is DataFrame expressions.
+Each rule looks at counts of one document and votes "bad", "good" or abstains; a rule
+may well be wrong. A two-class model in which the votes are independent given the
+class is fitted by expectation maximisation on the counts of the vote patterns (at
+most 3 ** rules rows, whatever the input); a document's verdict is its posterior
+probability of the good class. So a bad vote is overruled where the other rules speak
+for the document, and several doubtful abstentions can reject one without a bad vote.
+Everything on the rows is DataFrame expressions.
 """
 
 from __future__ import annotations
@@ -97,37 +99,42 @@ def base_failed(c: Column) -> Column:
 
 
 def votes(c: Column) -> Mapping[str, Column]:
-    """A vote of each rule, from the counts ``c``; without a word all rules but the length abstain."""
+    """A vote of each rule, from the counts ``c``; without a word all rules but the length abstain.
+
+    Each rule has a view of its own: length, symbols, capitals, exclamation marks,
+    repeated word windows, repeated lines, and the length of words.
+    """
 
     def rule(bad: Column, good: Column | None = None) -> Column:
         vote = F.when(bad, F.lit(BAD))
         return F.coalesce(vote if good is None else vote.when(good, F.lit(GOOD)), F.lit(ABSTAIN))
 
     n, chars = c["n_words"], F.nullif(c["word_chars"], F.lit(0))
+    several = c["n_lines"] > 3
     return {
-        "length": rule(n < 50, n >= 80),
-        "symbols": rule(c["n_symbols"] > 0.2 * n, c["n_symbols"] <= 0.01 * n),
-        "dense_symbols": rule(c["n_symbols"] / chars > 0.05),
-        "upper": rule(c["n_upper"] / chars > 0.4, c["n_upper"] / chars < 0.12),
-        "shouts": rule(c["n_shouts"] > 0.3 * n, c["n_shouts"] <= 0.02 * n),
-        "repeats": rule(c["n_repeat_words"] > 0.4 * n, c["n_repeat_words"] <= 0.1 * n),
-        "lines": rule((c["n_lines"] > 3) & (c["n_dup_lines"] > 0.3 * c["n_lines"])),
-        "word_length": rule((chars / n < 2) | (chars / n > 15), (chars / n >= 3) & (chars / n <= 10)),
+        "length": rule(n < 80, n >= 120),
+        "symbols": rule(c["n_symbols"] > 0.1 * n, c["n_symbols"] <= 0.01 * n),
+        "upper": rule(c["n_upper"] / chars > 0.12, c["n_upper"] / chars < 0.1),
+        "shouts": rule(c["n_shouts"] > 0.1 * n, c["n_shouts"] <= 0.02 * n),
+        "repeats": rule(c["n_repeat_words"] > 0.3 * n, c["n_repeat_words"] <= 0.1 * n),
+        "lines": rule(several & (c["n_dup_lines"] > 0.3 * c["n_lines"]), several & (c["n_dup_lines"] == 0)),
+        "word_length": rule((chars / n < 4.2) | (chars / n > 7), (chars / n >= 4.6) & (chars / n <= 6.3)),
     }
 
 
 def fit(
-    patterns: Mapping[str, int], n_rules: int, iterations: int = 50, strength: float = 0.02
+    patterns: Mapping[str, int], n_rules: int, iterations: int = 60, strength: float = 0.01
 ) -> tuple[float, list[dict[str, float]]]:
     """EM over pattern counts: log odds of the good class, and for each rule its log ratio by vote.
 
-    Documents begin as bad when more rules say bad than say good less two. ``strength``
-    is the weight of the prior (in shares of all documents) that keeps a rule from
-    turning round: good documents get few bad votes, bad documents some.
+    Documents begin as good with a probability of 0.97 if no rule says bad, 0.8 if one
+    does, and 0.05 if several rules agree on it. ``strength`` is the weight of the prior,
+    in shares of all documents, that says that good documents get few bad votes and bad
+    ones some; it keeps a rule from turning round where there is little to learn from.
     """
     total = float(sum(patterns.values())) or 1.0
-    prior = {True: {BAD: 0.02, ABSTAIN: 0.38, GOOD: 0.6}, False: {BAD: 0.4, ABSTAIN: 0.3, GOOD: 0.3}}
-    belief = {p: (0.1 if p.count(BAD) else 0.95) for p in patterns}
+    prior = {True: {BAD: 0.05, ABSTAIN: 0.35, GOOD: 0.6}, False: {BAD: 0.4, ABSTAIN: 0.3, GOOD: 0.3}}
+    belief = {p: {0: 0.97, 1: 0.8}.get(p.count(BAD), 0.05) for p in patterns}
     odds, ratios = 0.0, []
     for _ in range(iterations):
         weight = {
@@ -169,10 +176,20 @@ def with_verdicts(docs: DataFrame, text_col: str = "text", least: float = 0.5) -
     judged alike; an empty table gives an empty result. New columns take the place of
     columns of the same names; all others stay, whatever their names. The rows with
     their counts are written to the shared folder once, and read for the fit and the
-    verdict.
+    verdict; :func:`verdicts` writes the counts alone.
     """
     counts = free_name(docs, "counts")
-    table = written(docs.withColumn(counts, text_counts(F.col(text_col))), "quality-rules")
+    table = written(docs.withColumn(counts, text_counts(F.col(f"`{text_col}`"))), "quality-rules")
+    return _judged(table, counts, least).drop(counts)
+
+
+def verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.5) -> DataFrame:
+    """(id, the counts of ``BASE``, base_failed, p_quality, kept) for each row of ``docs``; cases as above."""
+    counts = docs.select(F.col(f"`{id_col}`").alias("id"), text_counts(F.col(f"`{text_col}`")).alias("counts"))
+    return _judged(written(counts, "quality-rules"), "counts", least).drop("counts")
+
+
+def _judged(table: DataFrame, counts: str, least: float) -> DataFrame:
     cast = votes(F.col(counts))
     pattern = F.concat(*cast.values())
     seen = {r["p"]: r["n"] for r in table.groupBy(pattern.alias("p")).agg(F.count("*").alias("n")).collect()}
@@ -184,7 +201,7 @@ def with_verdicts(docs: DataFrame, text_col: str = "text", least: float = 0.5) -
         "p_quality": good,
         "kept": ~failed & (good >= least),
     }
-    return table.withColumns(new).drop(counts)
+    return table.withColumns(new)
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", least: float = 0.5) -> DataFrame:

@@ -49,9 +49,7 @@ def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    got = quality_rules.with_verdicts(docs)
-    return got.select("doc_id", *quality_rules.BASE, "base_failed", "kept", "p_quality")
+    return quality_rules.verdicts(read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
