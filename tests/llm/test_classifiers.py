@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from tests.conftest import TESTDATA
 from tests.llm import cases
 from tidemark.llm import langid, ngrams, quality_rank, toxicity
 from tidemark.llm.labelled import sample
@@ -162,3 +163,99 @@ def test_languages_of_long_texts_only_and_of_one_text_are_learnt(spark):
     assert {name for _, name in got} == {"long", *(name for _, _, name in many)}
     assert [t for t, name in got if name == "long"] == [long[0][1]]
     assert {r["lang_pred"] for r in langid.with_language(frame).collect() if r["id"] in outside[:20]} == {"long"}
+
+
+# Features and scores against plain Python, and the given tables
+
+
+def bucket(gram, bits):
+    """The bucket of one n-gram, a code point after the other."""
+    low = lambda c: ord(c.lower()) if len(c.lower()) == 1 and ord(c) < 1 << 16 else ord(c)
+    code = (low(gram[0]) * 0x01000193 + len(gram)) & 0xFFFFFFFF
+    for c in gram[1:]:
+        code ^= code >> 15
+        code = (code * 0x01000193 + low(c)) & 0xFFFFFFFF
+    code ^= code >> 16
+    return (code * 0x9E3779B1 & 0xFFFFFFFF) >> (32 - bits)
+
+
+def buckets(text, lengths, bits):
+    return [bucket(text[i : i + n], bits) for n in lengths for i in range(len(text) - n + 1)]
+
+
+TEXTS = ["The Üble idea, again and again! and again", "", "abc", "ñandú 🙂🙂 x\ty", "ALL caps #### 12 34\nline two\n\nend.", "word " * 300]
+
+
+def test_toxicity_scores_are_sums_over_distinct_grams():
+    rng = np.random.default_rng(1)
+    weights = rng.standard_normal(1 << toxicity.BITS)
+    got = toxicity.scores(pa.array(TEXTS), weights, -0.25)
+    for text, score in zip(TEXTS, got):
+        z = -0.25 + sum(weights[b] for b in set(buckets(text, toxicity.LENGTHS, toxicity.BITS)))
+        assert score == pytest.approx(1 / (1 + np.exp(-np.clip(z, -500, 500))), abs=1e-9)
+
+
+def test_evidence_is_the_likelihood_ratio():
+    def log_likelihood(hits, of):
+        p = hits / of
+        return sum(n * np.log(x) for n, x in ((hits, p), (of - hits, 1 - p)) if n)
+
+    cases_of = [(5, 0), (0, 7), (10, 40), (30, 70), (1, 1)]
+    ones, zeros = (np.array(x, float) for x in zip(*cases_of))
+    got = toxicity.evidence(ones, zeros, 30.0, 70.0)
+    for (a, b), g in zip(cases_of, got):
+        assert g == pytest.approx(2 * (log_likelihood(a, 30) + log_likelihood(b, 70) - log_likelihood(a + b, 100)), abs=1e-9)
+
+
+def test_weights_are_those_of_scaled_features():
+    """Only buckets with evidence have a weight, with the sign of their log-count ratio."""
+    texts = [f"text {i} zorgh here" for i in range(20)] + [f"text {i} calm here" for i in range(20)]
+    weights, _ = toxicity.fit(texts, [1] * 20 + [0] * 20)
+    used = set(np.flatnonzero(weights).tolist())
+    having = [set(buckets(t, toxicity.LENGTHS, toxicity.BITS)) for t in texts]
+    assert used <= set().union(*having) and used
+    for b in used:
+        ones, zeros = sum(b in h for h in having[:20]), sum(b in h for h in having[20:])
+        assert ones + zeros >= 3 and (weights[b] > 0) == (ones > zeros)
+    assert bucket("zorg", toxicity.BITS) in used and bucket("text", toxicity.BITS) not in used
+
+
+def test_toxicity_on_the_given_table(spark):
+    """Held out, sf0.1: at least three quarters of the toxic documents, next to no other."""
+    sf = TESTDATA / "sf0.1"
+    docs, labels = (spark.read.parquet(str(sf / f"{t}.parquet")) for t in ("documents", "labels"))
+    truth = {r["doc_id"]: r["toxic"] for r in labels.collect()}
+    only = docs.join(labels.select("doc_id"), "doc_id", "left_semi")
+    got = [(r["predicted"], truth[r["id"]]) for r in toxicity.with_toxicity(only, labels).collect() if r["held_out"]]
+    toxic, others = [p for p, t in got if t], [p for p, t in got if not t]
+    assert sum(toxic) >= 0.75 * len(toxic) and sum(others) <= 0.01 * len(others)
+
+
+def test_quality_features_against_plain_python():
+    got = quality_rank.features(pa.array(TEXTS))
+    for text, row in zip(TEXTS, got):
+        data, words = text.encode(), cases.words(text)
+        size, some = max(1, len(data)), max(1, len(words))
+        raw = [w.encode() for w in words]
+        expected = [data.count(bytes([c])) / size for c in quality_rank.SIGNS]
+        expected += [sum(a <= c <= b for c in data) / size for a, b in ((65, 90), (97, 122), (48, 57), (128, 255), (10, 10), (32, 32))]
+        expected += [np.log1p(len(words)) / 10, sum(map(len, raw)) / some / 10]
+        expected += [sum(words[i] == words[i - k] for i in range(k, len(words))) / some for k in (1, 2)]
+        expected += [sum(w[-1:] in (b"#", b"*", b"$", b"%", b"&", b"|", b"<", b">", b"!") for w in raw) / some]
+        expected += [np.sqrt(len(set(words)) / some), float(len(words) < 50)]
+        assert row == pytest.approx(expected, abs=1e-9)
+    model = quality_rank.Model(np.full(quality_rank.N_FEATURES, 0.1), np.full(quality_rank.N_FEATURES, 0.5), np.linspace(-1, 1, quality_rank.N_FEATURES), 0.2)
+    z = [sum(w * max(-8, min(8, (x - 0.1) / 0.5)) for x, w in zip(row, model.weights)) - 0.2 for row in got]
+    assert quality_rank.scores(pa.array(TEXTS), model) == pytest.approx([1 / (1 + np.exp(-s)) for s in z], abs=1e-9)
+
+
+def test_language_scores_are_averages_over_grams():
+    rng = np.random.default_rng(4)
+    model = langid.Model(["a", "b", "c"], rng.standard_normal((1 << langid.BITS, 3)).astype(np.float32), rng.standard_normal(3).astype(np.float32), 0.7, 0.5)
+    best, p = langid.predict(pa.array(TEXTS), model)
+    for text, k, score in zip(TEXTS, best, p):
+        own = buckets(text, langid.LENGTHS, langid.BITS)
+        z = sum((model.logits[b].astype(float) for b in own), np.zeros(3)) / max(1, len(own))
+        chance = np.exp((z + model.bias) / model.temperature)
+        chance /= chance.sum()
+        assert k == chance.argmax() and score == pytest.approx(chance.max(), abs=1e-6)

@@ -8,19 +8,19 @@ fragments are merged one by one, and their ids are put together again.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Recent
+from .common import Recent, lean
 from .tokens_base import Vocabulary, chunks, of_chunk, pieces, vocabulary
 
-#: Chunks and fragments whose ids a Python worker remembers at a time.
-REMEMBERED = 400_000
+#: Chunks and fragments whose ids a Python worker remembers at a time, two bytes an id.
+CHUNKS, FRAGMENTS = 400_000, 100_000
 
 
 def inner_pairs(words: Vocabulary) -> list[bytes]:
@@ -86,27 +86,27 @@ def _in_rounds(ids: list[int], words: Vocabulary) -> list[int]:
 
 
 class Encoder:
-    """Encodes texts, remembering the ids of fragments and of chunks."""
+    """Encodes texts, remembering the ids of fragments and of chunks, packed."""
 
     def __init__(self, words: Vocabulary):
         self.words, self.inner = words, inner_pairs(words)
-        self.fragments = Recent(lambda fragment: merge(fragment, words), REMEMBERED)
-        self.chunks = Recent(lambda chunk: self.whole(of_chunk(chunk)), REMEMBERED)
+        self.fragments = Recent(lambda fragment: array("H", merge(fragment, words)).tobytes(), FRAGMENTS)
+        self.chunks = Recent(lambda chunk: self.whole(of_chunk(chunk)), CHUNKS)
 
-    def whole(self, text: str) -> list[int]:
+    def whole(self, text: str) -> bytes:
         known, inner = self.fragments, self.inner
-        return [i for piece in pieces(text) for f in fragments(piece.encode(), inner) for i in known[f]]
+        return b"".join([known[f] for piece in pieces(text) for f in fragments(piece.encode(), inner)])
 
     def encode(self, text: str) -> list[int]:
-        ids: list[int] = []
+        ids = array("H")
         for part, special in self.words.parts(text):
             if special is not None:
                 ids.append(special)
             else:
                 first, *rest = chunks(part)
-                ids += self.whole(first)
-                ids += chain.from_iterable(map(self.chunks.__getitem__, rest))
-        return ids
+                ids.frombytes(self.whole(first))
+                ids.frombytes(b"".join(map(self.chunks.__getitem__, rest)))
+        return ids.tolist()
 
 
 def decode_ids(ids: list[int], words: Vocabulary) -> str:
@@ -118,6 +118,7 @@ def encode(text: Column, path: str) -> Column:
     """The ids (array<int>) of each whole text; those of a null or empty text are an empty array."""
 
     @F.arrow_udf("array<int>")
+    @lean
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         words = vocabulary(path)
         encoder = Encoder(words)
@@ -147,6 +148,7 @@ def digests(text: Column, path: str, keep_ids: bool = False) -> Column:
     fields = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids
 
     @F.arrow_udf(fields)
+    @lean
     def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         words = vocabulary(path)
         encoder = Encoder(words)

@@ -1,4 +1,8 @@
-"""Toxicity: a linear classifier on character n-grams, scaled by naive Bayes log-count ratios."""
+"""Toxicity: a linear classifier on character n-grams, scaled by naive Bayes log-count ratios.
+
+N-grams of four to seven characters, those over word boundaries included, tell stems
+at the beginning of words from the same letters elsewhere.
+"""
 
 from __future__ import annotations
 
@@ -9,26 +13,45 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import is_fold
+from .common import is_fold, lean
 from .labelled import sample
 from .ngrams import grams
 
-LENGTHS = (4, 5)
-BITS = 18
+LENGTHS = (4, 5, 6, 7)
+BITS = 20
 
 
 def _distinct(codes: Sequence[np.ndarray]) -> np.ndarray:
     return np.unique(np.concatenate(codes))
 
 
-def fit(texts: Sequence[str], labels: Sequence[int], rounds: int = 120, decay: float = 3e-3, least: int = 4) -> tuple[np.ndarray, float]:
+def evidence(ones: np.ndarray, zeros: np.ndarray, all_ones: float, all_zeros: float) -> np.ndarray:
+    """For buckets in ``ones`` texts of label 1 and ``zeros`` of label 0 the log-likelihood ratio statistic G.
+
+    That is twice the gain in log likelihood from letting the bucket depend on the
+    label, over the table of texts with and without it.
+    """
+    seen, whole = ones + zeros, all_ones + all_zeros
+    total = np.zeros(len(seen))
+    for found, of in ((ones, all_ones), (zeros, all_zeros)):
+        for cell, expected in ((found, seen * of / whole), (of - found, (whole - seen) * of / whole)):
+            some = cell > 0
+            total[some] += cell[some] * np.log(cell[some] / expected[some])
+    return 2 * total
+
+
+def fit(
+    texts: Sequence[str], labels: Sequence[int], rounds: int = 120, decay: float = 1e-3, least: int = 3, least_evidence: float = 13.0
+) -> tuple[np.ndarray, float]:
     """The weight of each bucket, and the bias.
 
     A text's features are the buckets it has, whatever their number, each scaled by
-    the log of the ratio of its smoothed shares in texts of label 1 and label 0;
-    buckets of fewer than ``least`` texts are left out. Logistic loss, half of
-    its weight on either label, with weight ``decay`` on the squared weights, by Adam
-    on the whole sample. With one class only, all weights are 0.
+    the log of the ratio of its smoothed shares in texts of label 1 and label 0.
+    Buckets of fewer than ``least`` texts, or whose :func:`evidence` is below
+    ``least_evidence`` (by chance one in some 3,000 is above), are left out: in long texts
+    they would drown the others. Logistic loss, half of its weight on either label,
+    with weight ``decay`` on the squared weights, by Adam on the whole sample. With one
+    class only, all weights are 0.
     """
     y = np.asarray(labels, np.float64)
     weights = np.zeros(1 << BITS)
@@ -42,7 +65,7 @@ def fit(texts: Sequence[str], labels: Sequence[int], rounds: int = 120, decay: f
     p = np.bincount(cols, weights=y[owner], minlength=1 << BITS) + 1
     q = seen - p + 2
     ratio = np.log((p / p.sum()) / (q / q.sum()))
-    keep = (seen >= least)[cols]
+    keep = ((seen >= least) & (evidence(p - 1, q - 1, ones, zeros) >= least_evidence))[cols]
     cols, owner = cols[keep], owner[keep]
     used, cols = np.unique(cols, return_inverse=True)
     scale = ratio[used].astype(np.float32)
@@ -77,12 +100,16 @@ def scores(texts: pa.Array, weights: np.ndarray, bias: float) -> np.ndarray:
 def score(text: Column, weights: np.ndarray, bias: float) -> Column:
     """The model's score (double, 0 to 1) of each whole text; null counts as empty.
 
-    The model is of a fixed size, 2 ** 18 weights, and goes along with the function.
+    The weights that are not 0, of at most 2 ** 20, go along with the function.
     """
-    small = weights.astype(np.float32)
+    used = np.flatnonzero(weights)
+    sent = used.astype(np.int32), weights[used].astype(np.float32)
 
     @F.arrow_udf("double")
+    @lean
     def toxicity(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        small = np.zeros(1 << BITS, np.float32)
+        small[sent[0]] = sent[1]
         for batch in batches:
             yield pa.array(scores(batch, small, bias), pa.float64())
 
