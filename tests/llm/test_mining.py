@@ -99,11 +99,13 @@ def test_tiles_and_rows_count_exactly(monkeypatch):
         expected.update(zip(a.tolist(), b.tolist()))
         tiles.add(a, b)
         hashes.add(a.astype(np.uint64), b.astype(np.uint64))
-    a, b, counts = tiles.take()
+    codes, counts = tiles.take()
+    a, b = collocations.ids_of(codes)
+    assert (np.diff(codes) > 0).all()
     assert dict(zip(zip(a.tolist(), b.tolist()), counts.tolist())) == expected
     (a, b), counts = hashes.take()
     assert dict(zip(zip(a.tolist(), b.tolist()), counts.tolist())) == expected
-    assert len(tiles.take()[2]) == len(hashes.take()[1]) == 0
+    assert len(tiles.take()[1]) == len(hashes.take()[1]) == 0
 
 
 def test_tasks_hand_on_what_they_cannot_hold(spark, monkeypatch):

@@ -6,7 +6,7 @@ of ids gather in few tiles of 2,048 x 2,048: a task counts a full tile with a de
 frequent are ranked in turn, and triples are counted as pairs of a pair's id and a
 word's in the same way. Words and pairs beyond the ids that go to every task are
 counted by their hashes, as sorted rows; so the number of ids changes the cost and no
-result. A part of a frequent phrase is frequent, so a bitmap of fixed size leaves out
+result. Pairs of ids travel as one number. A part of a frequent phrase is frequent, so a bitmap of fixed size leaves out
 most of the rare words and pairs; those it lets pass are counted and then dropped.
 """
 
@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import blocks, join_few, most_common, written
+from .common import blocks, join_few, lean, most_common, written
 from .terms import joined
 from .word_hashes import hashes, lowered, mix, spans
 
@@ -128,16 +128,19 @@ class Tiles:
         keys, counts = [np.concatenate([self.codes, *tiles, sparse])], np.concatenate([self.counts, *counts, often])
         (self.codes,), self.counts = _summed(keys, counts)
 
-    def take(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """a, b, and how often they were added together."""
+    def take(self) -> tuple[np.ndarray, np.ndarray]:
+        """Codes of pairs, in order, and how often they were added."""
         self._merge()
         codes, counts = self.codes, self.counts
         self.clear()
-        low, outer = (1 << INNER) - 1, 20 - INNER
-        tile = codes >> 2 * INNER
-        a = (tile >> outer) << INNER | codes >> INNER & low
-        b = (tile & (1 << outer) - 1) << INNER | codes & low
-        return a, b, counts
+        return codes, counts
+
+
+def ids_of(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two ids of each code of :class:`Tiles`."""
+    low, outer = (1 << INNER) - 1, 20 - INNER
+    tile = codes >> 2 * INNER
+    return (tile >> outer) << INNER | codes >> INNER & low, (tile & (1 << outer) - 1) << INNER | codes & low
 
 
 def _words(batch: pa.RecordBatch) -> Iterator[tuple]:
@@ -162,6 +165,7 @@ def _words(batch: pa.RecordBatch) -> Iterator[tuple]:
 def _word_counts(texts: DataFrame) -> DataFrame:
     """(lang, word, h, c), written: the occurrences of each word of ``texts`` (lang, text)."""
 
+    @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, tuple[str, bytes]] = {}
         codes, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -222,24 +226,38 @@ class Ranked:
         return np.where(self.codes[at] == h, self.rank[at], -1)
 
 
-def _handed(keys: list[np.ndarray], counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-    names = ["a", "b", "d"][: len(keys)] + ["c"]
+def _handed(keys: list[np.ndarray], counts: np.ndarray, width: int) -> Iterator[pa.RecordBatch]:
+    """Rows of ``width`` keys and the count; a code is a row's first key, the others null."""
+    names = ["a", "b", "d"][:width] + ["c"]
     for at in range(0, len(counts), 1 << 16):
         part = slice(at, at + (1 << 16))
-        yield pa.RecordBatch.from_arrays([*(pa.array(k[part].view(np.int64)) for k in keys), pa.array(counts[part])], names)
+        columns = [pa.array(k[part].view(np.int64)) for k in keys]
+        columns += [pa.nulls(len(counts[part]), pa.int64())] * (width - len(keys))
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(counts[part])], names)
+
+
+def _named(batch: pa.RecordBatch, ends: list[np.ndarray], last: np.ndarray) -> list[np.ndarray]:
+    """The words' hashes of rows of codes or hashes (and the count): a code's first id stands for ``ends``, its second for ``last``."""
+    keys = [np.asarray(c.fill_null(0)).view(np.uint64).copy() for c in batch.columns[:-1]]
+    coded = np.asarray(batch.column(1).is_null())
+    first, second = ids_of(keys[0][coded].view(np.int64))
+    for key, of in zip(keys, [*(end[first] for end in ends), last[second]]):
+        key[coded] = of
+    return keys
 
 
 def _frequent_pairs(texts: DataFrame, words: DataFrame, least: int, ids: int) -> DataFrame:
     """(a, b, c, h), written: two words' hashes, how often one follows the other, from ``least`` on, and the pair's hash."""
     sent = texts.sparkSession.sparkContext.broadcast((Ranked(words, ids), _bitmap(words, F.col("h"))))
 
+    @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranked, bitmap = sent.value
         tiles, rows = Tiles(), Rows(2)
 
         def taken() -> Iterator[pa.RecordBatch]:
-            a, b, counts = tiles.take()
-            yield from _handed([ranked.h[a], ranked.h[b]], counts)
+            codes, counts = tiles.take()
+            yield from _handed([codes], counts, 2)
 
         for batch in batches:
             for *_, h, _, same in _words(batch):
@@ -250,16 +268,20 @@ def _frequent_pairs(texts: DataFrame, words: DataFrame, least: int, ids: int) ->
                 if tiles.add(number[first[known]], number[first[known] + 1]):
                     yield from taken()
                 if rows.add(h[first[~known]], h[first[~known] + 1]):
-                    yield from _handed(*rows.take())
+                    yield from _handed(*rows.take(), 2)
         yield from taken()
-        yield from _handed(*rows.take())
+        yield from _handed(*rows.take(), 2)
 
-    got = texts.mapInArrow(count, "a long, b long, c long").groupBy("a", "b").agg(F.sum("c").alias("c")).where(F.col("c") >= least)
-
-    def hashed(a: pa.Array, b: pa.Array) -> pa.Array:
-        return pa.array(_pair_hash(*(np.asarray(x).view(np.uint64) for x in (a, b))).view(np.int64))
+    @lean
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranked, _ = sent.value
+        for batch in batches:
+            keys = _named(batch, [ranked.h], ranked.h)
+            columns = [pa.array(k.view(np.int64)) for k in (*keys, _pair_hash(*keys))]
+            yield pa.RecordBatch.from_arrays([*columns, batch.column(2)], ["a", "b", "h", "c"])
 
-    return written(got.withColumn("h", F.arrow_udf(hashed, "long")("a", "b")), "phrase-pairs")
+    got = texts.mapInArrow(count, "a long, b long, c long").groupBy("a", "b").agg(F.sum("c").alias("c")).where(F.col("c") >= least)
+    return written(got.mapInArrow(name, "a long, b long, h long, c long"), "phrase-pairs")
 
 
 def _frequent_triples(texts: DataFrame, words: DataFrame, pairs: DataFrame, least: int, ids: int) -> DataFrame:
@@ -273,13 +295,14 @@ def _frequent_triples(texts: DataFrame, words: DataFrame, pairs: DataFrame, leas
             ends[k, number] = own[side].to_numpy().view(np.uint64)
     sent = texts.sparkSession.sparkContext.broadcast((Ranked(words, ids), ranked_pairs, ends, _bitmap(pairs, F.col("h"))))
 
+    @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranked, ranked_pairs, ends, bitmap = sent.value
         tiles, rows = Tiles(), Rows(3)
 
         def taken() -> Iterator[pa.RecordBatch]:
-            pair, last, counts = tiles.take()
-            yield from _handed([ends[0][pair], ends[1][pair], ranked.h[last]], counts)
+            codes, counts = tiles.take()
+            yield from _handed([codes], counts, 3)
 
         for batch in batches:
             for *_, h, _, same in _words(batch):
@@ -293,12 +316,19 @@ def _frequent_triples(texts: DataFrame, words: DataFrame, pairs: DataFrame, leas
                     yield from taken()
                 rest = first[~known]
                 if rows.add(h[rest], h[rest + 1], h[rest + 2]):
-                    yield from _handed(*rows.take())
+                    yield from _handed(*rows.take(), 3)
         yield from taken()
-        yield from _handed(*rows.take())
+        yield from _handed(*rows.take(), 3)
+
+    @lean
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranked, _, ends, _ = sent.value
+        for batch in batches:
+            keys = _named(batch, [*ends], ranked.h)
+            yield pa.RecordBatch.from_arrays([*(pa.array(k.view(np.int64)) for k in keys), batch.column(3)], ["a", "b", "d", "c"])
 
     got = texts.mapInArrow(count, "a long, b long, d long, c long").groupBy("a", "b", "d").agg(F.sum("c").alias("c"))
-    return written(got.where(F.col("c") >= least), "phrase-triples")
+    return written(got.where(F.col("c") >= least).mapInArrow(name, "a long, b long, d long, c long"), "phrase-triples")
 
 
 def _score(a: str, left: str, right: str) -> Column:
