@@ -50,6 +50,17 @@ def found(df):
     return Counter((r["id"], r["n_shingles"], r["component_id"]) for r in jaccard.join_classes(df).collect())
 
 
+def brute_links(docs):
+    """(id, links): of each document the number of others it is linked with."""
+    sets = [shingles(text) for _, text in docs]
+    links = [sum(i != j and 100 * len(s & t) >= 75 * len(s | t) for j, t in enumerate(sets)) if s else 0 for i, s in enumerate(sets)]
+    return Counter((doc_id, n) for (doc_id, _), n in zip(docs, links))
+
+
+def links_found(df):
+    return Counter((r["id"], r["n_links"]) for r in jaccard.join_classes(df).collect())
+
+
 def variants():
     """Texts of like words: copies, near copies around the threshold, a chain of them, and a shared passage."""
     rng = random.Random(3)
@@ -77,6 +88,24 @@ def test_against_brute_force(spark):
     assert found(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)) == brute(rows)
 
 
+def test_links_against_brute_force(spark, monkeypatch):
+    """Also those between sets of one component, and with equal sets; in one block and in several."""
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(300)}" for _ in range(120)]
+    near = [" ".join(base[:k] + [f"x{i}"] + base[k + 1 :]) for i, k in enumerate(rng.choices(range(120), k=60))]
+    rows = [(i, t) for i, (_, t) in enumerate([*variants(), *enumerate(near), *enumerate(near[:7]), (0, ""), (0, None)])]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    expected = brute_links(rows)
+    assert links_found(table) == expected and max(n for _, n in expected) > 50
+    monkeypatch.setattr(jaccard, "BLOCK", 11)
+    assert links_found(table) == expected
+
+
+def test_links_of_odd_rows(spark):
+    got = links_found(cases.odd(spark))
+    assert got == brute_links([(r[0], r[1]) for r in cases.odd_rows()])
+
+
 def test_long_lists_and_frequent_shingles_change_nothing(spark, monkeypatch):
     rows = variants()
     for name, value in (("SHORT", 2), ("BLOCK", 3), ("ONE_OF", 1), ("FREQUENT", 4)):

@@ -16,6 +16,10 @@ by the sets themselves. This is done twice:
    block), in which bitmaps are compared in numpy and only pairs that may link leave.
 
 No link between sets of different components is lost, so the components are exact.
+
+The links inside a component are counted in tiles as well, block by block of its
+distinct sets: sizes and bitmaps first, then exact intersections. No pair leaves a
+tile, only each set's number of links.
 """
 
 from __future__ import annotations
@@ -27,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import few_bytes, lean, most_common, written
+from .common import few_bytes, join_few, lean, most_common, written
 from .components import components
 from .shingles import shingle_sets
 from .word_hashes import mix
@@ -263,9 +267,8 @@ def _sparse(few: DataFrame, most: int = 1_000_000) -> DataFrame:
     return F.broadcast(few) if few.limit(most + 1).count() <= most else few
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:
-    """The links among ``pairs`` (a, b): exact intersections of the sets, made again from a text of each."""
-    nodes = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
+def _codes(nodes: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:
+    """(key, codes) of the sets ``nodes`` (key), made again from a text of each; texts that repeat give several."""
     wanted = _sparse(written(classes.join(nodes, "key").select("place"), "jaccard-wanted"))
     rows = texts.join(wanted, "place").select("text")
 
@@ -276,7 +279,13 @@ def _verified(pairs: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFra
             keys = pa.array([_key(x) for x in sets], pa.int64())
             yield pa.RecordBatch.from_arrays([keys, pa.array([x.tobytes() for x in sets], pa.binary())], ["key", "codes"])
 
-    sets = written(rows.mapInArrow(codes, "key long, codes binary"), "jaccard-codes")
+    return rows.mapInArrow(codes, "key long, codes binary")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:
+    """The links among ``pairs`` (a, b): exact intersections of the sets."""
+    nodes = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
+    sets = written(_codes(nodes, texts, classes), "jaccard-codes")
     left = sets.select(F.col("key").alias("a"), F.col("codes").alias("x"))
     right = sets.select(F.col("key").alias("b"), F.col("codes").alias("y"))
     common = pairs.join(right, "b").join(left, "a").select(
@@ -414,8 +423,89 @@ def _tiles(rows: DataFrame) -> DataFrame:
     return keyed.repartition(*tile).sortWithinPartitions(*tile).mapInArrow(compare, "a long, b long")
 
 
-def _linked(texts: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Classes of equal sets (key, n, row, first, n_equal), and (node, component) of those that are linked."""
+class Links:
+    """Counts links between the sets of two blocks, or of one, given as rows with key, n, n_equal, map and codes."""
+
+    def __init__(self, rows: list[dict], apart: int):
+        """The rows from ``apart`` on are the second block; with 0 all are one."""
+        self.n = np.array([r["n"] for r in rows], np.int64)
+        self.equal = np.array([r["n_equal"] for r in rows], np.int64)
+        self.apart = apart
+        self.groups = _groups([r["map"] for r in rows])
+        self.width = np.array([len(r["map"]) for r in rows])
+        self.sets = [np.frombuffer(r["codes"], np.uint64) for r in rows]
+        self.first = np.concatenate([[0], np.cumsum(self.n)])
+        self.words, self.ids = np.unique(np.concatenate(self.sets), return_inverse=True)
+        self.seen = np.zeros(len(self.words), bool)
+
+    def _others(self, k: int) -> np.ndarray:
+        """Sets of the other block, or after ``k``, whose sizes and bitmaps allow a link with ``k``."""
+        found = []
+        start = self.apart if self.apart else k + 1
+        at, maps = self.groups[self.width[k]]
+        own = maps[np.searchsorted(at, k)]
+        for width, (at, maps) in self.groups.items():
+            rest = np.searchsorted(at, start)
+            near = rest + np.flatnonzero(4 * np.minimum(self.n[k], self.n[at[rest:]]) >= 3 * np.maximum(self.n[k], self.n[at[rest:]]))
+            if len(near):
+                least = min(width, len(own))
+                bits = np.bitwise_count(_folded(own[None], least) ^ _folded(maps[near], least)).sum(axis=1)
+                found.append(at[near[self.n[k] + self.n[at[near]] >= 7 * bits]])
+        return np.concatenate(found) if found else np.zeros(0, np.int64)
+
+    def _shared(self, k: int, others: np.ndarray) -> np.ndarray:
+        """Sizes of the intersections: place by place in the sorted sets, or for many others by the words of all sets in order."""
+        if len(others) < 16:
+            return np.array([np.isin(self.sets[j], self.sets[k], assume_unique=True).sum() for j in others], np.int64)
+        own = self.ids[self.first[k] : self.first[k + 1]]
+        self.seen[own] = True
+        low, high = int(others.min()), int(others.max()) + 1
+        flat = self.seen[self.ids[self.first[low] : self.first[high]]]
+        sums = np.add.reduceat(flat, self.first[low:high] - self.first[low], dtype=np.int64)
+        self.seen[own] = False
+        return sums[others - low]
+
+    def count(self) -> np.ndarray:
+        """How many rows each set's links lead to."""
+        links = np.zeros(len(self.n), np.int64)
+        for k in range(self.apart or len(self.n)):
+            others = self._others(k)
+            if len(others):
+                shared = self._shared(k, others)
+                others = others[100 * shared >= 75 * (self.n[k] + self.n[others] - shared)]
+                links[k] += self.equal[others].sum()
+                links[others] += self.equal[k]
+        return links
+
+
+def _link_counts(texts: DataFrame, by_key: DataFrame, classes: DataFrame, linked: DataFrame) -> DataFrame:
+    """(key, n_links), written: how many rows of other sets the links of each set in ``linked`` lead to."""
+    named = linked.select(F.col("node").alias("key"), "component")
+    sizes = written(named.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "jaccard-sizes")
+    codes = _codes(named.select("key"), texts, classes).groupBy("key").agg(F.first("codes").alias("codes"))
+    rows = codes.join(named, "key").join(classes.select("key", "n", "map"), "key").join(by_key.select("key", "n_equal"), "key")
+    rows = join_few(rows, sizes, ["component"]).withColumn("block", F.pmod(F.shiftright("key", 8), "blocks").cast("int"))
+    tile = ["component", "i", "j"]
+    keyed = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "key", "n", "n_equal", "map", "codes"
+    )
+
+    @lean
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _groups_of(batches, tile):
+            i, j = table["i"][0].as_py(), table["j"][0].as_py()
+            rows = sorted(table.select(["block", "key", "n", "n_equal", "map", "codes"]).to_pylist(), key=lambda r: r["block"])
+            apart = sum(r["block"] == i for r in rows) if i < j else 0
+            if len(rows) > 1 and (i == j or 0 < apart < len(rows)):
+                keys = pa.array([r["key"] for r in rows], pa.int64())
+                yield pa.RecordBatch.from_arrays([keys, pa.array(Links(rows, apart).count())], ["key", "n"])
+
+    counts = keyed.repartition(*tile).sortWithinPartitions(*tile).mapInArrow(count, "key long, n long")
+    return written(counts.groupBy("key").agg(F.sum("n").alias("n_links")), "jaccard-counts")
+
+
+def _linked(texts: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Classes of equal sets (key, n, row, first, n_equal) and one row of each (key, n, map, place), and (node, component) of those that are linked."""
     some = sets.where("n > 0")
     by_key = some.groupBy("key").agg(
         F.min("n").alias("n"), F.min("row").alias("row"), F.min(_first()).alias("first"), F.count("*").alias("n_equal")
@@ -453,7 +543,7 @@ def _linked(texts: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     many = _tiles(long_rows.join(classes.select("key", "map"), "key"))
     rest = few.unionByName(many).distinct()
     rest = written(_promising(rest, classes), "jaccard-rest")
-    return by_key, _settled(rest, joined, texts, classes)
+    return by_key, classes, _settled(rest, joined, texts, classes)
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -462,32 +552,39 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return texts.select("id", F.xxhash64("id", "text").alias("place"), "text")
 
 
-def _grouped(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The sets, and for each key of a set with words (key, first, n_equal), ``first`` being that of its component."""
+def _grouped(texts: DataFrame, count_links: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The sets, and for each key of a set with words (key, first, n_equal), ``first`` being that of its component; ``n_links`` if asked."""
     sets = _sets(texts)
-    classes, linked = _linked(texts, sets)
-    groups = classes.join(linked, classes["key"] == linked["node"], "left").select(
+    by_key, classes, linked = _linked(texts, sets)
+    groups = by_key.join(linked, by_key["key"] == linked["node"], "left").select(
         "key", F.coalesce("component", "key").alias("component"), F.col("first").alias("own"), "n_equal"
     )
     least = groups.groupBy("component").agg(F.min("own").alias("first"))
-    return sets, written(groups.join(least, "component").select("key", "first", "n_equal"), "jaccard-groups")
+    groups = groups.join(least, "component").select("key", "first", "n_equal")
+    if count_links:
+        others = _link_counts(texts, by_key, classes, linked)
+        links = F.coalesce("n_links", F.lit(0)) + F.col("n_equal") - 1
+        groups = groups.join(others, "key", "left").withColumn("n_links", links)
+    return sets, written(groups, "jaccard-groups")
 
 
 def join_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id, n_equal) for each row of ``docs``.
+    """(id, n_shingles, component_id, n_equal, n_links) for each row of ``docs``.
 
     ``component_id`` is the smallest id that links lead to, the row's own included; a
     link joins two rows whose sets have a Jaccard similarity of at least 0.75.
-    ``n_equal`` is the number of rows with the same set. A text that is null or has no
+    ``n_equal`` is the number of rows with the same set, ``n_links`` that of the rows, but
+    for itself, that a row is linked with, those of the same set included. A text that is null or has no
     word has the empty set, size 0, and is linked with nothing: its component is its
     own id. Rows may repeat, also their ids; a null id is passed over for the
     component's id, unless the component has no other. The empty table gives an empty
     result; other columns are not looked at.
     """
-    sets, groups = _grouped(_texts(docs, id_col, text_col))
-    alone = sets.where("n = 0").select("id", "n", F.col("id").alias("component_id"), F.lit(0).cast("long").alias("n_equal"))
+    sets, groups = _grouped(_texts(docs, id_col, text_col), count_links=True)
+    none = F.lit(0).cast("long")
+    alone = sets.where("n = 0").select("id", "n", F.col("id").alias("component_id"), none.alias("n_equal"), none.alias("n_links"))
     rest = sets.where("n > 0").select("id", "n", "key").join(groups, "key")
-    rest = rest.select("id", "n", F.col("first.id").alias("component_id"), "n_equal")
+    rest = rest.select("id", "n", F.col("first.id").alias("component_id"), "n_equal", "n_links")
     return rest.unionByName(alone).withColumnRenamed("n", "n_shingles")
 
 

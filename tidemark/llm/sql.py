@@ -66,10 +66,13 @@ with recursive w as (
   select x.a, x.b from x join n p on p.doc_id = x.a join n q on q.doc_id = x.b where 100 * k >= 75 * (p.n + q.n - k)
 ), r as (
   select doc_id as d, doc_id as c from n union select l.b, r.c from r join l on l.a = r.d
+), k as (
+  select a, count(*) as n_links from l group by a
 )
 select n.doc_id, n.n as n_shingles, min(r.c) as component_id,
-  any_value(case when n.n = 0 then 0 else (select count(*) from n m where m.same = n.same) end)::bigint as n_equal
-from n join r on r.d = n.doc_id group by n.doc_id, n.n
+  any_value(case when n.n = 0 then 0 else (select count(*) from n m where m.same = n.same) end)::bigint as n_equal,
+  coalesce(any_value(n_links), 0)::bigint as n_links
+from n join r on r.d = n.doc_id left join k on k.a = n.doc_id group by n.doc_id, n.n
 """
 
 OP2 = """
