@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import random
 import re
 from collections import Counter, defaultdict
@@ -10,6 +11,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import TESTDATA, rows
 from tests.llm import cases
@@ -257,3 +259,19 @@ def test_search_of_odd_rows(spark):
     assert Counter(map(tuple, search.search(odd, items).collect())) == brute_search(rows_in, rows_in, 20)
     for docs, asked in ((cases.none(spark), items), (odd, cases.none(spark).withColumnRenamed("doc_id", "item_id"))):
         assert rows(search.search(docs, asked)) == []
+
+
+def test_operators_delete_what_they_wrote_on_the_way(spark):
+    """Only the result stays in the shared folder, also after a failure."""
+    shared = spark.conf.get("spark.checkpoint.dir")
+    docs = spark.createDataFrame([(1, "one two three", "en"), (2, "two three four", "en")], "doc_id long, text string, lang string")
+    before = set(os.listdir(shared))
+    found = search.search(docs, docs.withColumnRenamed("doc_id", "item_id"))
+    mined = collocations.phrases(docs, least=2)
+    assert {name.rsplit("-", 1)[0] for name in set(os.listdir(shared)) - before} == {"search", "phrases"}
+    assert found.count() == 4 and [r.phrase for r in mined.collect()] == ["two three"]
+    before = set(os.listdir(shared))
+    broken = docs.withColumn("text", F.when(F.col("doc_id") > 0, F.raise_error(F.lit("lost"))).otherwise(F.col("text")))
+    with pytest.raises(Exception, match="lost"):
+        collocations.phrases(broken)
+    assert set(os.listdir(shared)) == before

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import blocks, join_few, lean, most_common, written
+from .common import blocks, join_few, lean, most_common, tidied, written
 from .terms import joined
 from .word_hashes import hashes, lowered, mix, spans
 
@@ -336,6 +336,7 @@ def _score(a: str, left: str, right: str) -> Column:
     return F.expr(f"({wide[a]} * {wide[a]} * cast(1000000 as decimal(7,0))) div ({wide[left]} * {wide[right]})")
 
 
+@tidied
 def phrases(
     docs: DataFrame, most: int = 2000, least: int = 10, ids: int = IDS, lang_col: str = "lang", text_col: str = "text"
 ) -> DataFrame:

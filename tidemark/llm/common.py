@@ -6,6 +6,7 @@ import ctypes
 import functools
 import os
 from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 from pathlib import Path
 
 import numpy as np
@@ -14,6 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources.files import delete
 from tidemark.sources.shared import new_folder
 
 #: A word is a run of bytes other than these.
@@ -88,14 +90,41 @@ def most_common(counts: DataFrame, most: int) -> pa.Table:
     return counts.where(F.lit(False) if least is None else step >= least).select("h", "c").toArrow()
 
 
+#: Folders that the operator at work has written to, if it deletes them at its end.
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again: later steps survive lost executors."""
     spark = df.sparkSession
     path = new_folder(spark, name)
+    if (made := _MADE.get()) is not None:
+        made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tidied(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """``operator`` with its result written, and all that it wrote on the way deleted, also where it fails."""
+
+    @functools.wraps(operator)
+    def run(df: DataFrame, *args, **named) -> DataFrame:
+        made: list[str] = []
+        token = _MADE.set(made)
+        try:
+            result = operator(df, *args, **named)
+            _MADE.reset(token)
+            token = None
+            return written(result, operator.__name__.replace("_", "-"))
+        finally:
+            if token is not None:
+                _MADE.reset(token)
+            for path in made:
+                delete(df.sparkSession, path)
+
+    return run
+
+
 def words(text: Column) -> Column:
     """The words of a text in order; none for a text of white space only."""
     bare = F.btrim(text, F.lit(" \t\n\x0b\x0c\r"))

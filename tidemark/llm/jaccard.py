@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import few_bytes, join_few, lean, most_common, written
+from .common import few_bytes, join_few, lean, most_common, tidied, written
 from .components import components
 from .shingles import shingle_sets
 from .word_hashes import mix
@@ -568,6 +568,7 @@ def _grouped(texts: DataFrame, count_links: bool = False) -> tuple[DataFrame, Da
     return sets, written(groups, "jaccard-groups")
 
 
+@tidied
 def join_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id, n_equal, n_links) for each row of ``docs``.
 

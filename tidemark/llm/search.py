@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import blocks, written
+from .common import blocks, tidied, written
 from .terms import Vocabulary, lists, terms_of
 
 #: Bytes of items that are taken at once (one item is never cut), and blocks numbered by one task.
@@ -172,6 +172,7 @@ def _found(index: DataFrame, items: Sequence[tuple[int | None, Mapping[int, int]
     return written(best.select("item_id", "rank", F.nullif("doc_id", F.lit(_LAST)).alias("doc_id"), "score"), "search-found")
 
 
+@tidied
 def search(
     docs: DataFrame,
     items: DataFrame,

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from .common import lean, written
+from .common import lean, tidied, written
 
 #: Queries in a block, which goes to every task, and the most components all of a block may have.
 BLOCK, BLOCK_COMPONENTS = 8192, 1 << 22
@@ -214,6 +214,7 @@ def _query_blocks(table: Index, every: int) -> tuple[DataFrame, list[Row]]:
     return asked, asked.select("dim", "part").distinct().orderBy("dim", "part").collect()
 
 
+@tidied
 def top_k(
     vectors: DataFrame, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", every: int = 100
 ) -> DataFrame:
