@@ -23,25 +23,24 @@ WHITE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-#: Session settings, Spark's value, and ours.
-BATCHES = (
-    ("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"),
-    ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8m"),
-)
+#: Session settings and Spark's values.
+ROWS_A_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+BYTES_A_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 
 
-def ready(spark: SparkSession) -> None:
+def ready(spark: SparkSession, rows: str = "1000", size: str = "8m") -> None:
     """Lets Python workers import this package also where only the driver's path has it.
 
     That is for a session on one machine; on a cluster the package is installed or
-    sent along with ``--py-files``. Also makes the session's Arrow batches small where
-    they are as Spark has them, as rows hold whole texts or sets.
+    sent along with ``--py-files``. Also makes the session's Arrow batches small, of so
+    many ``rows`` and about so many bytes (``size``), where they are as Spark has them, as
+    rows hold whole texts or sets.
     """
     root = str(Path(__file__).resolve().parents[2])
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, root]))
-    for key, usual, small in BATCHES:
+    for (key, usual), small in ((ROWS_A_BATCH, rows), (BYTES_A_BATCH, size)):
         if spark.conf.get(key) == usual:
             spark.conf.set(key, small)
 

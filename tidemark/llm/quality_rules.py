@@ -123,14 +123,19 @@ def votes(c: Column) -> Mapping[str, Column]:
 
 
 def fit(
-    patterns: Mapping[str, int], n_rules: int, iterations: int = 60, strength: float = 0.01
+    patterns: Mapping[str, int],
+    n_rules: int,
+    iterations: int = 60,
+    good_strength: float = 0.01,
+    bad_strength: float = 0.1,
 ) -> tuple[float, list[dict[str, float]]]:
     """EM over pattern counts: log odds of the good class, and for each rule its log ratio by vote.
 
     Documents begin as good with a probability of 0.97 if no rule says bad, 0.8 if one
-    does, and 0.05 if several rules agree on it. ``strength`` is the weight of the prior,
-    in shares of all documents, that says that good documents get few bad votes and bad
-    ones some; it keeps a rule from turning round where there is little to learn from.
+    does, and 0.05 if several rules agree on it. A prior, whose weight is a share of all
+    documents, says that good documents get few bad votes and bad ones many. It weighs
+    more for the bad class: that stays the class of bad votes also where there are few
+    bad documents, in place of becoming any smaller group of good ones.
     """
     total = float(sum(patterns.values())) or 1.0
     prior = {True: {BAD: 0.05, ABSTAIN: 0.35, GOOD: 0.6}, False: {BAD: 0.4, ABSTAIN: 0.3, GOOD: 0.3}}
@@ -149,7 +154,7 @@ def fit(
                 seen = dict.fromkeys((BAD, ABSTAIN, GOOD), 0.0)
                 for p, n in patterns.items():
                     seen[p[k]] += n * (belief[p] if good else 1 - belief[p])
-                extra = strength * total
+                extra = (good_strength if good else bad_strength) * total
                 share[good] = {
                     v: (seen[v] + extra * prior[good][v]) / (weight[good] + extra) for v in seen
                 }
