@@ -58,16 +58,16 @@ def fit(
     ones, zeros = float(y.sum()), float(len(y) - y.sum())
     if not ones or not zeros:
         return weights, float(np.log((ones + 0.5) / (zeros + 0.5)))
-    rows = [_distinct(codes) for _, codes in grams(pa.array(texts, pa.large_string()), LENGTHS, BITS)]
-    sizes = np.array([len(r) for r in rows])
-    cols, owner = np.concatenate(rows), np.repeat(np.arange(len(rows)), sizes)
-    seen = np.bincount(cols, minlength=1 << BITS)
-    p = np.bincount(cols, weights=y[owner], minlength=1 << BITS) + 1
-    q = seen - p + 2
+    texts = pa.array(texts, pa.large_string())
+    found = np.zeros((2, 1 << BITS))  # texts of label 0 and 1 that have a bucket
+    for i, codes in grams(texts, LENGTHS, BITS):
+        found[int(y[i]), _distinct(codes)] += 1
+    q, p = found + 1
     ratio = np.log((p / p.sum()) / (q / q.sum()))
-    keep = ((seen >= least) & (evidence(p - 1, q - 1, ones, zeros) >= least_evidence))[cols]
-    cols, owner = cols[keep], owner[keep]
-    used, cols = np.unique(cols, return_inverse=True)
+    keep = (found.sum(axis=0) >= least) & (evidence(found[1], found[0], ones, zeros) >= least_evidence)
+    rows = [own[keep[own]] for own in (_distinct(codes) for _, codes in grams(texts, LENGTHS, BITS))]  # the few that are kept
+    owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    used, cols = np.unique(np.concatenate(rows), return_inverse=True)
     scale = ratio[used].astype(np.float32)
     value = scale[cols]
     share = np.where(y == 1, 0.5 / ones, 0.5 / zeros)
