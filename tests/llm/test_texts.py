@@ -159,6 +159,7 @@ def test_posterior_is_that_of_em_over_documents(spark):
     counts = docs.select("doc_id", quality_rules.text_counts(F.col("text")).alias("c"))
     rows = counts.select("doc_id", F.concat(*quality_rules.votes(F.col("c")).values()).alias("votes")).orderBy("doc_id").collect()
     got = {r["id"]: r["p_quality"] for r in quality_rules.verdicts(docs).collect()}
+    assert {len(r["votes"]) for r in rows} == {quality_rules.N_RULES}
     expected = em_by_documents([r["votes"] for r in rows])
     assert [got[r["doc_id"]] for r in rows] == pytest.approx(expected.tolist(), abs=1e-9)
 

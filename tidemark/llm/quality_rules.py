@@ -12,7 +12,7 @@ Everything on the rows is DataFrame expressions.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +24,8 @@ BAD, ABSTAIN, GOOD = "b", "-", "g"
 #: Counts that ``text_counts`` gives, in order.
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 MORE = ("n_lines", "n_upper", "n_shouts")
+#: How many rules vote.
+N_RULES = 7
 
 
 def _repeat_words(words: Column, n: Column) -> Column:
@@ -194,13 +196,20 @@ def verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
     return _judged(written(counts, "quality-rules"), "counts", least).drop("counts")
 
 
-def _judged(table: DataFrame, counts: str, least: float) -> DataFrame:
-    cast = votes(F.col(counts))
-    pattern = F.concat(*cast.values())
+def _pattern(c: Column) -> Column:
+    return F.concat(*votes(c).values())
+
+
+def _fitted(table: DataFrame, pattern: Column) -> Callable[[Column], Column]:
+    """The probability of the good class as a function of the counts, learnt from the patterns of all rows."""
     seen = {r["p"]: r["n"] for r in table.groupBy(pattern.alias("p")).agg(F.count("*").alias("n")).collect()}
-    odds, ratios = fit(seen, len(cast))
+    odds, ratios = fit(seen, N_RULES)
+    return lambda c: posterior(list(votes(c).values()), odds, ratios)
+
+
+def _judged(table: DataFrame, counts: str, least: float) -> DataFrame:
     failed = base_failed(F.col(counts))
-    good = posterior(list(cast.values()), odds, ratios)
+    good = _fitted(table, _pattern(F.col(counts)))(F.col(counts))
     new = {k: F.col(counts)[k] for k in BASE} | {
         "base_failed": failed,
         "p_quality": good,
@@ -210,6 +219,10 @@ def _judged(table: DataFrame, counts: str, least: float) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", least: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that are kept, with the columns they came with."""
-    only = docs.select(F.col(f"`{text_col}`").alias("text"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
-    return with_verdicts(only, "text", least).where("kept").select("row.*")
+    """The rows of ``docs`` that are kept, with the columns they came with.
+
+    Nothing is written: the texts are counted once for the fit and again for the verdict.
+    """
+    counts = text_counts(F.col(f"`{text_col}`"))
+    good = _fitted(docs, let(counts, _pattern))
+    return docs.where(let(counts, lambda c: ~base_failed(c) & (good(c) >= least)))
