@@ -88,10 +88,10 @@ def _in_rounds(ids: list[int], words: Vocabulary) -> list[int]:
 class Encoder:
     """Encodes texts, remembering the ids of fragments and of chunks, packed."""
 
-    def __init__(self, words: Vocabulary):
+    def __init__(self, words: Vocabulary, remembered: int = CHUNKS):
         self.words, self.inner = words, inner_pairs(words)
         self.fragments = Recent(lambda fragment: array("H", merge(fragment, words)).tobytes(), FRAGMENTS)
-        self.chunks = Recent(lambda chunk: self.whole(of_chunk(chunk)), CHUNKS)
+        self.chunks = Recent(lambda chunk: self.whole(of_chunk(chunk)), remembered)
 
     def whole(self, text: str) -> bytes:
         known, inner = self.fragments, self.inner
@@ -140,10 +140,11 @@ def decode(ids: Column, path: str) -> Column:
     return text(ids)
 
 
-def digests(text: Column, path: str, keep_ids: bool = False) -> Column:
+def digests(text: Column, path: str, keep_ids: bool = False, remembered: int = CHUNKS) -> Column:
     """A struct (n_tokens, ids_sha256, decoded_sha256) of each text's ids and of the text decoded from them.
 
-    Encodes and decodes in one pass; ``keep_ids`` adds the ids (array<int>).
+    Encodes and decodes in one pass; ``keep_ids`` adds the ids (array<int>). A worker
+    remembers the ids of ``remembered`` chunks and as many before them, some 100 bytes each.
     """
     fields = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids
 
@@ -151,7 +152,7 @@ def digests(text: Column, path: str, keep_ids: bool = False) -> Column:
     @lean
     def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         words = vocabulary(path)
-        encoder = Encoder(words)
+        encoder = Encoder(words, remembered)
         for batch in batches:
             counts, coded, decoded, kept = [], [], [], []
             for t in batch.to_pylist():
@@ -169,11 +170,13 @@ def digests(text: Column, path: str, keep_ids: bool = False) -> Column:
     return both(text)
 
 
-def with_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False) -> DataFrame:
+def with_digests(
+    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False, remembered: int = CHUNKS
+) -> DataFrame:
     """(id, n_tokens, ids_sha256, decoded_sha256) for each row of ``docs``, and its ids if asked; null texts count as empty.
 
     Equal rows give equal rows, an empty table an empty result; other columns are not
     looked at. A text goes through one Python worker as a whole.
     """
-    got = docs.select(F.col(id_col).alias("id"), digests(F.col(text_col), path, keep_ids).alias("d"))
+    got = docs.select(F.col(id_col).alias("id"), digests(F.col(text_col), path, keep_ids, remembered).alias("d"))
     return got.select("id", "d.*")

@@ -12,7 +12,7 @@ Everything on the rows is DataFrame expressions.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -196,20 +196,14 @@ def verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
     return _judged(written(counts, "quality-rules"), "counts", least).drop("counts")
 
 
-def _pattern(c: Column) -> Column:
-    return F.concat(*votes(c).values())
-
-
-def _fitted(table: DataFrame, pattern: Column) -> Callable[[Column], Column]:
-    """The probability of the good class as a function of the counts, learnt from the patterns of all rows."""
-    seen = {r["p"]: r["n"] for r in table.groupBy(pattern.alias("p")).agg(F.count("*").alias("n")).collect()}
-    odds, ratios = fit(seen, N_RULES)
-    return lambda c: posterior(list(votes(c).values()), odds, ratios)
-
-
 def _judged(table: DataFrame, counts: str, least: float) -> DataFrame:
+    """``table`` with the counts and what they lead to, learnt from the patterns of all rows."""
+    cast = list(votes(F.col(counts)).values())
+    pattern = F.concat(*cast).alias("p")
+    seen = {r["p"]: r["n"] for r in table.groupBy(pattern).agg(F.count("*").alias("n")).collect()}
+    odds, ratios = fit(seen, N_RULES)
     failed = base_failed(F.col(counts))
-    good = _fitted(table, _pattern(F.col(counts)))(F.col(counts))
+    good = posterior(cast, odds, ratios)
     new = {k: F.col(counts)[k] for k in BASE} | {
         "base_failed": failed,
         "p_quality": good,
@@ -221,8 +215,14 @@ def _judged(table: DataFrame, counts: str, least: float) -> DataFrame:
 def keep_good(docs: DataFrame, text_col: str = "text", least: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that are kept, with the columns they came with.
 
-    Nothing is written: the texts are counted once for the fit and again for the verdict.
+    Counts are written with 128 bits that tell the text, not the texts themselves; the
+    rows of the texts that are rejected are then left out.
     """
-    counts = text_counts(F.col(f"`{text_col}`"))
-    good = _fitted(docs, let(counts, _pattern))
-    return docs.where(let(counts, lambda c: ~base_failed(c) & (good(c) >= least)))
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    one, two = free_name(docs, "text_one"), free_name(docs, "text_two")
+    place = {one: F.xxhash64(text), two: F.xxhash64(F.lit(1), text)}
+    counted = docs.select(*(h.alias(name) for name, h in place.items()), text_counts(text).alias("counts"))
+    judged = _judged(written(counted, "quality-rules"), "counts", least)
+    gone = written(judged.where(~F.col("kept")).select(one, two).distinct(), "quality-rules")
+    gone = F.broadcast(gone) if gone.limit(1_000_001).count() <= 1_000_000 else gone  # 16 bytes each
+    return docs.withColumns(place).join(gone, [one, two], "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
