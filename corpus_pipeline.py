@@ -47,7 +47,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256, ids) of each row."""
     ready(spark, **LIGHT)
-    return bpe.with_digests(docs, VOCABULARY, keep_ids=True, remembered=150_000).withColumnRenamed("id", "doc_id")
+    return bpe.with_digests(docs, VOCABULARY, keep_ids=True, remembered=40_000).withColumnRenamed("id", "doc_id")
 
 
 STAGES = [

@@ -90,7 +90,7 @@ class Encoder:
 
     def __init__(self, words: Vocabulary, remembered: int = CHUNKS):
         self.words, self.inner = words, inner_pairs(words)
-        self.fragments = Recent(lambda fragment: array("H", merge(fragment, words)).tobytes(), FRAGMENTS)
+        self.fragments = Recent(lambda fragment: array("H", merge(fragment, words)).tobytes(), min(FRAGMENTS, remembered))
         self.chunks = Recent(lambda chunk: self.whole(of_chunk(chunk)), remembered)
 
     def whole(self, text: str) -> bytes:

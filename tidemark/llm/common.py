@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from tidemark.sources.files import delete
 from tidemark.sources.shared import new_folder
 
+from .word_hashes import forget
+
 #: A word is a run of bytes other than these.
 WHITE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -177,6 +179,7 @@ def lean(function: Callable[..., Iterator]) -> Callable[..., Iterator]:
     @functools.wraps(function)
     def run(batches: Iterator) -> Iterator:
         yield from function(batches)
+        forget()
         pa.default_memory_pool().release_unused()
         trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the GNU library has it
         if trim is not None:

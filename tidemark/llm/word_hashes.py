@@ -42,6 +42,11 @@ class _Powers:
 _POWERS = _Powers()
 
 
+def forget() -> None:
+    """Free the powers, some 16 bytes for each byte of the longest block; they are made again when asked for."""
+    _POWERS.up = _POWERS.down = np.zeros(0, np.uint64)
+
+
 def lowered(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
