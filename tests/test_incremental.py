@@ -450,6 +450,21 @@ def test_a_lost_task_asks_for_its_own_wave_again(spark):
     assert result.output.count() == 100 and result.lookup.answered == 20
 
 
+def test_many_waves_are_sent_by_a_bounded_number_of_jobs(spark):
+    table = day_table(spark, [(i, "a", 1, dt.datetime(2024, 5, 9), "d") for i in range(100)], FRIDAY)
+    sound, sent = ask_function(all_answered, 2), []
+
+    def ask(pages):
+        sent.append(sorted(r["page"] for r in pages.collect()))
+        return sound(pages)
+
+    conf = config(spark, page_size=5, pages_per_wave=1)
+    result = run_incremental(spark, conf, table, ask, FRIDAY, "r1")
+    assert result.lookup.waves == result.lookup.pages == result.lookup.answered == 20
+    assert sorted(page for pages in sent for page in pages) == list(range(1, 21))
+    assert len(sent) == 10 and result.output.count() == 100
+
+
 def test_a_repeat_goes_on_at_the_step_that_failed(spark, golden, monkeypatch):
     """After the rows are staged the raw table is not read again, after the delivery nothing is looked up."""
 
