@@ -68,6 +68,28 @@ def test_quality_on_the_fold_held_out(tables):
     assert kept == {r["id"] for r in got if r["predicted"]}
 
 
+def test_quality_is_learnt_from_long_texts_too(spark):
+    """All bad texts are above 16,384 bytes: no bound on what is learnt from may leave them out."""
+    texts = {i: "good words in a row here " * 900 if i % 3 else "BAD!! CRIES!! " * 1500 for i in range(60)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 != 0)) for i in texts], "doc_id long, quality int")
+    got = quality_rank.with_quality(docs, labels).collect()
+    assert {(r["predicted"], int(r["id"] % 3 != 0)) for r in got} == {(0, 0), (1, 1)}
+
+
+def test_every_row_is_in_a_pair(spark, monkeypatch):
+    monkeypatch.setattr(quality_rank, "PER_TASK", 16)
+    monkeypatch.setattr(quality_rank, "FEWEST", 4)
+    n = quality_rank.N_FEATURES
+    rows = [(i, int(i >= 3), [float(i if i >= 3 else 0)] + [0.0] * (n - 1)) for i in range(100)]  # 3 bad ones for 7 tasks
+    table = spark.createDataFrame(rows, "h long, label int, x array<double>").repartition(5)
+    pairs, tasks = quality_rank._pairs(table, np.zeros(n), np.full(n, 100.0), 97, 3)
+    found = np.concatenate([np.frombuffer(bytes(r["d"]), np.float32).reshape(-1, n) for r in pairs.collect()])[:, 0]
+    assert tasks == 7 and set(np.round(found * 100).astype(int)) == set(range(3, 100))
+    loss, slope, curve = quality_rank._sums(pairs, tasks, np.zeros(n))
+    assert loss == pytest.approx(np.log(2)) and slope[0] == pytest.approx(-found.mean() / 2, rel=1e-4) and curve[0, 0] > 0
+
+
 def test_labels_of_the_fold_held_out_are_never_learnt(tables, spark):
     docs, labels, _ = tables
     rows = sample(docs, labels, "toxic", 1000, 10000)
