@@ -391,6 +391,27 @@ def test_the_model_learns_from_every_text_long_ones_too(spark, model, monkeypatc
     assert mean(lm_score._averaged(model, long)) > mean(model) + 0.2
 
 
+def test_subwords_windows_and_weight_come_from_every_text(spark):
+    """A long text beyond any bounded sample: its words choose subwords, all its windows are learnt, its tokens weigh."""
+    long = "photosynthesis chloroplast " * 2000
+    texts = spark.createDataFrame([("a b",)] * 5 + [(long,)], "text string")
+    subwords = lm_score._subwords(texts, PATH)
+    tokens = attention.usable([lm_score.vocabulary(PATH).tokens[i] for i in sorted(lm_score.vocabulary(PATH).tokens)])
+    assert subwords == attention.choose(tokens[2:], Counter(w.encode() for t in ["a b"] * 5 + [long] for w in t.split()))
+    spell = attention.Speller(subwords.names).split
+    n = sum(len(spell(w.encode())) for w in long.split()) + 1
+    assert lm_score._windows(texts, subwords.names).count() == 5 + len(attention.windows(np.array([n]))[0])
+    flat = lambda *x: np.array(x, np.float32).tobytes()
+    known = spark.createDataFrame([(flat(-1.0, -2.0), flat(1, 11)), (flat(-3.0), flat(101))], "own binary, seen binary")
+    rest = spark.createDataFrame([(-1.0, 1), (-2.0, 11), (-5.0, 0)], "own double, c long")
+    got = {r["step"]: r["n"] for r in lm_score._differences(known, rest, 1000).collect()}
+    step = lambda d: math.floor(d * lm_score.FINE) + lm_score.STEPS // 2
+    assert got == {None: 3, step(-2 - math.log(0.01)): 2, step(-3 - math.log(0.1)): 1}
+    even = spark.createDataFrame([(step(2.0), 50), (step(-2.0) - 1, 50)], "step long, n long")
+    assert lm_score._weight(even, 0.5) == pytest.approx(0.5, abs=1e-3)
+    assert lm_score._weight(spark.createDataFrame([(None, 3)], "step long, n long"), 0.5) == 0.999
+
+
 def test_windows_are_drawn_from_every_text():
     for n in (1, 5, 32, 33, 400):
         ids = np.append(np.arange(2, n + 1), 0).astype(np.uint16)
