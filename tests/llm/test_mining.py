@@ -6,10 +6,12 @@ import math
 import os
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -275,3 +277,29 @@ def test_operators_delete_what_they_wrote_on_the_way(spark):
     with pytest.raises(Exception, match="lost"):
         collocations.phrases(broken)
     assert set(os.listdir(shared)) == before
+
+
+def test_counting_phrases_needs_little_more_than_what_it_counts():
+    """Blocks are small beside a batch, and what a merge has taken over is free before the merge sorts it."""
+    texts = pa.array([" ".join(f"w{i * 7 % 5000}" for i in range(k, k + 900)) for k in range(800)])
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * len(texts)), texts], ["lang", "text"])
+
+    def peak(work) -> int:
+        tracemalloc.start()
+        try:
+            work()
+            return tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+    assert peak(lambda: [None for _ in collocations._words(batch)]) < 25 * texts.nbytes
+    rows, n = collocations.Rows(3), 1 << 20
+    keys = np.random.default_rng(3).integers(0, 1 << 40, (3, n), np.uint64)
+
+    def merged() -> None:
+        for at in range(0, n, 1 << 16):
+            rows.add(*(k[at : at + (1 << 16)].copy() for k in keys))
+        rows._merge()
+
+    assert peak(merged) < 14 * 8 * n
+    assert rows.take()[1].sum() == n

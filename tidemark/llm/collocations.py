@@ -44,13 +44,15 @@ def _pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _summed(keys: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """Distinct rows of ``keys`` in order, and their counts added up."""
+    """Distinct rows of ``keys`` in order, and their counts added up; the list ``keys`` is used up."""
     if not len(counts):
         return keys, counts
     order = np.lexsort(keys[::-1]) if len(keys) > 1 else np.argsort(keys[0], kind="stable")
-    keys = [k[order] for k in keys]
-    new = np.ones(len(order), bool)
-    new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+    new = np.zeros(len(order), bool)
+    new[0] = True
+    for k in range(len(keys)):  # one after the other, so that a key's former order is free before the next one's
+        keys[k] = keys[k][order]
+        new[1:] |= keys[k][1:] != keys[k][:-1]
     first = np.flatnonzero(new)
     return [k[first] for k in keys], np.add.reduceat(counts[order], first)
 
@@ -76,10 +78,15 @@ class Rows:
         return len(self.counts) >= HELD
 
     def _merge(self) -> None:
-        every = [np.concatenate([self.keys[k], *(m[k] for m in self.more)]) for k in range(self.width)]
         counts = np.concatenate([self.counts, np.ones(self.waiting, np.int64)])
+        parts = [self.keys, *self.more]
+        self.clear()
+        every = []
+        for k in range(self.width):
+            every.append(np.concatenate([p[k] for p in parts]))
+            for p in parts:
+                p[k] = None  # it is in ``every`` now
         self.keys, self.counts = _summed(every, counts)
-        self.more, self.waiting = [], 0
 
     def take(self) -> tuple[list[np.ndarray], np.ndarray]:
         self._merge()
@@ -117,14 +124,17 @@ class Tiles:
         self.more, self.waiting = [], 0
         area = 1 << 2 * INNER
         tiles, counts = [], []
-        tile = codes >> 2 * INNER
-        full = np.flatnonzero(np.bincount(tile) >= DENSE)
-        for t in full.tolist():
+        tile = (codes >> 2 * INNER).astype(np.int32)
+        full = np.bincount(tile) >= DENSE
+        for t in np.flatnonzero(full).tolist():
             seen = np.bincount(codes[tile == t] & (area - 1), minlength=area)
             at = np.flatnonzero(seen)
             tiles.append(t << 2 * INNER | at)
             counts.append(seen[at])
-        sparse, often = np.unique(codes[~np.isin(tile, full)], return_counts=True)
+        codes = codes[~full[tile]] if full.any() else codes
+        del tile
+        sparse, often = np.unique(codes, return_counts=True)
+        del codes
         keys, counts = [np.concatenate([self.codes, *tiles, sparse])], np.concatenate([self.counts, *counts, often])
         (self.codes,), self.counts = _summed(keys, counts)
 
@@ -151,7 +161,7 @@ def _words(batch: pa.RecordBatch) -> Iterator[tuple]:
     data, offsets = joined(x.encode() for x in names)
     own = hashes(data, offsets[:-1], offsets[1:])
     lang = np.asarray(langs.indices)
-    for first, last, raw, offsets in blocks(batch.column(1), 1 << 22):
+    for first, last, raw, offsets in blocks(batch.column(1)):
         data = lowered(raw)
         starts, ends, number = spans(data, offsets, _APART)
         text = np.repeat(np.arange(last - first), np.diff(number))
