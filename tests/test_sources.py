@@ -360,3 +360,23 @@ def test_publish(spark):
     assert spark.read.parquet(path).columns == ["id", "g"]
     sources.publish_view(df, "published")
     assert rows(sources.scan_view(spark, "published")) == [("1", "a", 1)]
+
+
+def test_writers_of_one_table_share_no_folder(spark):
+    """The first job to end deletes its folder's temporary files, so each has a folder of its own."""
+    path = new_folder(spark, "state")
+    table = StateTable(spark, path, buckets=1).table
+    written, declared = [], []
+
+    def created(self, name, buckets, place, partition=None):
+        declared.append((name, place))
+        return create(self, name, buckets, place, partition)
+
+    create = VersionedTable._create
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(VersionedTable, "_create", created)
+        for write in ("one", "two"):
+            rows = batch(spark, 3, write).withColumn("version", F.lit(0).cast("long"))
+            written.append(table._write(rows, "g", 1, write))
+    assert written == [3, 3] and len({place for _, place in declared}) == 2
+    assert not any(spark.catalog.tableExists(name) for name, _ in declared)
