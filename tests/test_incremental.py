@@ -13,7 +13,7 @@ from tests.conftest import rows
 from tidemark import RunConfig, run_incremental
 from tidemark.functions import keyed_uuid
 from tidemark.operators import ask_function, ask_table
-from tidemark.plans import cleanup, cleanup_report
+from tidemark.plans import cleanup, cleanup_report, lookup_enrich
 from tidemark.plans.report import SECTIONS
 from tidemark.sources import CacheTable, StateTable, new_folder
 
@@ -507,3 +507,18 @@ def test_a_repeat_on_another_basis_starts_anew(spark, golden):
 
 def test_the_secret_is_not_shown(spark):
     assert "unique" not in repr(config(spark))
+
+
+def test_many_tasks_write_the_pages_of_a_wave(spark):
+    """Joined or asked for by the tasks that read them, a wave's pages are not all in one file."""
+    folder = new_folder(spark, "lookup")
+    ids = spark.range(1500).select(F.col("id").cast("string").alias("id"))
+    service = ids.withColumn("uuid", F.concat(F.lit("u"), "id"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so few rows would be one partition
+    try:
+        answers = lookup_enrich(ids, CacheTable(spark, f"{folder}/cache"), ask_table(service), "r1", folder, page_size=1)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = {r[0] for r in spark.read.parquet(f"{folder}/pages").select(F.input_file_name()).distinct().collect()}
+    assert len(files) > 1 and all("sending=0" in f for f in files)
+    assert rows(answers.select("id", "uuid")) == rows(service)

@@ -387,3 +387,11 @@ def test_ask_table(spark):
     responses = op.ask_table(service)(pages)
     assert [(r.page, r.status) for r in responses.orderBy("page").collect()] == [(1, 200), (2, 204)]
     assert rows(op.parse_responses(responses, "r")) == [("u1", "1", "r_1"), ("u2", "2", "r_1")]
+
+
+def test_a_body_is_parsed_once(spark):
+    bodies = [(1, 200, '[{"uuid": "u", "id": "a"}, {"uuid": "u", "id": "a"}, {"uuid": "v"}]'), (2, 503, '[{"uuid": "u", "id": "b"}]'), (3, 200, "<html>")]
+    responses = spark.createDataFrame([*bodies, (4, 200, None), (5, None, "[]")], "page long, status int, body string")
+    parsed = op.parse_responses(responses, "run")
+    assert rows(parsed) == [("u", "a", "run_1")]
+    assert parsed._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
