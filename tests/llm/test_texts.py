@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import pathlib
 import random
 import sys
 import zlib
@@ -412,6 +413,60 @@ def test_subwords_windows_and_weight_come_from_every_text(spark):
     assert lm_score._weight(spark.createDataFrame([(None, 3)], "step long, n long"), 0.5) == 0.999
 
 
+def test_windows_are_learnt_where_they_are_and_not_kept(spark, model, monkeypatch):
+    """They were once written, shuffled in each round, and both stayed: more than half of what the disk had to hold."""
+    texts = spark.createDataFrame([(f"the cat sat on mat {k} " * 40,) for k in range(40)], "text string").repartition(4)
+    plans, collect = [], type(texts).collect
+    folder = pathlib.Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(folder.iterdir())
+
+    def noted(self):
+        plans.append(self._jdf.queryExecution().executedPlan().toString())
+        return collect(self)
+
+    monkeypatch.setattr(type(texts), "collect", noted)
+    lm_score._averaged(model, texts)
+    learnt = [p for p in plans if "MapInArrow" in p]
+    assert len(learnt) == lm_score.ROUNDS and not any("Exchange" in p for p in learnt)
+    assert set(folder.iterdir()) == before
+
+
+def test_only_the_scores_stay_on_disk(spark):
+    folder = pathlib.Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(folder.iterdir())
+    got = lm_score.with_scores(cases.small(spark), PATH, sample_rows=60)
+    assert len(set(folder.iterdir()) - before) == 1
+    assert got.count() == cases.small(spark).count()
+
+
+def test_each_window_is_in_one_part():
+    size = attention.WINDOW + 3
+    for n in (0, 1, 9, 10, 11, 19, 20, 21, 95):
+        rows = np.arange(n * size, dtype=np.uint16).reshape(n, size)
+        batches = [pa.record_batch([pa.array([r.tobytes() for r in rows[at : at + 7]], pa.binary())], ["ids"]) for at in range(0, n, 7)]
+        parts = list(lm_score._parts(iter(batches), 10))
+        assert np.array_equal(np.concatenate([np.zeros((0, size), np.uint16), *parts]), rows)
+        assert all(0 < len(p) <= 10 for p in parts) and len(parts) == -(-n // 10)
+
+
+def test_words_are_spelled_by_the_longest_subwords(spark, monkeypatch):
+    names = [b"", b"", *(bytes([b]) for b in range(256)), b" a", b" ab", b" abab", b"ab", b"aba", b"bb", b"a" * 16, b"a" * 17]
+    ids, split = {s: i for i, s in enumerate(names) if 0 < len(s) <= 16}, attention.Speller(names).split
+    rng = np.random.default_rng(0)
+    for n in [*range(12), 40, 200]:
+        word = bytes(rng.choice([0x61, 0x62, 0xFF], n, p=[0.7, 0.25, 0.05]).tolist())
+        out, at = [], b" " + word
+        while at:
+            best = next(at[:k] for k in range(16, 0, -1) if at[:k] in ids and len(at[:k]) == min(k, len(at)))
+            out.append(ids[best])
+            at = at[len(best) :]
+        assert split(word) == out
+    texts = spark.createDataFrame([("abab zebra quartz " * 3,), ("zebra moons",)], "text string")
+    every = lm_score._subwords(texts, PATH)
+    monkeypatch.setattr(lm_score, "SPELT", 1)  # words are spelled text by text
+    assert lm_score._subwords(texts, PATH) == every
+
+
 def test_windows_are_drawn_from_every_text():
     for n in (1, 5, 32, 33, 400):
         ids = np.append(np.arange(2, n + 1), 0).astype(np.uint16)
