@@ -18,7 +18,7 @@ from tokenizers import Tokenizer
 
 from tests.conftest import TESTDATA
 from tests.llm import cases
-from tidemark.llm import attention, bpe, lm_score, mixing, quality_rules, token_counts
+from tidemark.llm import attention, bpe, lm_score, mixing, quality_rules, token_counts, word_hashes
 from tidemark.llm.common import Recent, join_few
 from tidemark.llm.queries import ORACLE, op6_mix_sources
 from tidemark.llm.tokens_base import pieces, vocabulary
@@ -467,6 +467,55 @@ def test_words_are_spelled_by_the_longest_subwords(spark, monkeypatch):
     assert lm_score._subwords(texts, PATH) == every
 
 
+def test_many_words_are_spelled_at_once_as_each_one_is(monkeypatch):
+    """Each word was once spelled on its own, in Python: a third of the time of all tasks."""
+    rng = np.random.default_rng(1)
+    names = [b"", b"", *(bytes([b]) for b in range(256)), b" a", b" ab", b" abab", b"ab", b"aba", b"bb", b"a\0", b"abbaabba", b"abbaabbab", b"a" * 16, b"a" * 17]
+    words = [bytes(rng.choice([0x61, 0x62, 0xFF, 0], n, p=[0.6, 0.3, 0.05, 0.05]).tolist()) for n in (*range(1, 40), 63, 64, 65, 66, 300) for _ in range(8)]
+    spell, words = attention.Speller(names).split, words + [b"a" * 40, b"\xc3\xa9" * 9]
+    split, texts = [spell(w) for w in words], [*(b" ".join(words[k : k + 9]) for k in range(0, len(words), 9)), b"", b" \t ", *words[:60]]
+    every = attention.ManyWords(names)
+    data, sizes = np.frombuffer(b"".join(words), np.uint8), np.array([len(w) for w in words])
+    ids, counts = every.split(data, np.cumsum(sizes) - sizes, np.cumsum(sizes))
+    assert ids.tolist() == [i for s in split for i in s] and counts.tolist() == [len(s) for s in split]
+    few = attention.ManyWords(names)
+    few.table[:], few.bits = 0, 1  # all names are in two lists
+    few.next[:] = 0
+    for i, slot in list(enumerate(few._slots(few.low, few.high, few.sizes.astype(np.uint64))))[1:]:
+        few.next[i], few.table[slot] = few.table[slot], i
+    assert np.array_equal(few.split(data, np.cumsum(sizes) - sizes, np.cumsum(sizes))[0], ids)
+    expected = [[i for w in t.split() for i in spell(w)] + [0] for t in texts]
+    for most, bits in ((250_000, 19), (1, 19), (250_000, 2)):  # words are remembered, forgotten, or share a place
+        of = attention.TextIds(names, most, bits)
+        for _ in range(2):
+            data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+            starts, ends, number = word_hashes.spans(data, offsets)
+            ids, lengths = of.spell(data, starts, ends, number, word_hashes.hashes(data, starts, ends))
+            assert lengths.tolist() == [len(t) for t in expected] and ids.tolist() == [i for t in expected for i in t]
+    alone, rest = [], attention.Speller.rest
+    monkeypatch.setattr(attention.Speller, "rest", lambda self, word: alone.append(word) or rest(self, word))
+    scorer = lm_score.Scorer(attention.Model(attention.chosen(Counter()), attention._start(rng)), np.zeros(0, np.uint64), np.zeros(0, np.int64), 3, 10, 4)
+    list(scorer.score(pa.array([" ".join(f"w{k}" for k in range(5000))])))
+    assert len(alone) < 100
+
+
+def test_windows_of_many_texts_are_those_of_each():
+    rng = np.random.default_rng(2)
+    texts = [np.append(rng.integers(2, 1024, n), 0).astype(np.uint16) for n in (0, 1, 31, 32, 33, 58, 59, 400, 0, 27)]
+    lengths = np.array([len(t) for t in texts])
+    for at_once in (4, 8192):
+        text, nth, rows = attention.rows_of(np.concatenate(texts), lengths, at_once)
+        assert rows.dtype == np.uint16
+        for k, ids in enumerate(texts):
+            first, skip = attention.windows(np.array([len(ids)]))
+            padded = [1, *ids.tolist(), *[0] * attention.WINDOW]
+            assert nth[text == k].tolist() == list(range(len(first)))
+            assert rows[text == k].tolist() == [
+                [s, min(attention.WINDOW, len(ids) - f), *padded[f : f + attention.WINDOW + 1]] for f, s in zip(first.tolist(), skip.tolist())
+            ]
+    assert len(attention.rows_of(np.zeros(0, np.uint16), np.zeros(0, np.int64))[2]) == 0
+
+
 def test_windows_are_drawn_from_every_text():
     for n in (1, 5, 32, 33, 400):
         ids = np.append(np.arange(2, n + 1), 0).astype(np.uint16)
