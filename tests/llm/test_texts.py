@@ -492,6 +492,8 @@ def test_many_words_are_spelled_at_once_as_each_one_is(monkeypatch):
             starts, ends, number = word_hashes.spans(data, offsets)
             ids, lengths = of.spell(data, starts, ends, number, word_hashes.hashes(data, starts, ends))
             assert lengths.tolist() == [len(t) for t in expected] and ids.tolist() == [i for t in expected for i in t]
+            found = of.count(data, starts, ends, word_hashes.hashes(data, starts, ends))
+            assert dict(enumerate(found)) == {i: (ids == i).sum() if i else 0 for i in range(len(found))} and not (ids >= len(found)).any()
     alone, rest = [], attention.Speller.rest
     monkeypatch.setattr(attention.Speller, "rest", lambda self, word: alone.append(word) or rest(self, word))
     scorer = lm_score.Scorer(attention.Model(attention.chosen(Counter()), attention._start(rng)), np.zeros(0, np.uint64), np.zeros(0, np.int64), 3, 10, 4)
@@ -499,6 +501,17 @@ def test_many_words_are_spelled_at_once_as_each_one_is(monkeypatch):
     assert len(alone) < 100
 
 
+def test_frequent_words_are_found_by_their_hash(model):
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 2, 3, 500):
+        words = np.unique(np.concatenate([rng.integers(0, 2**64, n, np.uint64), rng.integers(0, 9, min(n, 5)).astype(np.uint64)]))  # some begin alike
+        counts, asked = np.arange(1, len(words) + 1), np.concatenate([rng.permutation(words), rng.integers(0, 2**64, 300, np.uint64), np.arange(20, dtype=np.uint64)])
+        known = lm_score.Scorer(model, words, counts, 3, 10, 4).known(asked)
+        of = dict(zip(words.tolist(), counts.tolist()))
+        assert known.tolist() == [of.get(w, 0) for w in asked.tolist()]
+    assert len(known)
+
+
 def test_windows_of_many_texts_are_those_of_each():
     rng = np.random.default_rng(2)
     texts = [np.append(rng.integers(2, 1024, n), 0).astype(np.uint16) for n in (0, 1, 31, 32, 33, 58, 59, 400, 0, 27)]
